@@ -47,18 +47,15 @@ class Graph:
         edges = edges.join(ids, edges.src == ids.id, "left_semi")
         return edges.join(ids, edges.dst == ids.id, "left_semi")
 
-    def over_routes(self) -> "Graph":
-        """The same vertices with one edge per route, carrying its number of ``flights``."""
-        counted = self.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("flights"))
-        return Graph(self.vertices, counted)
-
     @cached_property
-    def routes(self) -> DataFrame:
-        """Sound routes, written once for the loops that read them again and again.
+    def by_route(self) -> "Graph":
+        """The same vertices with one edge per route, carrying its number of ``flights``.
 
+        Written once, for the patterns and loops that read routes again and again.
         Counting comes before the vertex check, so the check sees routes, not edges.
         """
-        return settle(self.over_routes().sound_edges())
+        counted = self.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("flights"))
+        return Graph(self.vertices, settle(Graph(self.vertices, counted).sound_edges()))
 
     @cached_property
     def hot_sources(self) -> HotKeys:

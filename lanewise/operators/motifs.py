@@ -33,7 +33,7 @@ def find(graph: Graph, pattern: Sequence[Hop], where: str | Column | None = None
     on the structs; Catalyst carries its parts to the scan or into the joins.
 
     The result holds every match, so its size is the pattern's own: with parallel
-    edges match on ``graph.over_routes()`` unless the edges themselves are wanted.
+    edges match on ``graph.by_route`` unless the edges themselves are wanted.
     """
     present = [hop for hop in pattern if not hop.absent]
     if not present:
@@ -41,14 +41,15 @@ def find(graph: Graph, pattern: Sequence[Hop], where: str | Column | None = None
     matches, bound = None, []
     for number, hop in enumerate(present):
         matches = _extend(graph, matches, bound, hop, number)
-        bound += [end for end in (hop.src, hop.dst) if end not in bound]
+        bound += [end for end in dict.fromkeys((hop.src, hop.dst)) if end not in bound]
 
     small = graph.small_vertices
     for name in bound:
-        vertex = graph.vertices.select(_row(graph.vertices).alias(name))
-        matches = matches.join(
-            broadcast_if(vertex, small), F.col(_id(name)) == F.col(f"`{name}`.id")
-        )
+        # Joined on a plain column, so that a condition on the vertex's id also reaches
+        # the scan of the edges.
+        at = f"__at_{name}"
+        vertex = graph.vertices.select(F.col("id").alias(at), _row(graph.vertices).alias(name))
+        matches = matches.join(broadcast_if(vertex, small), F.col(_id(name)) == F.col(at))
     if where is not None:
         matches = matches.filter(where)
     for hop in pattern:

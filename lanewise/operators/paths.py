@@ -8,15 +8,16 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import settle
 from .graph import Graph
-from .skew import PART, broadcast_if, fits_in_memory, hot_keys
+from .skew import PART, broadcast_if, fits_in_memory
 
 
 class _RouteIndex:
     """Routes laid out by one end, for loops that repeatedly look up that end."""
 
-    def __init__(self, routes: DataFrame, end: str):
+    def __init__(self, graph: Graph, end: str):
         self.end, self.other = end, "dst" if end == "src" else "src"
-        self.hot = hot_keys(routes, end)
+        routes = graph.by_route.edges
+        self.hot = graph.by_route.hot_sources if end == "src" else graph.by_route.hot_targets
         slots = int(routes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         laid = self.hot.divide(routes.select("src", "dst"), F.col(end), F.col(self.other))
         self.laid = laid.repartition(slots, end, PART).persist(StorageLevel.MEMORY_AND_DISK)
@@ -49,7 +50,7 @@ def hop_counts(graph: Graph, landmarks: Sequence[str]) -> DataFrame:
     Works backwards from the landmarks, one ring of vertices at a time, until a ring
     is empty.  Each ring is written to the checkpoint folder.
     """
-    index = _RouteIndex(graph.routes, "dst")
+    index = _RouteIndex(graph, "dst")
     ring = settle(
         graph.vertices.filter(F.col("id").isin(*landmarks)).select("id", F.col("id").alias("landmark"))
     )
@@ -101,8 +102,7 @@ def breadth_first(
     if not both.isEmpty():
         return _attach(graph, both.select(F.col("id").alias("n0")), [], 0)
 
-    routes = graph.routes
-    index = _RouteIndex(routes, "src")
+    index = _RouteIndex(graph, "src")
     rings = [settle(sources)]
     found = None
     while found is None and len(rings) <= max_length and not rings[-1].isEmpty():
@@ -120,7 +120,8 @@ def breadth_first(
     for position in range(length - 1, -1, -1):
         near = rings[position].select(F.col("id").alias("src"))
         far = needed.select(F.col("id").alias("dst"))
-        on_path = settle(routes.select("src", "dst").join(far, "dst", "left_semi").join(near, "src", "left_semi"))
+        routes = graph.by_route.edges.select("src", "dst")
+        on_path = settle(routes.join(far, "dst", "left_semi").join(near, "src", "left_semi"))
         hops.insert(0, on_path)
         needed = on_path.select(F.col("src").alias("id")).distinct()
     return _attach(graph, None, hops, length, first, edge_key)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .graph import Graph
-from .skew import PART, broadcast_if, hot_keys
+from .skew import PART, broadcast_if
 
 
 def page_rank(
@@ -29,37 +29,40 @@ def page_rank(
     contributions.  Small vertex tables are broadcast instead, and then routes do not
     move at all.
     """
-    routes = graph.routes
-    hot = hot_keys(routes, "src")
+    routes, hot = graph.by_route.edges, graph.by_route.hot_sources
     out = routes.groupBy("src").agg(F.sum("flights").alias("out"))
-
-    vertices = graph.vertices.select("id")
-    state = settle(
-        vertices.join(out, vertices.id == out.src, "left").select("id", F.col("out"))
+    ids = graph.vertices.select("id")
+    # Every vertex, with nothing received: united with what is sent, one aggregate then
+    # serves vertices that receive nothing too, and no join is needed.
+    silent = settle(
+        ids.join(out, ids.id == out.src, "left").select("id", "out", F.lit(0.0).alias("got"))
     )
     small = graph.small_vertices
 
     laid = hot.divide(routes, F.col("src"), F.col("dst"))
     if not small:
-        slots = int(graph.vertices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        slots = int(routes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         laid = laid.repartition(slots, "src", PART)
     laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
 
-    ranks = state.withColumn("pagerank", F.lit(1.0))
+    ranks = silent.select("id", "out", F.lit(1.0).alias("pagerank"))
     for step in range(1, iterations + 1):
         given = ranks.filter(F.col("out").isNotNull()).select(
             F.col("id").alias("from"), (F.col("pagerank") / F.col("out")).alias("share")
         )
         given = broadcast_if(hot.copy(given, F.col("from")), small)
-        received = (
-            laid.join(given, (laid.src == given["from"]) & (laid[PART] == given[PART]))
-            .groupBy("dst")
-            .agg(F.sum(F.col("share") * F.col("flights")).alias("received"))
+        sent = laid.join(given, (laid.src == given["from"]) & (laid[PART] == given[PART])).select(
+            F.col("dst").alias("id"),
+            F.lit(None).cast("long").alias("out"),
+            (F.col("share") * F.col("flights")).alias("got"),
         )
-        ranks = state.join(received, state.id == received.dst, "left").select(
-            "id",
-            "out",
-            (F.lit(reset) + (1 - reset) * F.coalesce("received", F.lit(0.0))).alias("pagerank"),
+        ranks = (
+            sent.unionByName(silent)
+            .groupBy("id")
+            .agg(
+                F.max("out").alias("out"),
+                (F.lit(reset) + (1 - reset) * F.sum("got")).alias("pagerank"),
+            )
         )
         if step % settle_every == 0 or step == iterations:
             ranks = settle(ranks)
@@ -70,7 +73,7 @@ def page_rank(
     scaled = ranks.select(F.col("id"), (F.col("pagerank") * F.lit(scale)).alias("pagerank"))
     ranked = graph.vertices.join(scaled, "id")
 
-    weights = state.filter(F.col("out").isNotNull()).select(
+    weights = silent.filter(F.col("out").isNotNull()).select(
         F.col("id").alias("src"), (1.0 / F.col("out")).alias("weight")
     )
     weighted = graph.sound_edges().join(broadcast_if(weights, small), "src")

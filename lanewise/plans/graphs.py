@@ -110,7 +110,7 @@ _NO_RETURN = [Hop("a", "b"), Hop("b", "c"), Hop("c", "a", absent=True)]
 register(
     "graph_motif_no_return",
     _on_graph(
-        lambda g: find(g.over_routes(), _NO_RETURN, where="c.id != a.id").select(
+        lambda g: find(g.by_route, _NO_RETURN, where="c.id != a.id").select(
             *_ids("a", "b", "c")
         )
     ),

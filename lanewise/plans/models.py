@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from ..functions import route_name
 from ..operators.learning import (
+    CATEGORIES,
+    FEATURES,
     category_index,
     evaluate_auc,
     feature_importance,
@@ -17,7 +19,7 @@ from ..operators.quality import confusion
 from ..operators.sampling import hash_split
 from ..session import new_folder
 from .registry import register
-from .standin import _TABLES, flights, once
+from .standin import FLIGHT_TABLES, flights, once
 
 
 def model_folder(spark, sf):
@@ -29,7 +31,7 @@ def model_folder(spark, sf):
         save_model(model, path)
         return path
 
-    return once(spark, sf, "model", _TABLES, fit)
+    return once(spark, sf, "model", FLIGHT_TABLES, fit)
 
 
 def _held_out(spark, sf):
@@ -57,6 +59,37 @@ register(
        SELECT id, carrier, "carrierIndexed", dofW, "dofWIndexed"
        FROM flights JOIN c USING (carrier) JOIN d USING (dofW)""",
 )
+def _features(spark, sf):
+    """The classifier's label and feature vector, spread into columns by feature name."""
+    scored = _scored(spark, sf)
+    values = vector_to_array("features")
+    return scored.select(
+        "id", "label", *[values[i].alias(name) for i, name in enumerate(FEATURES)]
+    )
+
+
+def _features_sql() -> str:
+    """Index the training part's categories by frequency; unseen ones get the next number."""
+    kept = "substr(md5('5043' || id), 1, 8) < 'b3333333'"
+    ctes, joins, columns = [], [], []
+    for i, category in enumerate(CATEGORIES):
+        ctes.append(
+            f""", x{i} AS (SELECT {category} AS k,
+                   (row_number() OVER (ORDER BY count(*) DESC, {category}::varchar) - 1)::DOUBLE AS n
+                 FROM scored WHERE {kept} GROUP BY {category})"""
+        )
+        joins.append(f"LEFT JOIN x{i} ON x{i}.k = s.{category}")
+        columns.append(
+            f'coalesce(x{i}.n, (SELECT count(*) FROM x{i})::DOUBLE) AS "{category}Indexed"'
+        )
+    columns += [f"{name}::DOUBLE AS {name}" for name in FEATURES[len(CATEGORIES) :]]
+    return (
+        f"{''.join(ctes)} SELECT s.id, s.label, {', '.join(columns)} FROM scored s"
+        f" {' '.join(joins)} WHERE NOT {kept}"
+    )
+
+
+register("ml_features", _features, _features_sql())
 register(
     "ml_score",
     lambda spark, sf: _scored(spark, sf).select(

@@ -17,7 +17,7 @@ from ..session import new_folder
 from ..sources import KeyedTable, read_json, read_json_inferred, register_views
 from ..streaming import decode, publish_files
 from .registry import register
-from .standin import _TABLES, flights, once, scored_flights, table
+from .standin import FLIGHT_TABLES, flights, once, scored_flights, table
 
 LATE = f"depdelay > {DELAY_MINUTES}"
 
@@ -55,7 +55,7 @@ def messages_folder(spark, sf):
         publish_files(flights(spark, sf), path, at_least=4)
         return path
 
-    return once(spark, sf, "messages", _TABLES, write)
+    return once(spark, sf, "messages", FLIGHT_TABLES, write)
 
 
 def _customers_json(spark, sf):
@@ -77,7 +77,7 @@ def _keyed_flights(spark, sf):
         keyed.compact()
         return path
 
-    return KeyedTable(spark, once(spark, sf, "keyed", _TABLES, write), SCORED_FLIGHTS)
+    return KeyedTable(spark, once(spark, sf, "keyed", FLIGHT_TABLES, write), SCORED_FLIGHTS)
 
 
 register(
