@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..session import settle
 from .graph import Graph
 from .paths import first_per_group
-from .skew import PART, broadcast_if, fits_in_memory
+from .skew import COPY, PART, broadcast_if, fits_in_memory
 
 
 class Hop(NamedTuple):
@@ -103,11 +103,10 @@ def _extend(
         hot = graph.hot_sources if end == "__s" else graph.hot_targets
         other = "__d" if end == "__s" else "__s"
         spread = F.struct(other, hop.edge) if hop.edge else F.col(other)
-        if hot.table is not None:
-            edges = hot.divide(edges, F.col(end), spread).withColumnRenamed(PART, "__right")
-            matches = hot.copy(matches, F.col(_id(name)))
-            condition = condition & (F.col(PART) == F.col("__right"))
-    joined = matches.join(edges, condition).drop(PART, "__right")
+        edges = hot.divide(edges, F.col(end), spread)
+        matches = hot.copy(matches, F.col(_id(name)))
+        condition = hot.match(condition)
+    joined = matches.join(edges, condition).drop(PART, COPY)
     for end, name in (("__s", hop.src), ("__d", hop.dst)):
         if name not in bound:
             joined = joined.withColumn(_id(name), F.col(end))

@@ -3,12 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import settle
 from .graph import Graph
-from .skew import PART, broadcast_if, fits_in_memory
+from .skew import broadcast_if, fits_in_memory
 
 
 class _RouteIndex:
@@ -16,24 +15,19 @@ class _RouteIndex:
 
     def __init__(self, graph: Graph, end: str):
         self.end, self.other = end, "dst" if end == "src" else "src"
-        routes = graph.by_route.edges
         self.hot = graph.by_route.hot_sources if end == "src" else graph.by_route.hot_targets
-        slots = int(routes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        laid = self.hot.divide(routes.select("src", "dst"), F.col(end), F.col(self.other))
-        self.laid = laid.repartition(slots, end, PART).persist(StorageLevel.MEMORY_AND_DISK)
+        routes = graph.by_route.edges.select("src", "dst")
+        self.laid = self.hot.lay_out(self.hot.divide(routes, F.col(end), F.col(self.other)), end)
 
     def step(self, frontier: DataFrame, *carry: str) -> DataFrame:
         """Vertices one route away from the frontier's, with the frontier's ``carry``."""
-        small = fits_in_memory(frontier)
-        # Broadcast rows meet every part, so only a shuffled frontier is copied per part.
-        if small:
-            near = F.broadcast(frontier.withColumnRenamed("id", "__at"))
-            met = self.laid.join(near, F.col(self.end) == F.col("__at"))
+        near = frontier.withColumnRenamed("id", "__at")
+        at_end = F.col(self.end) == F.col("__at")
+        # A broadcast row meets every part; only a shuffled one is copied per part.
+        if fits_in_memory(near):
+            met = self.laid.join(F.broadcast(near), at_end)
         else:
-            near = self.hot.copy(frontier.withColumnRenamed("id", "__at"), F.col("__at"))
-            met = self.laid.join(
-                near, (F.col(self.end) == F.col("__at")) & (self.laid[PART] == near[PART])
-            )
+            met = self.laid.join(self.hot.copy(near, F.col("__at")), self.hot.match(at_end))
         return met.select(F.col(self.other).alias("id"), *carry).distinct()
 
     def close(self) -> None:

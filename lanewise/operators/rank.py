@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .graph import Graph
-from .skew import PART, broadcast_if
+from .skew import broadcast_if
 
 
 def page_rank(
@@ -29,7 +29,7 @@ def page_rank(
     contributions.  Small vertex tables are broadcast instead, and then routes do not
     move at all.
     """
-    routes, hot = graph.by_route.edges, graph.by_route.hot_sources
+    routes, small = graph.by_route.edges, graph.small_vertices
     out = routes.groupBy("src").agg(F.sum("flights").alias("out"))
     ids = graph.vertices.select("id")
     # Every vertex, with nothing received: united with what is sent, one aggregate then
@@ -37,21 +37,24 @@ def page_rank(
     silent = settle(
         ids.join(out, ids.id == out.src, "left").select("id", "out", F.lit(0.0).alias("got"))
     )
-    small = graph.small_vertices
 
-    laid = hot.divide(routes, F.col("src"), F.col("dst"))
-    if not small:
-        slots = int(routes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        laid = laid.repartition(slots, "src", PART)
-    laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+    if small:
+        laid = routes.persist(StorageLevel.MEMORY_AND_DISK)
+    else:
+        hot = graph.by_route.hot_sources
+        laid = hot.lay_out(hot.divide(routes, F.col("src"), F.col("dst")), "src")
 
     ranks = silent.select("id", "out", F.lit(1.0).alias("pagerank"))
     for step in range(1, iterations + 1):
         given = ranks.filter(F.col("out").isNotNull()).select(
             F.col("id").alias("from"), (F.col("pagerank") / F.col("out")).alias("share")
         )
-        given = broadcast_if(hot.copy(given, F.col("from")), small)
-        sent = laid.join(given, (laid.src == given["from"]) & (laid[PART] == given[PART])).select(
+        to_source = F.col("src") == F.col("from")
+        if small:
+            met = laid.join(F.broadcast(given), to_source)
+        else:
+            met = laid.join(hot.copy(given, F.col("from")), hot.match(to_source))
+        sent = met.select(
             F.col("dst").alias("id"),
             F.lit(None).cast("long").alias("out"),
             (F.col("share") * F.col("flights")).alias("got"),

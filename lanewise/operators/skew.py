@@ -2,42 +2,39 @@
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import BROADCAST_BYTES, BROADCAST_ROWS, ROWS_PER_SPLIT, setting, settle
 
-PART = "__part"
+PART, COPY = "__part", "__copy"
 
 
 def fits_in_memory(df: DataFrame) -> bool:
     """Whether ``df`` is small enough to copy to every executor.
 
-    Measured, not estimated: rows and text size, reading no more than one row past
-    the bound.
+    Measured, not estimated: a row count, and only below its bound the size as text.
     """
     spark = df.sparkSession
-    max_rows = setting(spark, BROADCAST_ROWS)
-    if max_rows <= 0:
+    if df.count() > setting(spark, BROADCAST_ROWS):
         return False
-    width = F.coalesce(F.length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))), F.lit(0))
-    found = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"), F.sum(width).alias("size"))
-        .first()
-    )
-    return found.n <= max_rows and (found.size or 0) <= setting(spark, BROADCAST_BYTES)
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
+    size = df.agg(F.sum(F.octet_length(text))).first()[0]
+    return (size or 0) <= setting(spark, BROADCAST_BYTES)
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(df) if small else df
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class HotKeys:
     """The keys of a table that hold more than one split's worth of rows.
 
-    ``table`` has ``key`` and ``splits``; it is None when there are none.  It cannot
-    exceed (rows of the table / rows per split) rows.
+    The table's side of a join is ``divide``d, the other side ``copy``ed, and the join
+    condition passed through ``match``; then a hot key's rows meet in several tasks.
+    ``table`` has ``key`` and ``splits`` and cannot exceed (rows / rows per split)
+    rows; it is None when no key is hot, and all three steps then do nothing.
     """
 
     table: DataFrame | None
@@ -50,16 +47,32 @@ class HotKeys:
     def divide(self, df: DataFrame, key: Column, spread: Column) -> DataFrame:
         """Number the rows of each hot key into parts, by the hash of ``spread``."""
         if self.table is None:
-            return df.withColumn(PART, F.lit(0))
+            return df
         part = F.pmod(F.xxhash64(spread), F.coalesce("__splits", F.lit(1))).cast("int")
         return self._splits(df, key).withColumn(PART, part).drop("__splits")
 
     def copy(self, df: DataFrame, key: Column) -> DataFrame:
-        """Repeat each row of a hot key once per part, to meet ``divide``'s rows."""
+        """Repeat each row of a hot key once per part."""
         if self.table is None:
-            return df.withColumn(PART, F.lit(0))
+            return df
         parts = F.sequence(F.lit(0), F.coalesce("__splits", F.lit(1)) - 1)
-        return self._splits(df, key).withColumn(PART, F.explode(parts)).drop("__splits")
+        return self._splits(df, key).withColumn(COPY, F.explode(parts)).drop("__splits")
+
+    def match(self, condition: Column) -> Column:
+        return condition if self.table is None else condition & (F.col(PART) == F.col(COPY))
+
+    def lay_out(self, divided: DataFrame, key: str) -> DataFrame:
+        """Partition and sort a divided table by its join key and keep it, for a loop of joins.
+
+        Loaded at once: only a loaded table's layout is known to the planner, and then
+        the loop's joins neither shuffle nor sort it again.
+        """
+        slots = int(divided.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        keys = [key] if self.table is None else [key, PART]
+        laid = divided.repartition(slots, *keys).sortWithinPartitions(*keys)
+        laid = laid.persist(StorageLevel.MEMORY_AND_DISK)
+        laid.count()
+        return laid
 
 
 def hot_keys(df: DataFrame, key: str) -> HotKeys:

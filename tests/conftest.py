@@ -34,7 +34,7 @@ def folder(spark):
 def no_broadcast(spark):
     """Make every table too large to broadcast and every key of two rows hot."""
     settings = {
-        BROADCAST_ROWS: "0",
+        BROADCAST_ROWS: "-1",
         ROWS_PER_SPLIT: "2",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
     }
