@@ -2,6 +2,7 @@
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -102,8 +103,16 @@ def feature_importance(model: PipelineModel) -> DataFrame:
 
 
 def evaluate_auc(predictions: DataFrame) -> float:
-    """Area under ROC of the scored frame's ``rawPrediction``."""
-    return BinaryClassificationEvaluator().evaluate(predictions)
+    """Area under ROC of the scored frame's ``rawPrediction``.
+
+    The evaluator reads its input several times; keeping its two columns saves scoring
+    the rows again.
+    """
+    kept = predictions.select("label", "rawPrediction").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return BinaryClassificationEvaluator().evaluate(kept)
+    finally:
+        kept.unpersist()
 
 
 def train_and_hold_out(

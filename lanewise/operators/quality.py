@@ -1,5 +1,8 @@
 """How well a 0/1 prediction or a score matches a 0/1 label."""
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..session import settle
@@ -69,9 +72,13 @@ def area_under_roc(
     scored = settle(scored)
 
     # At most ``ranges`` cut points reach the driver.
-    cuts = scored.approxQuantile("s", [i / ranges for i in range(1, ranges)], 0.5 / ranges)
-    cuts = F.array(*[F.lit(c) for c in sorted(set(cuts))]).cast("array<double>")
-    ranged = scored.withColumn("r", F.size(F.filter(cuts, lambda c: c <= F.col("s"))))
+    quantiles = scored.approxQuantile("s", [i / ranges for i in range(1, ranges)], 0.5 / ranges)
+    cuts = sorted({q for q in quantiles if math.isfinite(q)})
+    if cuts:
+        splits = [-math.inf, *cuts, math.inf]
+        ranged = Bucketizer(inputCol="s", outputCol="r", splits=splits).transform(scored)
+    else:
+        ranged = scored.withColumn("r", F.lit(0.0))
 
     # One row per range, so these two windows are over at most ``ranges`` rows.
     below = Window.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)

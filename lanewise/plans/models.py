@@ -34,13 +34,20 @@ def model_folder(spark, sf):
     return once(spark, sf, "model", FLIGHT_TABLES, fit)
 
 
+def trained(spark, sf):
+    """The saved classifier, loaded once per application."""
+    return once(
+        spark, sf, "loaded model", FLIGHT_TABLES, lambda: load_model(model_folder(spark, sf))
+    )
+
+
 def _held_out(spark, sf):
     prepared = flights(spark, sf).withColumn("orig_dest", route_name())
     return hash_split(prepared, 0.7, "id", 5043)[1]
 
 
 def _scored(spark, sf):
-    return score(load_model(model_folder(spark, sf)), _held_out(spark, sf))
+    return score(trained(spark, sf), _held_out(spark, sf))
 
 
 def _string_index(spark, sf):
@@ -111,5 +118,5 @@ register(
 )
 register(
     "ml_feature_importance",
-    lambda spark, sf: feature_importance(load_model(model_folder(spark, sf))),
+    lambda spark, sf: feature_importance(trained(spark, sf)),
 )

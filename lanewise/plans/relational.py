@@ -44,15 +44,20 @@ def _sql(text):
     return run
 
 
+# What a keyed table keeps of rows with one key and no version: the greatest row.
+LATEST = "QUALIFY row_number() OVER (PARTITION BY id ORDER BY {}) = 1".format(
+    ", ".join(f"{name} DESC NULLS LAST" for name in FLIGHTS.names)
+)
+
 # -- scans -------------------------------------------------------------------
 
 
 def messages_folder(spark, sf):
-    """The flights as JSON lines, written once per application, in several files."""
+    """The flights as JSON lines, written once per application, in four files or more."""
 
     def write():
-        path = new_folder(spark, "messages")
-        publish_files(flights(spark, sf), path, at_least=4)
+        path, df = new_folder(spark, "messages"), flights(spark, sf)
+        publish_files(df, path, rows_per_file=min(1_000_000, df.count() // 4 + 1))
         return path
 
     return once(spark, sf, "messages", FLIGHT_TABLES, write)
@@ -96,7 +101,7 @@ register(
     lambda spark, sf: _keyed_flights(spark, sf)
     .read()
     .select("id", "orig_dest", "depdelay", "label", "prediction"),
-    "SELECT id, orig_dest, depdelay, label, prediction FROM scored",
+    f"SELECT id, orig_dest, depdelay, label, prediction FROM scored {LATEST}",
 )
 register(
     "sql_view",
@@ -125,9 +130,13 @@ def _upserted(spark, sf):
 register(
     "keyed_upsert",
     _upserted,
-    """SELECT * REPLACE (CASE WHEN depdelay > 40 THEN depdelay - 2 ELSE depdelay END AS depdelay),
-              (CASE WHEN depdelay > 40 THEN 2 ELSE 0 END)::INTEGER AS version
-       FROM flights""",
+    f"""SELECT * FROM (
+          SELECT *, 0 AS version FROM flights
+          UNION ALL
+          SELECT * REPLACE (depdelay - 2 AS depdelay), 2 AS version FROM flights
+          WHERE depdelay > 40
+        ) AS writes
+        {LATEST.replace("ORDER BY ", "ORDER BY version DESC, ")}""",
 )
 register(
     "to_json_messages",

@@ -107,15 +107,16 @@ def start_tail(
 # -- publishing --------------------------------------------------------------
 
 
-def publish_files(df: DataFrame, path: str, at_least: int | None = None) -> None:
+def publish_files(df: DataFrame, path: str, rows_per_file: int | None = None) -> None:
     """Write each row as one JSON message per line into text files.
 
-    ``at_least`` asks for that many files where the frame has fewer partitions.
+    Files are what a file stream admits to a micro-batch, so ``rows_per_file`` bounds
+    its steps.
     """
-    messages = df.select(as_message(df).alias("value"))
-    if at_least and messages.rdd.getNumPartitions() < at_least:
-        messages = messages.repartition(at_least)
-    messages.write.mode("overwrite").text(path)
+    writer = df.select(as_message(df).alias("value")).write.mode("overwrite")
+    if rows_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", str(rows_per_file))
+    writer.text(path)
 
 
 def publish_kafka(df: DataFrame, servers: str, topic: str) -> None:

@@ -48,7 +48,8 @@ def test_kafka_options():
 
 def test_publish_and_tail(spark, folder):
     df = flights(spark, SF)
-    publish_files(df, f"{folder}/in", at_least=3)
+    publish_files(df, f"{folder}/in", rows_per_file=300)
+    assert len(spark.read.text(f"{folder}/in").inputFiles()) >= 4
     start_tail(file_messages(spark, f"{folder}/in"), f"{folder}/c", f"{folder}/out", True).awaitTermination()
     back = decode(spark.read.text(f"{folder}/out"), FLIGHTS)
     assert back.exceptAll(df).isEmpty() and back.count() == df.count()
