@@ -6,7 +6,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import settle
+from ..session import store
 from .skew import HotKeys, broadcast_if, fits_in_memory, hot_keys
 
 
@@ -55,7 +55,7 @@ class Graph:
         Counting comes before the vertex check, so the check sees routes, not edges.
         """
         counted = self.edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("flights"))
-        return Graph(self.vertices, settle(Graph(self.vertices, counted).sound_edges()))
+        return Graph(self.vertices, store(Graph(self.vertices, counted).sound_edges(), "routes"))
 
     @cached_property
     def hot_sources(self) -> HotKeys:

@@ -5,7 +5,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..session import settle
+from ..session import store
 from .graph import Graph
 from .paths import first_per_group
 from .skew import COPY, PART, broadcast_if, fits_in_memory
@@ -186,9 +186,11 @@ def first_connections(
     into = touching(touching(edges, "src", start), "dst", via)
     out_of = touching(touching(edges, "src", via), "dst", end)
 
-    latest = settle(
-        out_of.groupBy(F.col("src").alias("at"), F.col("day").alias("on"))
-        .agg(F.max("leaves").alias("latest"))
+    latest = store(
+        out_of.groupBy(F.col("src").alias("at"), F.col("day").alias("on")).agg(
+            F.max("leaves").alias("latest")
+        ),
+        "latest",
     )
     latest = broadcast_if(latest, fits_in_memory(latest))
     connected = (

@@ -5,7 +5,7 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..session import settle
+from ..session import store
 
 
 def confusion(
@@ -69,7 +69,7 @@ def area_under_roc(
         .groupBy("s")
         .agg(F.count_if(F.col("y") == 1.0).alias("pos"), F.count_if(F.col("y") == 0.0).alias("neg"))
     )
-    scored = settle(scored)
+    scored = store(scored, "scores")
 
     # At most ``ranges`` cut points reach the driver.
     quantiles = scored.approxQuantile("s", [i / ranges for i in range(1, ranges)], 0.5 / ranges)

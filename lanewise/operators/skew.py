@@ -1,5 +1,6 @@
 """Joins that stay even when one key holds much of the table."""
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -11,16 +12,13 @@ PART, COPY = "__part", "__copy"
 
 
 def fits_in_memory(df: DataFrame) -> bool:
-    """Whether ``df`` is small enough to copy to every executor.
-
-    Measured, not estimated: a row count, and only below its bound the size as text.
-    """
+    """Whether ``df`` is small enough to copy to every executor: measured, not estimated."""
     spark = df.sparkSession
-    if df.count() > setting(spark, BROADCAST_ROWS):
-        return False
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    size = df.agg(F.sum(F.octet_length(text))).first()[0]
-    return (size or 0) <= setting(spark, BROADCAST_BYTES)
+    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("size")).first()
+    return found.n <= setting(spark, BROADCAST_ROWS) and (found.size or 0) <= setting(
+        spark, BROADCAST_BYTES
+    )
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
@@ -67,7 +65,12 @@ class HotKeys:
         Loaded at once: only a loaded table's layout is known to the planner, and then
         the loop's joins neither shuffle nor sort it again.
         """
-        slots = int(divided.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        spark, rows = divided.sparkSession, divided.count()
+        slots = max(
+            min(spark.sparkContext.defaultParallelism, math.ceil(rows / 10_000)),
+            math.ceil(rows / setting(spark, ROWS_PER_SPLIT)),
+            1,
+        )
         keys = [key] if self.table is None else [key, PART]
         laid = divided.repartition(slots, *keys).sortWithinPartitions(*keys)
         laid = laid.persist(StorageLevel.MEMORY_AND_DISK)

@@ -69,8 +69,19 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table that will be read many times, and read it back.
+
+    Parquet, so that its readers take only the columns they need and the planner knows
+    its size.
+    """
+    path = new_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage."""
+    """Write the state of a loop to the reliable checkpoint folder and cut its lineage."""
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(scratch_root(df.sparkSession))
