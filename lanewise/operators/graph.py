@@ -35,7 +35,7 @@ class Graph:
         """Whether the vertex table, attributes included, may be broadcast."""
         return fits_in_memory(self.vertices)
 
-    def vertex_side(self, *columns: str) -> DataFrame:
+    def vertex_side(self, *columns: str | Column) -> DataFrame:
         """Vertices as the small side of a join, if they are in fact small."""
         picked = self.vertices.select(*columns) if columns else self.vertices
         return broadcast_if(picked, self.small_vertices)

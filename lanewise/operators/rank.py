@@ -76,8 +76,11 @@ def page_rank(
     scaled = ranks.select(F.col("id"), (F.col("pagerank") * F.lit(scale)).alias("pagerank"))
     ranked = graph.vertices.join(scaled, "id")
 
+    # A source with a weight is a vertex, so only the targets are left to check.
     weights = silent.filter(F.col("out").isNotNull()).select(
         F.col("id").alias("src"), (1.0 / F.col("out")).alias("weight")
     )
-    weighted = graph.sound_edges().join(broadcast_if(weights, small), "src")
+    weighted = graph.edges.join(broadcast_if(weights, small), "src").join(
+        graph.vertex_side(F.col("id").alias("dst")), "dst", "left_semi"
+    )
     return Graph(ranked, weighted.select(*graph.edges.columns, "weight"))

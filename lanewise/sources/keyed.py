@@ -154,11 +154,13 @@ class KeyedTable:
         (_, base_name), deltas = self._current()
         if not deltas:
             return
-        names = [base_name] + [name for *_, name in deltas]
-        merged = self.spark.read.option("mergeSchema", "true").parquet(
-            *[f"{self.path}/{name}" for name in names]
-        )
-        full = StructType([f for f in merged.schema.fields if f.name != _SEQ])
+        # One job wrote each folder, so any file of it has the folder's columns.
+        columns = {}
+        for name in [base_name] + [name for *_, name in deltas]:
+            for field in self.spark.read.parquet(f"{self.path}/{name}").schema:
+                columns.setdefault(field.name, field)
+        columns.pop(_SEQ)
+        full = StructType(list(columns.values()))
         seq = deltas[-1][0]
         self.read(full).write.mode("overwrite").parquet(f"{self.path}/base-{seq:012d}")
         if remove_old:

@@ -2,6 +2,7 @@ from .jobs import (
     decode,
     publish_files,
     publish_kafka,
+    run_for,
     score_stream,
     start_keyed_sink,
     start_tail,
@@ -12,6 +13,7 @@ __all__ = [
     "decode",
     "publish_files",
     "publish_kafka",
+    "run_for",
     "score_stream",
     "start_keyed_sink",
     "start_tail",

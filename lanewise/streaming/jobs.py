@@ -61,6 +61,7 @@ def start_keyed_sink(
     order_by: list[str] | None = None,
     rejects: str | None = None,
     raw: str | None = None,
+    compact_every: int | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
     """Upsert every micro-batch into an existing keyed table.
@@ -68,7 +69,8 @@ def start_keyed_sink(
     A batch repeated after a failure changes nothing: the table remembers the batches
     of each writer, and the writer is this checkpoint folder.  Rows without a key
     (messages that did not parse) go to ``<rejects>/<batch>`` if given; column ``raw``
-    is kept there only.
+    is kept there only.  ``compact_every`` folds the table's deltas together after so
+    many batches, which keeps reads cheap on a stream that runs for long.
     """
     if not table.exists():
         raise ValueError(f"no keyed table at {table.path}")
@@ -78,16 +80,18 @@ def start_keyed_sink(
         stored = batch.drop(raw) if raw else batch
         if rejects is None:
             table.upsert(stored, order_by, writer, epoch)
-            return
-        # Two writes read the batch; keep it so that it is scored once.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            table.upsert(stored, order_by, writer, epoch)
-            lost = table.without_key(batch)
-            lost = lost.select(raw) if raw else lost
-            lost.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
-        finally:
-            batch.unpersist()
+        else:
+            # Two writes read the batch; keep it so that it is scored once.
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
+            try:
+                table.upsert(stored, order_by, writer, epoch)
+                lost = table.without_key(batch)
+                lost = lost.select(raw) if raw else lost
+                lost.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
+            finally:
+                batch.unpersist()
+        if compact_every and (epoch + 1) % compact_every == 0:
+            table.compact()
 
     return _start(rows.writeStream.foreachBatch(apply), checkpoint, available_now)
 
@@ -104,6 +108,14 @@ def start_tail(
     return _start(writer.outputMode("append"), checkpoint, available_now)
 
 
+def run_for(query: StreamingQuery, seconds: float) -> bool:
+    """Let a stream run for at most so long, then stop it; True if it ended by itself."""
+    ended = bool(query.awaitTermination(seconds))
+    if not ended:
+        query.stop()
+    return ended
+
+
 # -- publishing --------------------------------------------------------------
 
 

@@ -18,7 +18,7 @@ TABLES = (
 @pytest.fixture(scope="session")
 def spark():
     session = local_session("lanewise-tests", os.environ.get("TEST_CPUS", "8"))
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session.conf.set("spark.sql.shuffle.partitions", "3")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

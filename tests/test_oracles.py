@@ -24,8 +24,12 @@ def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("scale", ["0.001", "0.01"])
-@pytest.mark.parametrize("name", sorted(QUERIES))
+# The smallest tables give graphs with vertices that have no way out, and empty results.
+CASES = [(name, "0.01") for name in sorted(QUERIES)]
+CASES += [(name, "0.001") for name in sorted(QUERIES) if name.startswith("graph_")]
+
+
+@pytest.mark.parametrize("name,scale", CASES)
 def test_query(spark, twins, name, scale):
     df = QUERIES[name](spark, f"{TESTDATA}/sf{scale}")
     columns = sorted(df.columns)

@@ -17,9 +17,11 @@ from lanewise.operators.learning import (
 from lanewise.plans.standin import flights
 from lanewise.schemas import FLIGHTS, SCORED_FLIGHTS
 from lanewise.sources import KeyedTable, file_messages, kafka_options
+from lanewise.sources.folders import child_folders
 from lanewise.streaming import (
     decode,
     publish_files,
+    run_for,
     score_stream,
     start_keyed_sink,
     start_tail,
@@ -65,7 +67,13 @@ def test_restart_and_rejects(spark, folder):
         messages = file_messages(spark, f"{folder}/in/*", max_files_per_trigger=1)
         rows = with_route(decode(messages, FLIGHTS, raw="raw"))
         start_keyed_sink(
-            rows, table, f"{folder}/c", rejects=f"{folder}/bad", raw="raw", available_now=True
+            rows,
+            table,
+            f"{folder}/c",
+            rejects=f"{folder}/bad",
+            raw="raw",
+            compact_every=2,
+            available_now=True,
         ).awaitTermination()
 
     run()
@@ -76,9 +84,18 @@ def test_restart_and_rejects(spark, folder):
     run()
     stored = table.read()
     assert stored.exceptAll(with_route(df)).isEmpty() and stored.count() == df.count()
+    assert len([f for f in child_folders(spark, table.path) if f.startswith("base")]) >= 2
     assert sorted(r.raw for r in spark.read.parquet(f"{folder}/bad").collect()) == ["oops", "{"]
 
 
+def test_bounded_run_of_a_live_stream(spark, folder):
+    publish_files(flights(spark, SF), f"{folder}/in")
+    query = start_tail(file_messages(spark, f"{folder}/in"), f"{folder}/c", f"{folder}/out")
+    query.processAllAvailable()
+    assert not run_for(query, 1) and not query.isActive
+    assert spark.read.text(f"{folder}/out").count() == flights(spark, SF).count()
+
+
 def test_sink_needs_a_table(spark, folder):
     missing = KeyedTable(spark, folder, FLIGHTS)
     with pytest.raises(ValueError):
