@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import store
 from .graph import Graph
-from .paths import first_per_group
+from .reports import first_per_group
 from .skew import COPY, PART, broadcast_if, fits_in_memory
 
 

@@ -3,10 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import settle
 from .graph import Graph
+from .reports import first_per_group
 from .skew import broadcast_if, fits_in_memory
 
 
@@ -162,16 +163,6 @@ def _attach(
     return paths.select(*(columns if length else names))
 
 
-def first_per_group(df: DataFrame, keys: list[str], order: list[str], n: int) -> DataFrame:
-    """The first ``n`` rows of each group.
-
-    Spark limits each group inside every task before the shuffle, so a group's task
-    receives at most ``n`` rows from each of the others.
-    """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("__position", position).filter(F.col("__position") <= n).drop("__position")
-
-
 def path_texts(paths: DataFrame, edge_key: str = "id") -> DataFrame:
     """Paths of any length under fixed columns: ``path, edges`` (ids joined) and ``hops``."""
     hops = sum(1 for c in paths.columns if c not in ("from", "to") and c.startswith("e"))

@@ -2,7 +2,8 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import AtomicType
 
 Condition = str | Column
 
@@ -62,6 +63,32 @@ def top_rows(
     return top.select(*columns) if columns else top
 
 
+# Up to this n (its default for windowGroupLimitThreshold) Spark limits groups inside
+# tasks by itself; beyond it a group is first limited in this many parts.
+_LIMITED_BY_SPARK, _PARTS = 1000, 256
+
+
+def first_per_group(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], n: int
+) -> DataFrame:
+    """The first ``n`` rows of each group.
+
+    Spark limits each group inside every task before the shuffle, so a group that holds
+    much of the table sends no more than ``n`` rows per task.  For a large ``n`` a
+    group's rows are first spread over parts and each part is limited.
+    """
+    if n > _LIMITED_BY_SPARK:
+        simple = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+        part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in simple]), F.lit(_PARTS))
+        df = _numbered(df.withColumn("__part", part), [*keys, "__part"], order_by, n).drop("__part")
+    return _numbered(df, keys, order_by, n)
+
+
+def _numbered(df, keys, order_by, n):
+    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*order_by))
+    return df.withColumn("__position", position).filter(F.col("__position") <= n).drop("__position")
+
+
 def _ordered(df: DataFrame, order_by: Sequence[Column | str], limit: int | None) -> DataFrame:
     if order_by:
         df = df.orderBy(*order_by)

@@ -14,8 +14,9 @@ into a new base.  One writer at a time.
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import AtomicType, LongType, StructField, StructType
 
+from ..operators.reports import first_per_group
 from .folders import child_folders, is_complete, remove_folder
 
 _SEQ = "__seq"
@@ -24,15 +25,14 @@ _DELTA = re.compile(r"delta-(\d+)-(\w+)-(\d+)$")
 
 
 def latest_per_key(df: DataFrame, key: str, order_by: list[str] | None = None) -> DataFrame:
-    """One row per key: the greatest by ``order_by``, ties broken by the row itself.
+    """One row per key: the greatest by ``order_by``, then by the row's own simple columns.
 
-    A plain aggregate rather than a window: each task first reduces its own rows, so a
-    key that holds most of the table costs no more than any other in the shuffle.
+    Nulls are least.  Each task first reduces its own rows to one per key, so a key that
+    holds most of the table costs no more than any other in the shuffle.
     """
-    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-    rank = F.struct(*[F.col(f"`{c}`") for c in order_by or []], row)
-    best = df.groupBy(F.col(f"`{key}`").alias("__key")).agg(F.max_by(row, rank).alias("__row"))
-    return best.select("__row.*")
+    ties = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
+    order = [F.col(f"`{c}`").desc_nulls_last() for c in [*(order_by or []), *ties]]
+    return first_per_group(df, [key], order, 1)
 
 
 class KeyedTable:

@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from lanewise.functions import as_message, bucketize, route_name
 from lanewise.functions.buckets import CLASS_SPLITS, REPORT_SPLITS
 from lanewise.operators.quality import area_under_roc, confusion
-from lanewise.operators.reports import count_report, group_report, rows_where, top_rows
+from lanewise.operators.reports import (
+    count_report,
+    first_per_group,
+    group_report,
+    rows_where,
+    top_rows,
+)
 from lanewise.operators.sampling import hash_split, random_split, stratified_sample
 from lanewise.schemas import FLIGHTS, SCORED_FLIGHTS
 from lanewise.sources import keep_in_memory, read_json, read_json_inferred
@@ -133,6 +139,20 @@ class TestReports:
         got = group_report(df, ["k"], {"top": F.max("v")}, where="v < 9", order_by=[F.desc("top")], limit=2)
         assert [(r.k, r.top) for r in got.collect()] == [(2, 8), (1, 7)]
 
+    @pytest.mark.parametrize("n", [1, 7, 1200])
+    def test_first_per_group(self, spark, n):
+        hot = F.when(F.col("id") % 3 > 0, "hot").otherwise((F.col("id") % 9).cast("string"))
+        df = spark.range(4000).select(hot.alias("k"), ((F.col("id") * 7919) % 4001).alias("v"))
+        got = first_per_group(df, ["k"], [F.desc("v")], n)
+        want = {}
+        for r in df.collect():
+            want.setdefault(r.k, []).append(r.v)
+        want = {k: sorted(v, reverse=True)[:n] for k, v in want.items()}
+        have = {}
+        for r in got.orderBy(F.desc("v")).collect():
+            have.setdefault(r.k, []).append(r.v)
+        assert have == want and got.columns == ["k", "v"]
+
     def test_rows_where_takes_text_and_columns(self, spark):
         df = spark.range(5)
         assert rows_where(df, "id > 2", ["id"]).count() == rows_where(df, F.col("id") > 2).count() == 2
