@@ -39,8 +39,8 @@ def find(graph: Graph, pattern: Sequence[Hop], where: str | Column | None = None
     if not present:
         raise ValueError("a pattern needs at least one present hop")
     matches, bound = None, []
-    for number, hop in enumerate(present):
-        matches = _extend(graph, matches, bound, hop, number)
+    for hop in present:
+        matches = _extend(graph, matches, bound, hop)
         bound += [end for end in dict.fromkeys((hop.src, hop.dst)) if end not in bound]
 
     small = graph.small_vertices
@@ -57,26 +57,23 @@ def find(graph: Graph, pattern: Sequence[Hop], where: str | Column | None = None
             continue
         if hop.src not in bound or hop.dst not in bound:
             raise ValueError(f"absent hop {hop.src} to {hop.dst} must join named vertices")
-        closing = graph.edges.select(F.col("src").alias("__s"), F.col("dst").alias("__d")).distinct()
+        closing = graph.edges.select(F.col("src").alias("__s"), F.col("dst").alias("__d"))
+        closing = closing.distinct()
         matches = matches.join(
             closing,
             (F.col(_id(hop.src)) == F.col("__s")) & (F.col(_id(hop.dst)) == F.col("__d")),
             "left_anti",
         )
 
-    columns = []
-    for hop in present:
-        columns += [c for c in (hop.src, hop.edge, hop.dst) if c and c not in columns]
-    return matches.select(*[F.col(f"`{c}`") for c in columns])
+    named = [name for hop in present for name in (hop.src, hop.edge, hop.dst) if name]
+    return matches.select(*[F.col(f"`{name}`") for name in dict.fromkeys(named)])
 
 
 def _id(name: str) -> str:
     return f"__id_{name}"
 
 
-def _extend(
-    graph: Graph, matches: DataFrame | None, bound: list[str], hop: Hop, number: int
-) -> DataFrame:
+def _extend(graph: Graph, matches: DataFrame | None, bound: list[str], hop: Hop) -> DataFrame:
     """Join one more hop to the matches, on the ends already bound."""
     row = _row(graph.edges)
     edges = graph.edges.select(
@@ -99,7 +96,7 @@ def _extend(
         condition = condition & (F.col(end) == F.col(_id(name)))
     if len(shared) == 1:
         # One shared vertex: its edges may be a large part of the table.
-        (end, name), = shared.items()
+        [(end, name)] = shared.items()
         hot = graph.hot_sources if end == "__s" else graph.hot_targets
         other = "__d" if end == "__s" else "__s"
         spread = F.struct(other, hop.edge) if hop.edge else F.col(other)

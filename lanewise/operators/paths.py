@@ -39,22 +39,24 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def hop_counts(graph: Graph, landmarks: Sequence[str]) -> DataFrame:
+def hop_counts(graph: Graph, landmarks: Sequence[str], merge_every: int = 16) -> DataFrame:
     """Fewest hops from each vertex to each landmark it can reach: ``id, landmark, hops``.
 
     Works backwards from the landmarks, one ring of vertices at a time, until a ring
-    is empty.  Each ring is written to the checkpoint folder.
+    is empty.  Each ring is written to the checkpoint folder; ``merge_every`` rings are
+    written together again, so that a graph of great diameter does not grow the plan.
     """
     index = _RouteIndex(graph, "dst")
-    ring = settle(
-        graph.vertices.filter(F.col("id").isin(*landmarks)).select("id", F.col("id").alias("landmark"))
-    )
+    marks = graph.vertices.filter(F.col("id").isin(*landmarks))
+    ring = settle(marks.select("id", F.col("id").alias("landmark")))
     rings, hops = [ring.withColumn("hops", F.lit(0))], 0
     while not ring.isEmpty():
         hops += 1
         seen = _union(rings).select("id", "landmark")
         ring = settle(index.step(ring, "landmark").join(seen, ["id", "landmark"], "left_anti"))
         rings.append(ring.withColumn("hops", F.lit(hops)))
+        if len(rings) == merge_every:
+            rings = [settle(_union(rings))]
     index.close()
     return _union(rings)
 

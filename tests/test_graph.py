@@ -136,6 +136,12 @@ class TestHops:
         got = {r.id: r.distances for r in shortest_paths(small, ["A", "D"]).collect()}
         assert got["D"] == {"D": 0} and got["C"] == {"A": 1, "D": 1}
 
+    def test_long_chain(self, spark):
+        vertices = [f"V{i}" for i in range(9)]
+        graph = graph_of(spark, vertices, list(zip(vertices, vertices[1:])))
+        got = {r.id: r.hops for r in hop_counts(graph, ["V8"], merge_every=3).collect()}
+        assert got == {f"V{i}": 8 - i for i in range(9)}
+
     def check(self, spark, seed):
         pairs, vertices = random_pairs(seed, 25, 40), [f"V{i}" for i in range(25)]
         graph = graph_of(spark, vertices, pairs)
@@ -221,7 +227,8 @@ class TestMotifs:
         assert got.columns == ["a", "ab", "b", "bc", "c"] and got.count() == 4
 
     def test_self_loop_pattern(self, small):
-        assert pairs_of(find(small, [Hop("a", "a", "loop")]), "a.id") == [("A",)]
+        got = find(small, [Hop("a", "a", "loop")])
+        assert got.columns == ["a", "loop"] and pairs_of(got, "a.id") == [("A",)]
 
     def test_closed_triangle(self, small):
         got = find(small, [Hop("a", "b", "x"), Hop("b", "c", "y"), Hop("c", "a", "z")], where="a.id = 'B'")
