@@ -6,6 +6,7 @@ from .common import read
 from .mixing import Mix
 from .quality import fit_ratio, judge
 from .sharding import shard_slots
+from .simhash import hex_print, simhash_groups
 
 
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,12 @@ def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(read(spark, sf_dir, "documents")).select(
+        "doc_id", hex_print(F.col("print")).alias("fingerprint"), "component_id"
+    )
+
+
 def op9_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -30,5 +37,5 @@ def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(read(spark, sf_dir, "documents")).taken()
 
 
-QUERIES = {f.__name__: f for f in (op3_minimax_shards, op9_quality_ratio, op10_weighted_mix)}
+QUERIES = {f.__name__: f for f in (op3_minimax_shards, op5_simhash_components, op9_quality_ratio, op10_weighted_mix)}
 ORACLES: dict[str, str] = {}
