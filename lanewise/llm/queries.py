@@ -2,11 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import read
+from .common import held_out, read
+from .langid import fit_languages, predict_languages
 from .mixing import Mix
 from .quality import fit_ratio, judge
 from .sharding import shard_slots
 from .simhash import hex_print, simhash_groups
+from .toxicity import fit_toxicity, score_toxicity
 
 
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,12 +23,32 @@ def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id"), 3, 1))
+    return score_toxicity(docs, fit_toxicity(docs, labels)).select(
+        "doc_id",
+        held_out(F.col("doc_id"), 3, 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
+
+
 def op5_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(read(spark, sf_dir, "documents")).select(
         "doc_id", hex_print(F.col("print")).alias("fingerprint"), "component_id"
     )
 
 
+def op6_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    network = fit_languages(docs.filter(~out))
+    return predict_languages(docs.select("doc_id", "text"), network).select(
+        "doc_id", out.alias("held_out"), "lang_pred", "score"
+    )
+
+
 def op9_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -37,5 +59,5 @@ def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(read(spark, sf_dir, "documents")).taken()
 
 
-QUERIES = {f.__name__: f for f in (op3_minimax_shards, op5_simhash_components, op9_quality_ratio, op10_weighted_mix)}
+QUERIES = {f.__name__: f for f in (op3_minimax_shards, op4_toxicity_machine, op5_simhash_components, op6_language_network, op9_quality_ratio, op10_weighted_mix)}
 ORACLES: dict[str, str] = {}
