@@ -2,12 +2,14 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import store
 from .common import held_out, read
 from .langid import fit_languages, predict_languages
 from .mixing import Mix
 from .quality import fit_ratio, judge
 from .sharding import shard_slots
 from .simhash import hex_print, simhash_groups
+from .suffix_tree import fit_tree, score_texts, word_counts
 from .toxicity import fit_toxicity, score_toxicity
 
 
@@ -49,6 +51,14 @@ def op6_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 7, 2)
+    learnt = docs.filter(~out)
+    counts = store(word_counts(learnt), "suffix-words")
+    return score_texts(docs, fit_tree(learnt), counts).withColumn("held_out", out)
+
+
 def op9_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     trusted = read(spark, sf_dir, "labels").filter("quality = 1")
@@ -59,5 +69,5 @@ def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(read(spark, sf_dir, "documents")).taken()
 
 
-QUERIES = {f.__name__: f for f in (op3_minimax_shards, op4_toxicity_machine, op5_simhash_components, op6_language_network, op9_quality_ratio, op10_weighted_mix)}
+QUERIES = {f.__name__: f for f in (op3_minimax_shards, op4_toxicity_machine, op5_simhash_components, op6_language_network, op8_suffix_tree, op9_quality_ratio, op10_weighted_mix)}
 ORACLES: dict[str, str] = {}

@@ -128,8 +128,8 @@ def _hashed(text: Column) -> Column:
 
 
 def _telling(rows: DataFrame, least: float, most_terms: int) -> DataFrame:
-    """Terms whose share among toxic rows differs clearly (signed root of chi-square over
-    ``least``), the clearest ``most_terms`` of them."""
+    """Terms whose share among toxic rows differs clearly (likelihood ratio statistic of at
+    least ``least``), the clearest ``most_terms`` of them."""
     total, toxic = rows.agg(F.count(F.lit(1)), F.sum("label")).first()
     if not toxic or toxic == total:
         return rows.sparkSession.createDataFrame([], "term int")
@@ -137,12 +137,14 @@ def _telling(rows: DataFrame, least: float, most_terms: int) -> DataFrame:
         rows.select("label", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("t"))
-        .filter("n >= 3")
     )
-    p, n = F.lit(toxic / total), F.col("n")
-    spread = F.sqrt(n * p * (1 - p) * (1 - n / F.lit(float(total))) + 1e-9)
-    z = F.abs((F.col("t") - n * p) / spread)
-    return counts.filter(z >= least).orderBy(z.desc(), "term").limit(most_terms).select("term")
+
+    def part(seen: Column, share: float) -> Column:
+        return F.when(seen > 0, seen * F.log(seen / (F.col("n") * share))).otherwise(0.0)
+
+    share = toxic / total
+    ratio = 2 * (part(F.col("t"), share) + part(F.col("n") - F.col("t"), 1 - share))
+    return counts.filter(ratio >= least).orderBy(ratio.desc(), "term").limit(most_terms).select("term")
 
 
 def fit_toxicity(
@@ -150,7 +152,7 @@ def fit_toxicity(
     labels: DataFrame,
     max_rows: int = 20_000,
     max_terms: int = 2_000,
-    least: float = 5.0,
+    least: float = 25.0,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> FactorizationMachine:
@@ -160,13 +162,14 @@ def fit_toxicity(
     ids are small enough to copy to every executor.  Terms enter the machine when they tell
     toxic from other documents, or do so among the documents that have such a term (the
     other half of a telling pair); at most ``max_terms`` each way.  Rows with a null label
-    or doc_id teach nothing; of several labels for one document the highest counts.
+    or doc_id teach nothing, equal documents teach once; of several labels for one document the highest counts.
     """
     marked = labels.select(F.col(doc_id).alias("__id"), F.col("toxic").cast("int").alias("label"))
     marked = marked.dropna().groupBy("__id").agg(F.max("label").alias("label"))
     marked = F.broadcast(bounded_sample(marked, max_rows, "__id"))
     chosen = docs.join(marked, F.col(doc_id) == F.col("__id")).select("label", F.col(text).alias("text"))
-    rows = store(chosen.select("label", _hashed(F.col("text")).alias("terms")), "toxicity-terms")
+    hashed = chosen.select("label", _hashed(F.col("text")).alias("terms"))
+    rows = store(hashed.dropDuplicates(["label", "terms"]), "toxicity-terms")
 
     def first_of(found: DataFrame) -> list[int]:
         return sorted(r.term for r in found.collect())
