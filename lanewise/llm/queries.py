@@ -2,14 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import store
 from .common import held_out, read
 from .langid import fit_languages, predict_languages
 from .mixing import Mix
 from .quality import fit_ratio, judge
 from .sharding import shard_slots
 from .simhash import hex_print, simhash_groups
-from .suffix_tree import fit_tree, score_texts, word_counts
+from .suffix_tree import fit_model, score_texts
 from .toxicity import fit_toxicity, score_toxicity
 
 
@@ -54,9 +53,7 @@ def op6_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 7, 2)
-    learnt = docs.filter(~out)
-    counts = store(word_counts(learnt), "suffix-words")
-    return score_texts(docs, fit_tree(learnt), counts).withColumn("held_out", out)
+    return score_texts(docs, fit_model(docs.filter(~out))).withColumn("held_out", out)
 
 
 def op9_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
