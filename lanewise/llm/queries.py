@@ -3,8 +3,11 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import held_out, read
+from .decontaminate import find_items
 from .langid import fit_languages, predict_languages
+from .licenses import duckdb_scan, scan_licences
 from .mixing import Mix
+from .pseudonyms import pseudonymise
 from .quality import fit_ratio, judge
 from .sharding import shard_slots
 from .simhash import hex_print, simhash_groups
@@ -12,6 +15,28 @@ from .suffix_tree import fit_model, score_texts
 from .toxicity import fit_toxicity, score_toxicity
 
 
+#: For reruns that agree; a real job takes its key from its own secret store.
+_KEY = b"reproducible-demonstration-key"
+
+
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudonymise(docs, _KEY).select(
+        "doc_id", "text", F.size("pii").cast("long").alias("n_found"), F.col("pii.kind").alias("kinds")
+    )
+
+
+def op2_pigeonhole_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    return find_items(docs, items).select(
+        "doc_id",
+        (F.size("leaks") > 0).alias("leaked"),
+        F.size("leaks").cast("long").alias("n_leaks"),
+        F.col("leaks.item_id").alias("item_ids"),
+        F.col("leaks.errors").alias("errors"),
+    )
+
+
 def op3_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_slots(read(spark, sf_dir, "documents"), 24).select(
         "doc_id",
@@ -50,6 +75,15 @@ def op6_language_network(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_sentence_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return scan_licences(docs).select(
+        "doc_id",
+        F.array_join("sentences", ",").alias("sentences"),
+        F.array_join("licences", ",").alias("licences"),
+    )
+
+
 def op8_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 7, 2)
@@ -66,5 +100,19 @@ def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Mix(read(spark, sf_dir, "documents")).taken()
 
 
-QUERIES = {f.__name__: f for f in (op3_minimax_shards, op4_toxicity_machine, op5_simhash_components, op6_language_network, op8_suffix_tree, op9_quality_ratio, op10_weighted_mix)}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_feistel_pseudonyms,
+        op2_pigeonhole_leaks,
+        op3_minimax_shards,
+        op4_toxicity_machine,
+        op5_simhash_components,
+        op6_language_network,
+        op7_sentence_licences,
+        op8_suffix_tree,
+        op9_quality_ratio,
+        op10_weighted_mix,
+    )
+}
+ORACLES = {"op7_sentence_licences": duckdb_scan("documents")}
