@@ -6,6 +6,9 @@ from lanewise.llm import stages
 from lanewise.session import store
 
 STAGES = [
+    ("toxicity", stages.toxicity),
+    ("near duplicates", stages.near_duplicates),
+    ("decontamination", stages.decontamination),
     ("mixing", stages.mixing),
     ("sharding", stages.sharding),
 ]

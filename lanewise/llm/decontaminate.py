@@ -188,3 +188,19 @@ def find_items(
     joined = every.groupBy("doc_id").agg(F.flatten(F.collect_set("leaks")).alias("leaks"))
     empty = F.array().cast(parts[0].schema["leaks"].dataType)
     return rows.select("doc_id").join(joined, "doc_id", "left").withColumn("leaks", F.coalesce("leaks", empty))
+
+
+def drop_leaks(
+    docs: DataFrame, items: DataFrame, error: float = 0.07, block_bytes: int = 4 << 20, text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` in whose text no item is found, as ``find_items`` finds them.
+
+    No join is needed: each row is judged where it is read, block after block of items.
+    """
+    plain = items.filter(F.col("text").isNotNull()).select("item_id", "text")
+    for number, block in enumerate(_blocks(plain, block_bytes)):
+        texts = [(None, t) for t in (plain_text(row.text) for row in block) if t]
+        sent = docs.sparkSession.sparkContext.broadcast(texts)
+        docs = store(docs, "leak-free") if number else docs
+        docs = docs.filter(F.size(_found(sent, error)(F.col(text))) == 0)
+    return docs

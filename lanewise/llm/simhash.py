@@ -209,3 +209,161 @@ def simhash_groups(
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = store(rooted.join(least, "root").select("print", "component_id"), "simhash-named")
     return rows.join(named, "print").select("doc_id", "print", "component_id")
+
+
+# Near duplicates by similarity.  Documents whose shingle sets overlap by 0.8 can differ in
+# a quarter of their fingerprint's bits, too many for block keys.  Their shards are made by
+# minimum hashes instead: such documents share each of them with probability 0.8.
+
+_KEYS = 6
+_SKETCH = 512
+_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 3)) & (2**64 - 1) for i in range(_KEYS + 1)], np.uint64)
+
+
+def _mixed(values: np.ndarray, number: int) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(31))) * _ODD[number]
+    return (values ^ (values >> np.uint64(29))) * _ODD[0]
+
+
+def sketch(text: bytes | None, width: int) -> tuple[int, list[int], bytes, int]:
+    """Fingerprint, minimum hashes, the least 512 shingle hashes (32 bits, sorted) and the
+    number of different shingles of a whole text."""
+    hashes = shingle_hashes(text, width)
+    different = np.unique(hashes.astype(np.uint64))
+    keys = [int(_mixed(different, i).min().astype(np.int64)) for i in range(_KEYS)] if len(different) else []
+    least = np.unique((_mixed(different, _KEYS) >> np.uint64(32)).astype("<u4"))
+    return _signed(simhash(hashes)), keys, least[:_SKETCH].tobytes(), len(different)
+
+
+def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Overlap of two shingle sets from their sketches: exact when both sets fit."""
+    both = np.concatenate([a, b])
+    both.sort()
+    twice = both[1:][both[1:] == both[:-1]]
+    if len(a) < _SKETCH and len(b) < _SKETCH:
+        return len(twice) / max(len(both) - len(twice), 1)
+    union = np.unique(both)[:_SKETCH]
+    return float(np.isin(union, twice).sum()) / len(union)
+
+
+def _sketches(text: Column, width: int) -> Column:
+    kinds = [
+        ("whole", pa.binary()),
+        ("print", pa.int64()),
+        ("keys", pa.list_(pa.int64())),
+        ("least", pa.binary()),
+    ]
+
+    @F.arrow_udf("struct<whole: binary, print: long, keys: array<long>, least: binary>")
+    def sketched(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            parts: list[list] = [[] for _ in kinds]
+            for value in binary_values(column):
+                mark, keys, least, _ = sketch(value, width)
+                words = b" ".join(plain_words(value.lower() if value else None))
+                row = (xxhash.xxh3_128_digest(words), mark, keys, least)
+                for part, entry in zip(parts, row, strict=True):
+                    part.append(entry)
+            arrays = [pa.array(part, kind) for part, (_, kind) in zip(parts, kinds, strict=True)]
+            yield pa.StructArray.from_arrays(arrays, [name for name, _ in kinds])
+
+    return sketched(text)
+
+
+def _similar(radius: int, similarity: float) -> Callable:
+    """Links of the members of a shard that are near in the tree and similar enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_shards(batches):
+            groups = _groups(table)[0]
+            sets = [np.frombuffer(b, "<u4") for b in table["least"].to_pylist()]
+            labels = np.arange(len(sets))
+            firsts = np.searchsorted(groups, groups, "left")
+            lasts = np.searchsorted(groups, groups, "right")
+            for query, node in _hits(table, radius):
+                order = np.argsort(query, kind="stable")
+                query, node = query[order], node[order]
+                stops = np.flatnonzero(np.r_[query[1:] != query[:-1], True]) + 1 if len(query) else []
+                start = 0
+                for stop in stops:
+                    me, near = query[start], node[start:stop]
+                    start = stop
+                    while len(near := near[labels[near] != labels[me]]):
+                        other, near = near[0], near[1:]
+                        if sketch_similarity(sets[me], sets[other]) >= similarity:
+                            low, high = sorted((labels[me], labels[other]))
+                            own = labels[firsts[me] : lasts[me]]
+                            own[own == high] = low
+            linked = np.flatnonzero(labels != np.arange(len(labels)))
+            names = table["whole"]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    names.take(pa.array(x)).combine_chunks().cast(pa.binary())
+                    for x in (linked, labels[linked])
+                ],
+                ["a", "b"],
+            )
+
+    return run
+
+
+def near_duplicate_groups(
+    docs: DataFrame,
+    width: int = 5,
+    similarity: float = 0.8,
+    radius: int = 22,
+    shard_rows: int = SHARD_ROWS,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """One row per document: doc_id and keeper, the smallest doc_id of its group.
+
+    Texts of equal words are one group; so are texts whose sets of ``width``-word shingles
+    overlap (Jaccard) by ``similarity`` or more, directly or by a chain.  Candidates share
+    a minimum hash and are within ``radius`` bits in their shard's tree; the overlap is then
+    exact for texts of fewer than 512 different shingles and estimated from 512 of them
+    for longer ones.  Null and empty texts are equal texts.  Rows without a doc_id keep
+    null as their doc_id; an empty table gives an empty result.
+    """
+    rows = store(
+        docs.select(F.col(doc_id).alias("doc_id"), _sketches(F.col(text), width).alias("s")).select(
+            "doc_id", "s.*"
+        ),
+        "near-rows",
+    )
+    members = rows.select("whole", F.posexplode("keys").alias("at", "key"))
+    members = members.select("whole", F.xxhash64("at", "key").alias("shard")).distinct()
+    members = store(members, "near-members")
+    live = members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shard")
+    members = store(members.join(live, "shard", "semi"), "near-live")
+    needed = members.select("whole").distinct()
+    sketches = store(
+        rows.select("whole", "print", "least").join(needed, "whole", "semi").dropDuplicates(["whole"]),
+        "near-sketches",
+    )
+    shards = split_shards(members, "whole", shard_rows).join(sketches, "whole")
+    links = _search(shards, _similar(radius, similarity), "a binary, b binary")
+    roots = components(links)
+    rooted = store(
+        rows.join(roots, F.col("whole") == F.col("node"), "left").select(
+            "doc_id", F.coalesce("root", "whole").alias("root")
+        ),
+        "near-roots",
+    )
+    keepers = store(rooted.groupBy("root").agg(F.min("doc_id").alias("keeper")), "near-keepers")
+    return rooted.join(keepers, "root").select("doc_id", "keeper")
+
+
+def drop_near_duplicates(
+    docs: DataFrame, width: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that keep one document of each near-duplicate group.
+
+    The document of smallest doc_id stays.  Rows that repeat its doc_id and text are left
+    out; rows without a doc_id cannot be told apart and stay.
+    """
+    groups = store(near_duplicate_groups(docs, width, similarity, doc_id=doc_id, text=text), "near-groups")
+    gone = groups.filter("doc_id <> keeper").select(F.col("doc_id").alias("__gone")).distinct()
+    kept = docs.join(gone, F.col(doc_id) == F.col("__gone"), "anti")
+    again = groups.filter("doc_id = keeper").groupBy("doc_id").count().filter("count > 1")
+    return kept if again.isEmpty() else kept.dropDuplicates([doc_id, text])

@@ -1,14 +1,43 @@
-"""The stages of the corpus pipeline: (spark, docs, sf_dir) to the next stage's documents."""
+"""The stages of the corpus pipeline: (spark, docs, sf_dir) to the next stage's documents.
 
-from pyspark.sql import DataFrame, SparkSession
+Each stage works on all documents that the one before kept, as written; all but the last
+return the columns of ``documents``.
+"""
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from .common import read
+from .decontaminate import drop_leaks
 from .mixing import Mix
 from .sharding import assign_shards
+from .simhash import drop_near_duplicates
+from .toxicity import fit_toxicity, score_toxicity
+
+SHARDS = 24
+REJECTED = 0.7
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the machine, taught by all labels, scores below 0.7."""
+    model = fit_toxicity(docs, read(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).filter(F.col("score") < REJECTED).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones."""
+    return drop_near_duplicates(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without any benchmark item."""
+    return drop_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
     return Mix(docs).documents()
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return assign_shards(docs, 24)
+    """All documents with the shard that holds them."""
+    return assign_shards(docs, SHARDS)
