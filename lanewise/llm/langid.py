@@ -227,6 +227,11 @@ def training_pieces(
     ``per_document`` distinct pieces spread evenly over the whole text."""
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("id", "lang"), "id")
     keys = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang")).dropna()
+    # Some of each language's least hashes suffice, so no language is ranked whole.
+    found = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    share = F.lit(4.0 * per_language) / F.col("n")
+    least = (F.xxhash64("id", "lang") / F.lit(2.0**64) + 0.5) < share
+    keys = keys.join(found, "lang").filter(least).drop("n")
     keys = keys.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= per_language)
     keys = F.broadcast(keys.select(F.col("id").alias("__id"), F.col("lang").alias("__lang")).distinct())
     both = (F.col(doc_id) == F.col("__id")) & (F.col(lang) == F.col("__lang"))
