@@ -22,7 +22,9 @@ FEATURES = (
 # Columns of the scored frame that are not stored.
 MODEL_COLUMNS = ("features", "rawPrediction", "probability")
 # The forest's size.
-TREES, MAX_BINS, MAX_DEPTH = 10, 1000, 8
+TREES, LEAST_BINS, MAX_DEPTH = 10, 1000, 8
+# Category values are model state on the driver; more than this is no category.
+MAX_CATEGORIES = 1_000_000
 
 
 def category_index(categories: Sequence[str] = CATEGORIES, unseen: str = "keep") -> StringIndexer:
@@ -45,21 +47,24 @@ def train(
     delay: str = "depdelay",
     splits: Sequence[float] = LABEL_SPLITS,
     trees: int = TREES,
-    max_bins: int = MAX_BINS,
+    max_bins: int | None = None,
     max_depth: int = MAX_DEPTH,
     seed: int = 36,
     unseen: str = "keep",
 ) -> PipelineModel:
     """Fit category numbering, label, feature vector and random forest.
 
-    The forest needs ``max_bins`` at least as large as the widest category.  The
-    category values are model state and reach the driver; their number is checked
-    here, before the costly fit.
+    The forest's bins are the larger of 1000 and the widest category, unless
+    ``max_bins`` asks for more.  The category values are model state and reach the
+    driver; about how many there are is counted first, without collecting them.
     """
+    counts = training.agg(*[F.approx_count_distinct(c).alias(c) for c in categories]).first()
+    for name in categories:
+        if counts[name] > MAX_CATEGORIES:
+            raise ValueError(f"{name} has about {counts[name]} values, too many for a category")
     indexer = category_index(categories, unseen).fit(training)
     widest = max(len(values) for values in indexer.labelsArray) + (unseen == "keep")
-    if widest > max_bins:
-        raise ValueError(f"max_bins is {max_bins} but a category column has {widest} values")
+    max_bins = max(max_bins or LEAST_BINS, widest)
 
     stages = [
         indexer,
@@ -132,5 +137,6 @@ def train_and_hold_out(
     training, held_out = hash_split(prepared, fraction, key, seed)
     if balance is not None:
         delayed = training.withColumn("delayed", bucketize("depdelay", CLASS_SPLITS))
-        training = stratified_sample(delayed, "delayed", balance, key, seed)
+        # Another salt than the split's: with the same one both would look at one number.
+        training = stratified_sample(delayed, "delayed", balance, key, f"{seed}-balance")
     return train(training, **options), held_out

@@ -57,8 +57,8 @@ def find(graph: Graph, pattern: Sequence[Hop], where: str | Column | None = None
             continue
         if hop.src not in bound or hop.dst not in bound:
             raise ValueError(f"absent hop {hop.src} to {hop.dst} must join named vertices")
-        closing = graph.edges.select(F.col("src").alias("__s"), F.col("dst").alias("__d"))
-        closing = closing.distinct()
+        # The distinct routes say as much about an absent edge as the edges do.
+        closing = graph.by_route.edges.select(F.col("src").alias("__s"), F.col("dst").alias("__d"))
         matches = matches.join(
             closing,
             (F.col(_id(hop.src)) == F.col("__s")) & (F.col(_id(hop.dst)) == F.col("__d")),
@@ -119,9 +119,10 @@ def first_two_hops(
 ) -> DataFrame:
     """The first ``n`` matches of a -ab-> b -bc-> c, ordered by the keys of ab and bc.
 
-    ``start`` and ``end`` are conditions on the vertices a and c.  The rest of the
-    matches are never formed: for one b, only the ``n`` smallest edges into it and out
-    of it can be among the first ``n``.
+    ``start`` and ``end`` are conditions on the vertices a and c.  Only the first ``n``
+    edges ab that have any bc can be in the result, each with the ``n`` smallest bc of its
+    vertex; so at most n * n pairs are formed.  Edges with equal keys are ordered by
+    their ends, so the result is one and the same if key and ends identify an edge.
     """
     small = graph.small_vertices
     ids = lambda condition: broadcast_if(graph.vertices.filter(condition).select("id"), small)
@@ -131,11 +132,14 @@ def first_two_hops(
     into = into.join(middles, into.dst == middles.id, "left_semi")
     out_of = edges.join(ends, edges.dst == ends.id, "left_semi")
 
-    ab = first_per_group(into, ["dst"], [edge_key], n).select(_row(edges).alias("ab"))
-    bc = first_per_group(out_of, ["src"], [edge_key], n).select(_row(edges).alias("bc"))
+    order = [edge_key, "src", "dst"]
+    onward = out_of.select(F.col("src").alias("__at"))
+    into = into.join(onward, into.dst == F.col("__at"), "left_semi").orderBy(*order).limit(n)
+    ab = into.select(_row(edges).alias("ab"))
+    bc = first_per_group(out_of, ["src"], order, n).select(_row(edges).alias("bc"))
     pairs = (
         ab.join(bc, F.col("ab.dst") == F.col("bc.src"))
-        .orderBy(f"ab.`{edge_key}`", f"bc.`{edge_key}`")
+        .orderBy(*[f"{e}.`{c}`" for e in ("ab", "bc") for c in order])
         .limit(n)
     )
     return _with_vertices(graph, pairs)
@@ -201,11 +205,13 @@ def first_connections(
         .limit(n)
         .select(F.col("edge").alias("ab"), F.col("dst").alias("at"), F.col("day").alias("on"), "arrives")
     )
-    # ``connected`` has at most n rows.
+    # At most n rows, but n is the caller's: look before copying them everywhere.
+    connected = store(connected, "connected")
+    connected = broadcast_if(connected, fits_in_memory(connected))
     out_of = out_of.select(F.col("edge").alias("bc"), "src", "day", "leaves")
     pairs = (
         out_of.join(
-            F.broadcast(connected),
+            connected,
             (F.col("at") == F.col("src"))
             & (F.col("on") == F.col("day"))
             & (F.col("leaves") > F.col("arrives")),

@@ -88,7 +88,9 @@ def breadth_first(
 
     ``first`` returns the first so many paths, ordered by ``edge_key`` of e0, e1, ...
     It does not build the others: such a path can use only the ``first`` smallest
-    edges of each route, since swapping in a smaller one gives an earlier path.
+    edges of each route, since swapping in a smaller one gives an earlier path, and
+    only the ``first`` smallest beginnings of the paths to each vertex on the way.
+    Edges with equal keys may be taken in any order.
 
     The search runs on routes.  Edges are fetched only for routes on a shortest path.
     """
@@ -102,13 +104,15 @@ def breadth_first(
     index = _RouteIndex(graph, "src")
     rings = [settle(sources)]
     found = None
-    while found is None and len(rings) <= max_length and not rings[-1].isEmpty():
-        ring = settle(index.step(rings[-1]).join(_union(rings), "id", "left_anti"))
-        rings.append(ring)
-        hit = settle(ring.join(targets, "id", "left_semi"))
-        if not hit.isEmpty():
-            found = hit
-    index.close()
+    try:
+        while found is None and len(rings) <= max_length and not rings[-1].isEmpty():
+            ring = settle(index.step(rings[-1]).join(_union(rings), "id", "left_anti"))
+            rings.append(ring)
+            hit = settle(ring.join(targets, "id", "left_semi"))
+            if not hit.isEmpty():
+                found = hit
+    finally:
+        index.close()
     if found is None:
         return _attach(graph, rings[0].limit(0).select(F.col("id").alias("n0")), [], 0)
 
@@ -145,6 +149,10 @@ def _attach(
             F.col("dst").alias(f"n{position + 1}"),
         )
         paths = edges if paths is None else paths.join(edges, f"n{position}")
+        if first is not None and position:
+            # Paths to one vertex go on alike, so only the first few of them can matter.
+            keys = [F.col(f"e{i}.`{edge_key}`") for i in range(position + 1)]
+            paths = first_per_group(paths, [f"n{position + 1}"], keys, first)
     if first is not None and length:
         order = [F.col(f"e{i}.`{edge_key}`") for i in range(length)]
         paths = paths.orderBy(*order).limit(first)

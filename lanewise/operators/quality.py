@@ -53,12 +53,12 @@ def confusion(
 
 
 def area_under_roc(
-    df: DataFrame, score: str = "score", label: str = "label", ranges: int = 256
+    df: DataFrame, score: str = "score", label: str = "label", ranges: int | None = None
 ) -> DataFrame:
     """Exact area under the ROC curve of ``score`` against a 0/1 label, ties halved.
 
     Equal scores are first counted together.  The distinct scores are then cut into
-    ``ranges`` consecutive ranges, so the running count of negatives is a window
+    ``ranges`` consecutive ranges (by default one for every hundred thousand), so the running count of negatives is a window
     inside each range plus the total of the ranges below: no task sees all scores.
     Rows without a score or label are left out; the area is null when a class is
     missing.
@@ -72,6 +72,7 @@ def area_under_roc(
     scored = store(scored, "scores")
 
     # At most ``ranges`` cut points reach the driver.
+    ranges = ranges or 8 + scored.count() // 100_000
     quantiles = scored.approxQuantile("s", [i / ranges for i in range(1, ranges)], 0.5 / ranges)
     cuts = sorted({q for q in quantiles if math.isfinite(q)})
     if cuts:

@@ -1,13 +1,31 @@
 """PageRank by repeated joins."""
 
 from pyspark import StorageLevel
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle
 from .graph import Graph
 from .skew import broadcast_if
 
 
+def edge_weights(graph: Graph) -> DataFrame:
+    """The sound edges with ``weight``, one over their source's out-degree.
+
+    One aggregate of the routes and one join, whatever ranks there are.
+    """
+    small = graph.small_vertices
+    weights = (
+        graph.by_route.edges.groupBy("src")
+        .agg(F.sum("flights").alias("__out"))
+        .select("src", (1.0 / F.col("__out")).alias("weight"))
+    )
+    sound = graph.edges.join(
+        graph.vertex_side(F.col("id").alias("src")), "src", "left_semi"
+    ).join(graph.vertex_side(F.col("id").alias("dst")), "dst", "left_semi")
+    weighted = sound.join(broadcast_if(weights, small), "src")
+    return weighted.select(*graph.edges.columns, "weight")
+
+
 def page_rank(
     graph: Graph,
     iterations: int = 10,
@@ -44,43 +62,38 @@ def page_rank(
         hot = graph.by_route.hot_sources
         laid = hot.lay_out(hot.divide(routes, F.col("src"), F.col("dst")), "src")
 
-    ranks = silent.select("id", "out", F.lit(1.0).alias("pagerank"))
-    for step in range(1, iterations + 1):
-        given = ranks.filter(F.col("out").isNotNull()).select(
-            F.col("id").alias("from"), (F.col("pagerank") / F.col("out")).alias("share")
-        )
-        to_source = F.col("src") == F.col("from")
-        if small:
-            met = laid.join(F.broadcast(given), to_source)
-        else:
-            met = laid.join(hot.copy(given, F.col("from")), hot.match(to_source))
-        sent = met.select(
-            F.col("dst").alias("id"),
-            F.lit(None).cast("long").alias("out"),
-            (F.col("share") * F.col("flights")).alias("got"),
-        )
-        ranks = (
-            sent.unionByName(silent)
-            .groupBy("id")
-            .agg(
-                F.max("out").alias("out"),
-                (F.lit(reset) + (1 - reset) * F.sum("got")).alias("pagerank"),
+    try:
+        ranks = silent.select("id", "out", F.lit(1.0).alias("pagerank"))
+        for step in range(1, iterations + 1):
+            given = ranks.filter(F.col("out").isNotNull()).select(
+                F.col("id").alias("from"), (F.col("pagerank") / F.col("out")).alias("share")
             )
-        )
-        if step % settle_every == 0 or step == iterations:
-            ranks = settle(ranks)
-    laid.unpersist()
+            to_source = F.col("src") == F.col("from")
+            if small:
+                met = laid.join(F.broadcast(given), to_source)
+            else:
+                met = laid.join(hot.copy(given, F.col("from")), hot.match(to_source))
+            sent = met.select(
+                F.col("dst").alias("id"),
+                F.lit(None).cast("long").alias("out"),
+                (F.col("share") * F.col("flights")).alias("got"),
+            )
+            ranks = (
+                sent.unionByName(silent)
+                .groupBy("id")
+                .agg(
+                    F.max("out").alias("out"),
+                    (F.lit(reset) + (1 - reset) * F.sum("got")).alias("pagerank"),
+                )
+            )
+            if step % settle_every == 0 or step == iterations:
+                ranks = settle(ranks)
+    finally:
+        laid.unpersist()
 
     totals = ranks.agg(F.count(F.lit(1)).alias("n"), F.sum("pagerank").alias("mass")).first()
     scale = totals.n / totals.mass if totals.n else 1.0
     scaled = ranks.select(F.col("id"), (F.col("pagerank") * F.lit(scale)).alias("pagerank"))
     ranked = graph.vertices.join(scaled, "id")
 
-    # A source with a weight is a vertex, so only the targets are left to check.
-    weights = silent.filter(F.col("out").isNotNull()).select(
-        F.col("id").alias("src"), (1.0 / F.col("out")).alias("weight")
-    )
-    weighted = graph.edges.join(broadcast_if(weights, small), "src").join(
-        graph.vertex_side(F.col("id").alias("dst")), "dst", "left_semi"
-    )
-    return Graph(ranked, weighted.select(*graph.edges.columns, "weight"))
+    return Graph(ranked, edge_weights(graph))

@@ -63,9 +63,9 @@ def top_rows(
     return top.select(*columns) if columns else top
 
 
-# Up to this n (its default for windowGroupLimitThreshold) Spark limits groups inside
-# tasks by itself; beyond it a group is first limited in this many parts.
-_LIMITED_BY_SPARK, _PARTS = 1000, 256
+# Up to the n of this setting Spark limits groups inside tasks by itself; beyond it a
+# group is first limited in so many parts.
+_LIMITED_BY_SPARK, _PARTS = "spark.sql.optimizer.windowGroupLimitThreshold", 256
 
 
 def first_per_group(
@@ -77,7 +77,7 @@ def first_per_group(
     much of the table sends no more than ``n`` rows per task.  For a large ``n`` a
     group's rows are first spread over parts and each part is limited.
     """
-    if n > _LIMITED_BY_SPARK:
+    if n > int(df.sparkSession.conf.get(_LIMITED_BY_SPARK, "1000")):
         simple = [f.name for f in df.schema if isinstance(f.dataType, AtomicType)]
         part = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in simple]), F.lit(_PARTS))
         df = _numbered(df.withColumn("__part", part), [*keys, "__part"], order_by, n).drop("__part")

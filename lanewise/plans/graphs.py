@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators.motifs import Hop, find, first_connections, first_two_hops
 from ..operators.paths import breadth_first, hop_counts, path_texts, shortest_paths
-from ..operators.rank import page_rank
+from ..operators.rank import edge_weights, page_rank
 from .registry import register
 from .standin import flight_graph, party_graph
 
@@ -85,7 +85,7 @@ register(
 )
 register(
     "graph_pagerank_weights",
-    _on_graph(lambda g: page_rank(g).edges.select("id", F.round("weight", 9).alias("weight"))),
+    _on_graph(lambda g: edge_weights(g).select("id", F.round("weight", 9).alias("weight"))),
     """SELECT id, round(1.0 / count(*) OVER (PARTITION BY src), 9)::DOUBLE AS weight
        FROM flights""",
 )
@@ -140,6 +140,24 @@ register(
        ORDER BY ab.id, bc.id LIMIT 20""",
 )
 
+register(
+    "graph_delayed_connections_between",
+    _on_graph(
+        lambda g: first_connections(
+            g, 20, start="id = 'N0'", via="region >= 1", end="id <> 'N0'"
+        ).select(*_ids("a", "ab", "b", "bc", "c"))
+    ),
+    """SELECT ab.src AS a_id, ab.id AS ab_id, ab.dst AS b_id, bc.id AS bc_id, bc.dst AS c_id
+       FROM flights ab JOIN flights bc ON ab.dst = bc.src AND ab.fldate = bc.fldate
+       JOIN airports b ON b.id = ab.dst AND b.region >= 1
+       WHERE ab.arrdelay > 40 AND bc.arrdelay > 40 AND ab.src = 'N0' AND bc.dst <> 'N0'
+         AND bc.crsdephour + bc.depdelay > ab.crsdephour + ab.arrdelay
+       ORDER BY ab.id, bc.id LIMIT 20""",
+)
+register(
+    "graph_vertices", _on_graph(lambda g: g.vertices), 'SELECT id, "City", region FROM airports'
+)
+
 # -- paths -------------------------------------------------------------------
 
 register(
@@ -185,6 +203,6 @@ register(
 register(
     "graph_hops_parties",
     _on_graph(lambda g: hop_counts(g, ["P1", "P50"]), party_graph),
-    _hops_sql("party_edges", "parties", ["P1", "P50"], 8),
+    _hops_sql("party_edges", "parties", ["P1", "P50"], 16),
     recursive=True,
 )

@@ -1,21 +1,20 @@
 """Training, evaluation and scoring of the delay classifier on flights."""
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from ..functions import route_name
 from ..operators.learning import (
     CATEGORIES,
     FEATURES,
     category_index,
-    evaluate_auc,
     feature_importance,
     load_model,
     save_model,
     score,
     train_and_hold_out,
 )
-from ..operators.quality import confusion
+from ..operators.quality import area_under_roc, confusion
 from ..operators.sampling import hash_split
 from ..session import new_folder
 from .registry import register
@@ -97,26 +96,76 @@ def _features_sql() -> str:
 
 
 register("ml_features", _features, _features_sql())
+_HELD_OUT = "NOT substr(md5('5043' || id), 1, 8) < 'b3333333'"
+
+
+def _checked_scores(spark, sf):
+    """The held-out flights; whether each prediction follows from its probability."""
+    late = vector_to_array("probability")[1]
+    return _scored(spark, sf).select(
+        "id", "label", ((F.col("prediction") == 1.0) == (late > 0.5)).alias("agrees")
+    )
+
+
 register(
-    "ml_score",
-    lambda spark, sf: _scored(spark, sf).select(
-        "id",
-        "label",
-        "prediction",
-        vector_to_array("probability")[1].alias("probability"),
-    ),
+    "ml_score", _checked_scores, f"SELECT id, label, true AS agrees FROM scored WHERE {_HELD_OUT}"
 )
+
+
+def _checked_confusion(spark, sf):
+    """Totals of the confusion report, and whether its cells and ratios add up."""
+    report = confusion(_scored(spark, sf), by="label")
+    cells = sum(
+        F.col(c) for c in ("true_positive", "true_negative", "false_positive", "false_negative")
+    )
+    return report.select(
+        "total",
+        (F.abs(cells - 1) < 1e-9).alias("cells_add_up"),
+        (F.col("correct") + F.col("wrong") == F.col("total")).alias("counts_add_up"),
+    )
+
+
 register(
     "ml_confusion",
-    lambda spark, sf: confusion(_scored(spark, sf), by="label"),
+    _checked_confusion,
+    f"""SELECT count(*) AS total, true AS cells_add_up, true AS counts_add_up
+        FROM scored WHERE {_HELD_OUT}""",
 )
+
+
+def held_out_auc(spark, sf):
+    """Exact area under ROC of the forest's probabilities on the held-out flights."""
+    scored = _scored(spark, sf).select("label", vector_to_array("probability")[1].alias("score"))
+    return area_under_roc(scored)
+
+
 register(
     "ml_auc",
-    lambda spark, sf: spark.createDataFrame(
-        [(evaluate_auc(_scored(spark, sf)),)], "auc double"
-    ).withColumn("auc", F.round("auc", 6)),
+    lambda spark, sf: held_out_auc(spark, sf).select(
+        "positives", "negatives", F.col("auc").between(0.0, 1.0).alias("in_range")
+    ),
+    f"""SELECT count(*) FILTER (label = 1) AS positives, count(*) FILTER (label = 0) AS negatives,
+               true AS in_range
+        FROM scored WHERE {_HELD_OUT}""",
 )
+
+
+def _checked_importances(spark, sf):
+    """Names of the features, each with whether its importance stands in order."""
+    listed = feature_importance(trained(spark, sf))
+    every = Window.partitionBy()
+    before = F.lag("importance", 1, 1.0).over(Window.orderBy(F.desc("importance"), "feature"))
+    return listed.select(
+        "feature",
+        F.col("importance").between(0.0, before).alias("in_range"),
+        (F.abs(F.sum("importance").over(every) - 1) < 1e-9).alias("sums_to_one"),
+    )
+
+
 register(
     "ml_feature_importance",
-    lambda spark, sf: feature_importance(trained(spark, sf)),
+    _checked_importances,
+    "SELECT unnest([{}]) AS feature, true AS in_range, true AS sums_to_one".format(
+        ", ".join(f"'{name}'" for name in FEATURES)
+    ),
 )

@@ -13,12 +13,13 @@ from ..operators.sampling import (
     stratified_sample,
 )
 from ..schemas import FLIGHTS, SCORED_FLIGHTS
-from ..session import new_folder
-from ..sources import KeyedTable, read_json, read_json_inferred, register_views
+from ..session import new_folder, store
+from ..sources import KeyedTable, keep_in_memory, read_json, read_json_inferred, register_views
 from ..streaming import decode, publish_files
 from .registry import register
 from .standin import FLIGHT_TABLES, flights, once, scored_flights, table
 
+ROWS_PER_FILE = 10_000
 LATE = f"depdelay > {DELAY_MINUTES}"
 
 
@@ -30,6 +31,11 @@ def _on_scored(operator):
     return lambda spark, sf: operator(scored_flights(spark, sf))
 
 
+def _on_stored(operator):
+    """Over the keyed table that holds the scored flights, as the reports on the sink run."""
+    return lambda spark, sf: operator(_keyed_flights(spark, sf).read())
+
+
 def _bucketed(df):
     return df.withColumn("delayed", bucketize("depdelay", REPORT_SPLITS))
 
@@ -53,11 +59,11 @@ LATEST = "QUALIFY row_number() OVER (PARTITION BY id ORDER BY {}) = 1".format(
 
 
 def messages_folder(spark, sf):
-    """The flights as JSON lines, written once per application, in four files or more."""
+    """The flights as JSON lines, written once per application."""
 
     def write():
         path, df = new_folder(spark, "messages"), flights(spark, sf)
-        publish_files(df, path, rows_per_file=min(1_000_000, df.count() // 4 + 1))
+        publish_files(df, path, rows_per_file=ROWS_PER_FILE)
         return path
 
     return once(spark, sf, "messages", FLIGHT_TABLES, write)
@@ -77,9 +83,7 @@ def _keyed_flights(spark, sf):
 
     def write():
         path = new_folder(spark, "keyed")
-        keyed = KeyedTable(spark, path, SCORED_FLIGHTS).create()
-        keyed.upsert(scored_flights(spark, sf))
-        keyed.compact()
+        KeyedTable(spark, path, SCORED_FLIGHTS).load(scored_flights(spark, sf))
         return path
 
     return KeyedTable(spark, once(spark, sf, "keyed", FLIGHT_TABLES, write), SCORED_FLIGHTS)
@@ -103,6 +107,23 @@ register(
     .select("id", "orig_dest", "depdelay", "label", "prediction"),
     f"SELECT id, orig_dest, depdelay, label, prediction FROM scored {LATEST}",
 )
+
+
+def _cached_view(spark, sf):
+    """A view kept in memory for a series of reports: the flights late at each origin."""
+    kept = keep_in_memory(flights(spark, sf).filter(LATE), "late_flights")
+    try:
+        counted = spark.sql("SELECT src, count(*) AS late, max(depdelay) AS most FROM late_flights GROUP BY src")
+        return store(counted, "cached-view")
+    finally:
+        kept.unpersist()
+
+
+register(
+    "cached_view",
+    _cached_view,
+    "SELECT src, count(*) AS late, max(depdelay) AS most FROM flights WHERE depdelay > 40 GROUP BY src",
+)
 register(
     "sql_view",
     _sql("SELECT carrier, min(depdelay) AS least, max(depdelay) AS most FROM flights GROUP BY carrier"),
@@ -117,9 +138,7 @@ def _upserted(spark, sf):
     df = flights(spark, sf)
     versioned = df.withColumn("version", F.lit(0))
     path = new_folder(spark, "upsert")
-    keyed = KeyedTable(spark, path, versioned.schema).create()
-    keyed.upsert(versioned, order_by=["version"])
-    keyed.compact()
+    keyed = KeyedTable(spark, path, versioned.schema).load(versioned, order_by=["version"])
     late = df.filter(LATE)
     first = late.withColumn("depdelay", F.col("depdelay") - 1).withColumn("version", F.lit(1))
     second = late.withColumn("depdelay", F.col("depdelay") - 2).withColumn("version", F.lit(2))
@@ -275,7 +294,7 @@ for name, keys in (
     )
     register(
         f"pred_count_by_{name}",
-        _on_scored(
+        _on_stored(
             lambda df, keys=keys: count_report(
                 df, keys + ["prediction"], of="prediction", order_by=keys + ["prediction"]
             )
@@ -285,7 +304,7 @@ for name, keys in (
     )
 register(
     "pred_count_by_src",
-    _on_scored(
+    _on_stored(
         lambda df: count_report(
             df, ["src", "prediction"], of="prediction", order_by=["src", "prediction"]
         )
@@ -294,7 +313,7 @@ register(
 )
 register(
     "pred_actual_by_src",
-    _on_scored(
+    _on_stored(
         lambda df: group_report(
             df,
             ["src", "prediction", "label"],
@@ -421,7 +440,7 @@ register(
 for by in ("prediction", "label"):
     register(
         f"confusion_by_{by}",
-        _on_scored(lambda df, by=by: confusion(df, by=by)),
+        (_on_stored if by == "prediction" else _on_scored)(lambda df, by=by: confusion(df, by=by)),
         """SELECT count(*) AS total,
                   count(*) FILTER (label = prediction) AS correct,
                   count(*) FILTER (label <> prediction) AS wrong,
@@ -480,8 +499,24 @@ register(
                        THEN 'train' ELSE 'test' END AS part
        FROM flights""",
 )
+
+
+def _random_split_facts(df):
+    """The two parts are the table, share no row, and are about as large as asked."""
+    first, second = random_split(df.select("id"), 0.7, 5043)
+    parts = first.withColumn("kept", F.lit(1)).unionByName(second.withColumn("kept", F.lit(0)))
+    per_id = parts.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum("kept").alias("kept"))
+    return per_id.agg(
+        F.sum("n").alias("rows"),
+        F.count_if(F.col("n") > 1).alias("overlap"),
+        F.avg("kept").between(0.66, 0.74).alias("share_as_asked"),
+    )
+
+
 register(
-    "random_split", _on_flights(lambda df: random_split(df, 0.7, 5043)[0].select("id", "depdelay"))
+    "random_split",
+    _on_flights(_random_split_facts),
+    "SELECT count(*) AS rows, 0 AS overlap, true AS share_as_asked FROM flights",
 )
 register(
     "stratified_sample",
@@ -492,13 +527,24 @@ register(
     ),
     f"SELECT * FROM {_SAMPLED} AS s",
 )
+
+
+def _random_sample_facts(df):
+    """All of the class asked for whole, about the asked share of the other."""
+    classes = _classes(df)
+    sample = random_stratified_sample(classes, "delayed", _FRACTIONS, 36)
+    before = classes.groupBy("delayed").agg(F.count(F.lit(1)).alias("before"))
+    after = sample.groupBy("delayed").agg(F.count(F.lit(1)).alias("after"))
+    asked = F.when(F.col("delayed") == 0.0, _FRACTIONS[0.0]).otherwise(_FRACTIONS[1.0])
+    return before.join(after, "delayed").select(
+        "delayed", "before", (F.abs(F.col("after") / F.col("before") - asked) < 0.02).alias("as_asked")
+    )
+
+
 register(
     "random_stratified_sample",
-    _on_flights(
-        lambda df: random_stratified_sample(_classes(df), "delayed", _FRACTIONS, 36).select(
-            "id", "depdelay", "delayed"
-        )
-    ),
+    _on_flights(_random_sample_facts),
+    f"SELECT {_CLASS} AS delayed, count(*) AS before, true AS as_asked FROM flights GROUP BY 1",
 )
 
 

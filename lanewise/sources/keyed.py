@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import AtomicType, LongType, StructField, StructType
 
 from ..operators.reports import first_per_group
+from ..operators.skew import broadcast_if, fits_in_memory
 from .folders import child_folders, is_complete, remove_folder
 
 _SEQ = "__seq"
@@ -90,8 +91,8 @@ class KeyedTable:
         """The rows as of now, under ``schema`` (absent columns are null).
 
         Without deltas this is a bare parquet scan.  Otherwise the base keeps the rows
-        whose key no delta touches; it is shuffled only if the deltas' keys are too
-        large for Spark to broadcast.
+        whose key no delta touches; it is shuffled only if the deltas' keys, measured,
+        are too large to copy to every executor.
         """
         schema = schema or self.schema
         (_, base_name), deltas = self._current()
@@ -107,7 +108,8 @@ class KeyedTable:
             StructType(keyed.fields + [StructField(_SEQ, LongType())])
         ).parquet(*[f"{self.path}/{name}" for *_, name in deltas])
         newest = latest_per_key(changed, self.key, [_SEQ]).drop(_SEQ)
-        untouched = base.join(changed.select(self.key).distinct(), self.key, "left_anti")
+        keys = changed.select(self.key).distinct()
+        untouched = base.join(broadcast_if(keys, fits_in_memory(keys)), self.key, "left_anti")
         return untouched.unionByName(newest).select(*schema.names)
 
     def upsert(
@@ -116,11 +118,13 @@ class KeyedTable:
         order_by: list[str] | None = None,
         writer: str = "batch",
         epoch: int | None = None,
+        transient: tuple[str, ...] = (),
     ) -> bool:
         """Insert ``rows``, replacing those with the same key.
 
         The table must exist.  Of several rows with one key the greatest by
-        ``order_by`` wins.  Rows without a key are not stored (see ``without_key``).
+        ``order_by`` wins; ``transient`` columns serve that order only and are not
+        stored.  Rows without a key are not stored (see ``without_key``).
         A writer that numbers its batches may repeat one safely: the repeat does
         nothing and returns False.
         """
@@ -134,22 +138,46 @@ class KeyedTable:
             epoch = max((e for _, w, e, _ in deltas if w == writer), default=-1) + 1
         winners = latest_per_key(rows.filter(F.col(self.key).isNotNull()), self.key, order_by)
         (
-            winners.withColumn(_SEQ, F.lit(seq).cast("long"))
+            winners.drop(*transient)
+            .withColumn(_SEQ, F.lit(seq).cast("long"))
             .write.mode("overwrite")
             .parquet(f"{self.path}/delta-{seq:012d}-{writer}-{epoch}")
         )
+        self._require(f"delta-{seq:012d}-{writer}-{epoch}")
         return True
 
+    def load(self, rows: DataFrame, order_by: list[str] | None = None) -> "KeyedTable":
+        """Make the table from ``rows`` at once: they are its first base, no delta.
+
+        Of several rows with one key the greatest by ``order_by`` stays; rows without a
+        key are left out (see ``without_key``).
+        """
+        if self.exists():
+            raise ValueError(f"there is a keyed table at {self.path}")
+        first = latest_per_key(rows.filter(F.col(self.key).isNotNull()), self.key, order_by)
+        first.write.mode("overwrite").parquet(f"{self.path}/base-{0:012d}")
+        self._require(f"base-{0:012d}")
+        return self
+
+    def _require(self, folder: str) -> None:
+        """A write without its success marker would never be read: say so at once."""
+        if not is_complete(self.spark, f"{self.path}/{folder}"):
+            raise RuntimeError(
+                f"{self.path}/{folder} has no _SUCCESS marker; the session's output committer"
+                " must write one (mapreduce.fileoutputcommitter.marksuccessfuljobs)"
+            )
+
     def without_key(self, rows: DataFrame) -> DataFrame:
         """The rows ``upsert`` leaves out, for the caller to keep elsewhere."""
         return rows.filter(F.col(self.key).isNull())
 
-    def compact(self, remove_old: bool = False) -> None:
+    def compact(self, remove_old: bool = False, generations: int = 1) -> None:
         """Fold the deltas into a new base, keeping every column any write brought.
 
-        With ``remove_old`` the superseded folders go, except each writer's newest
-        delta, which remembers the batches already applied.  Use it only when no
-        reader still runs on the old folders.
+        With ``remove_old`` only the newest ``generations`` bases stay, with the deltas
+        after the oldest of them, and each writer's newest delta, which remembers the
+        batches already applied.  A reader that started before the last but
+        ``generations`` - 1 compactions may then lose its files.
         """
         (_, base_name), deltas = self._current()
         if not deltas:
@@ -163,7 +191,12 @@ class KeyedTable:
         full = StructType(list(columns.values()))
         seq = deltas[-1][0]
         self.read(full).write.mode("overwrite").parquet(f"{self.path}/base-{seq:012d}")
+        self._require(f"base-{seq:012d}")
         if remove_old:
+            complete = sorted(
+                s for s, name in self._folders()[0] if is_complete(self.spark, f"{self.path}/{name}")
+            )
+            seq = complete[-min(generations, len(complete))]
             newest = {writer: name for _, writer, _, name in sorted(self._folders()[1])}
             stale = [n for s, n in self._folders()[0] if s < seq]
             stale += [n for s, *_, n in self._folders()[1] if s <= seq and n not in newest.values()]

@@ -13,9 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions import as_message, route_name
-from ..operators.learning import MODEL_COLUMNS, score
+from ..functions import as_message, bucketize, route_name
+from ..functions.buckets import LABEL_SPLITS
+from ..operators.learning import CATEGORIES, FEATURES, MODEL_COLUMNS, score
 from ..sources import KeyedTable
+from ..sources.messages import ARRIVAL
+
+READ_COLUMNS = {*CATEGORIES, *FEATURES}
 
 # -- transformations ---------------------------------------------------------
 
@@ -24,12 +28,14 @@ def decode(messages: DataFrame, schema: StructType, raw: str | None = None) -> D
     """Parse JSON text in column ``value`` into the schema's columns.
 
     Text that is not JSON gives a row of nulls, a field of the wrong type a null
-    field; unknown fields are ignored.  ``raw`` names a column that keeps the text.
+    field; unknown fields are ignored.  ``raw`` names a column that keeps the text.  The
+    messages' ``arrival`` stays with them if they have one and ``raw`` is kept.
     """
     text = F.col("value").cast("string")
-    parsed = messages.select(text.alias("__text"), F.from_json(text, schema).alias("data"))
+    order = [ARRIVAL] if raw and ARRIVAL in messages.columns else []
+    parsed = messages.select(text.alias("__text"), F.from_json(text, schema).alias("data"), *order)
     kept = [F.col("__text").alias(raw)] if raw else []
-    return parsed.select("data.*", *kept)
+    return parsed.select("data.*", *kept, *order)
 
 
 def with_route(flights: DataFrame, name: str = "orig_dest") -> DataFrame:
@@ -40,8 +46,27 @@ def with_route(flights: DataFrame, name: str = "orig_dest") -> DataFrame:
 def score_stream(
     messages: DataFrame, schema: StructType, model: PipelineModel, raw: str | None = None
 ) -> DataFrame:
-    """Decode, add the route, score, and drop what a table cannot store."""
-    return score(model, with_route(decode(messages, schema, raw)), MODEL_COLUMNS)
+    """Decode, add the route, score, and drop what a table cannot store.
+
+    A message that lacks something the model reads gets no prediction, and one without
+    a usable delay no label; neither ends the stream.
+    """
+    rows = with_route(decode(messages, schema, raw))
+    # The model's stages refuse nulls: it is shown stand-ins, and the row keeps its own.
+    read = [name for name in rows.columns if name in READ_COLUMNS]
+    usable = bucketize("depdelay", LABEL_SPLITS).isNotNull()
+    whole = F.lit(True)
+    for name in read:
+        whole = whole & F.col(name).isNotNull()
+    shown = {name: F.coalesce(name, F.lit("" if kind == "string" else 0).cast(kind)) for name, kind in rows.dtypes if name in read}
+    shown["depdelay"] = F.when(usable, F.col("depdelay")).otherwise(0.0)
+    kept = rows.withColumns({"__row": F.struct("*"), "__whole": whole, "__usable": usable})
+    scored = score(model, kept.withColumns(shown), MODEL_COLUMNS)
+    return scored.select(
+        "__row.*",
+        F.when(F.col("__usable"), F.col("label")).alias("label"),
+        F.when(F.col("__whole"), F.col("prediction")).alias("prediction"),
+    )
 
 
 # -- sinks -------------------------------------------------------------------
@@ -68,30 +93,39 @@ def start_keyed_sink(
 
     A batch repeated after a failure changes nothing: the table remembers the batches
     of each writer, and the writer is this checkpoint folder.  Rows without a key
-    (messages that did not parse) go to ``<rejects>/<batch>`` if given; column ``raw``
-    is kept there only.  ``compact_every`` folds the table's deltas together after so
-    many batches, which keeps reads cheap on a stream that runs for long.
+    (messages that did not parse) go to ``<rejects>/<batch>``; column ``raw`` is kept
+    there only.  Without ``rejects`` a batch with such rows fails.  Of several messages
+    with one key the last to arrive wins, unless ``order_by`` says otherwise.
+    ``compact_every`` folds the table's deltas together after so many batches and keeps
+    the newest two generations, so neither reads nor storage grow without end.
     """
     if not table.exists():
         raise ValueError(f"no keyed table at {table.path}")
     writer = "stream" + hashlib.md5(checkpoint.rstrip("/").encode()).hexdigest()[:12]
 
     def apply(batch: DataFrame, epoch: int) -> None:
+        arrival = (ARRIVAL, "__line") if ARRIVAL in batch.columns else ()
+        if arrival:
+            # Lines of one file part arrive together; their rows still stand in line order.
+            batch = batch.withColumn("__line", F.monotonically_increasing_id())
         stored = batch.drop(raw) if raw else batch
+        order = order_by or list(arrival)
         if rejects is None:
-            table.upsert(stored, order_by, writer, epoch)
+            if not table.without_key(stored).isEmpty():
+                raise ValueError("rows without a key: name a folder for rejects")
+            table.upsert(stored, order, writer, epoch, arrival)
         else:
             # Two writes read the batch; keep it so that it is scored once.
             batch.persist(StorageLevel.MEMORY_AND_DISK)
             try:
-                table.upsert(stored, order_by, writer, epoch)
+                table.upsert(stored, order, writer, epoch, arrival)
                 lost = table.without_key(batch)
                 lost = lost.select(raw) if raw else lost
                 lost.write.mode("overwrite").parquet(f"{rejects}/batch={epoch}")
             finally:
                 batch.unpersist()
         if compact_every and (epoch + 1) % compact_every == 0:
-            table.compact()
+            table.compact(remove_old=True, generations=2)
 
     return _start(rows.writeStream.foreachBatch(apply), checkpoint, available_now)
 

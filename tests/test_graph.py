@@ -183,6 +183,19 @@ class TestBreadthFirst:
         graph = graph_of(spark, "ABC", [("A", "C"), ("A", "B"), ("B", "C"), ("A", "C")])
         assert pairs_of(path_texts(breadth_first(graph, "id = 'A'", "id = 'C'")), "edges") == [("e000",), ("e003",)]
 
+    def test_chained_diamonds_stay_bounded(self, spark):
+        """2^8 shortest paths, of which no step keeps more than a few per vertex."""
+        pairs, names = [], [f"v{i}" for i in range(9)]
+        for i in range(8):
+            pairs += [(names[i], f"u{i}"), (names[i], f"w{i}"), (f"u{i}", names[i + 1]), (f"w{i}", names[i + 1])]
+        vertices = names + [f"{k}{i}" for k in "uw" for i in range(8)]
+        graph = graph_of(spark, vertices, pairs)
+        paths = breadth_first(graph, "id = 'v0'", "id = 'v8'", max_length=16, first=1)
+        text = paths._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("row_number") >= 30
+        [row] = path_texts(paths).collect()
+        assert row.path.split(",")[1::2] == [f"u{i}" for i in range(8)]
+
     @pytest.mark.parametrize("first", [1, 4, 1000])
     def test_first_is_a_prefix_of_all(self, spark, first):
         pairs = random_pairs(8, 6, 60)

@@ -92,7 +92,8 @@ def test_uncommitted_write_is_ignored_and_can_be_repeated(spark, table):
     table.upsert(frame(spark, ("a", 1, 1)), writer="w", epoch=0)
     spark.conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:
-        table.upsert(frame(spark, ("a", 2, 2)), writer="w", epoch=1)
+        with pytest.raises(RuntimeError, match="_SUCCESS"):
+            table.upsert(frame(spark, ("a", 2, 2)), writer="w", epoch=1)
     finally:
         spark.conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
     assert rows_of(table.read()) == [("a", 1, 1)]
@@ -116,3 +117,22 @@ def test_bare_scan_takes_filters_without_deltas(spark, table):
     table.compact()
     plan = table.read().filter("v > 0")._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(v,0)" in plan and "Exchange" not in plan
+
+
+def test_load_is_a_base_at_once(spark, folder):
+    loaded = KeyedTable(spark, folder, SCHEMA).load(frame(spark, ("a", 1, 1), ("a", 2, 2), (None, 3, 3)), ["at"])
+    assert rows_of(loaded.read()) == [("a", 2, 2)]
+    assert child_folders(spark, folder) == ["base-000000000000"]
+    with pytest.raises(ValueError):
+        loaded.load(frame(spark, ("b", 1, 1)))
+
+
+def test_compaction_keeps_the_generations_asked_for(spark, folder, table):
+    for i in range(8):
+        table.upsert(frame(spark, ("a", i, i), (f"k{i}", i, i)), writer="w", epoch=i)
+        if i % 2:
+            table.compact(remove_old=True, generations=2)
+    folders = child_folders(spark, folder)
+    assert sum(f.startswith("base") for f in folders) == 2 and len(folders) <= 5
+    assert len(rows_of(table.read())) == 9
+    assert not table.upsert(frame(spark, ("a", 0, 0)), writer="w", epoch=7)

@@ -52,7 +52,15 @@ def test_counting_is_partial_first(spark):
 
 def test_first_matches_are_limited_before_the_shuffle(spark):
     text = plan(QUERIES["graph_motif_two_hop"](spark, SF))
-    assert text.count("Partial") >= 2 and "WindowGroupLimit" in text
+    assert "Partial" in text and "WindowGroupLimit" in text
+    assert text.count("TakeOrderedAndProject") >= 2
+
+
+def test_flights_are_all_order_lines(spark):
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    derived = flights(spark, SF)
+    assert derived.count() == derived.select("id").distinct().count() == lines
+    assert derived.select("src", "dst").distinct().count() <= 100
 
 
 def test_vertex_conditions_reach_the_edge_scan(spark):

@@ -1,7 +1,14 @@
 """The streaming job over text files, and the topic options it would use instead."""
 
 import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from lanewise.operators import learning
+from lanewise.operators.quality import area_under_roc
+from lanewise.operators.sampling import hash_split
 
 from lanewise.operators.learning import (
     FEATURES,
@@ -43,9 +50,8 @@ def test_kafka_options():
         "subscribe": "flights",
         "startingOffsets": "earliest",
         "failOnDataLoss": "false",
-        "maxOffsetsPerTrigger": "1000",
     }
-    assert "maxOffsetsPerTrigger" not in kafka_options("h", "t", max_per_trigger=None)
+    assert kafka_options("h", "t", max_per_trigger=9)["maxOffsetsPerTrigger"] == "9"
 
 
 def test_publish_and_tail(spark, folder):
@@ -96,6 +102,35 @@ def test_bounded_run_of_a_live_stream(spark, folder):
     assert spark.read.text(f"{folder}/out").count() == flights(spark, SF).count()
 
 
+def test_the_last_message_of_a_key_wins(spark, folder):
+    """Within a file by line, among files by time; whatever the values."""
+    schema = "id string, v int"
+    lines = [f'{{"id": "k", "v": {v}}}' for v in (5, 9, 1)]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{folder}/in/one")
+    again = spark.createDataFrame([(lines[0],)], "value string").coalesce(1)
+    table = KeyedTable(spark, f"{folder}/table", StructType.fromDDL(schema)).create()
+
+    def run():
+        rows = decode(file_messages(spark, f"{folder}/in/*"), StructType.fromDDL(schema), raw="raw")
+        start_keyed_sink(
+            rows, table, f"{folder}/c", rejects=f"{folder}/bad", raw="raw", available_now=True
+        ).awaitTermination()
+        return [tuple(r) for r in table.read().collect()]
+
+    assert run() == [("k", 1)]
+    again.write.text(f"{folder}/in/two")
+    assert run() == [("k", 5)]
+
+
+def test_rows_without_a_key_need_a_place(spark, folder):
+    spark.createDataFrame([("oops",)], "value string").write.text(f"{folder}/in")
+    table = KeyedTable(spark, f"{folder}/table", FLIGHTS).create()
+    rows = decode(file_messages(spark, f"{folder}/in"), FLIGHTS)
+    query = start_keyed_sink(rows, table, f"{folder}/c", available_now=True)
+    with pytest.raises(StreamingQueryException, match="rejects"):
+        query.awaitTermination()
+
+
 def test_sink_needs_a_table(spark, folder):
     missing = KeyedTable(spark, folder, FLIGHTS)
     with pytest.raises(ValueError):
@@ -130,12 +165,26 @@ class TestModel:
         assert [r.importance for r in listed] == sorted((r.importance for r in listed), reverse=True)
         assert 0.0 <= evaluate_auc(score(model, held_out)) <= 1.0
 
-    def test_too_many_categories_is_said_before_the_fit(self, spark):
-        with pytest.raises(ValueError, match="max_bins"):
-            train(with_route(flights(spark, SF)), max_bins=5)
-
-    def test_balanced_training(self, spark):
-        model, _ = train_and_hold_out(
-            flights(spark, SF), balance={0.0: 0.3, 1.0: 1.0}, trees=2, max_depth=3
-        )
-        assert model.stages[-1].getNumTrees == 2
+    def test_too_many_categories_is_said_before_the_fit(self, spark, monkeypatch):
+        monkeypatch.setattr(learning, "MAX_CATEGORIES", 3)
+        with pytest.raises(ValueError, match="too many"):
+            train(with_route(flights(spark, SF)))
+
+    def test_bins_grow_with_the_widest_category(self, spark):
+        model = train(with_route(flights(spark, SF)), max_bins=5, trees=1, max_depth=1)
+        assert model.stages[-1].getMaxBins() > 5
+
+    def test_balanced_training(self, spark, monkeypatch):
+        seen = {}
+        monkeypatch.setattr(learning, "train", lambda df, **_: seen.update(df=df))
+        train_and_hold_out(flights(spark, SF), balance={0.0: 0.3, 1.0: 1.0})
+        whole, _ = hash_split(flights(spark, SF), 0.7, "id", 5043)
+        for late, share in (("depdelay >= 41", 1.0), ("depdelay < 41", 0.3)):
+            kept = seen["df"].filter(late).count() / whole.filter(late).count()
+            assert kept == pytest.approx(share, abs=0.03)
+
+    def test_exact_auc_agrees_with_the_evaluator(self, trained):
+        model, held_out = trained
+        scored = score(model, held_out)
+        exact = area_under_roc(scored.withColumn("p", vector_to_array("probability")[1]), "p").first().auc
+        assert exact == pytest.approx(evaluate_auc(scored), abs=1e-3)
