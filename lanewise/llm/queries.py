@@ -6,7 +6,7 @@ from .common import held_out, read
 from .decontaminate import find_items
 from .langid import fit_languages, predict_languages
 from .licenses import duckdb_scan, scan_licences
-from .mixing import Mix
+from .mixing import Mix, duckdb_mix
 from .pseudonyms import pseudonymise
 from .quality import fit_ratio, judge
 from .sharding import shard_slots
@@ -97,7 +97,8 @@ def op9_quality_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Mix(read(spark, sf_dir, "documents")).taken()
+    mix = Mix(read(spark, sf_dir, "documents"))
+    return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
 QUERIES = {
@@ -115,4 +116,7 @@ QUERIES = {
         op10_weighted_mix,
     )
 }
-ORACLES = {"op7_sentence_licences": duckdb_scan("documents")}
+ORACLES = {
+    "op7_sentence_licences": duckdb_scan("documents"),
+    "op10_weighted_mix": duckdb_mix("documents"),
+}
