@@ -12,13 +12,17 @@ PART, COPY = "__part", "__copy"
 
 
 def fits_in_memory(df: DataFrame) -> bool:
-    """Whether ``df`` is small enough to copy to every executor: measured, not estimated."""
+    """Whether ``df`` is small enough to copy to every executor: measured, not estimated.
+
+    Rows are counted up to the bound only; bytes are measured only where the rows pass.
+    """
     spark = df.sparkSession
+    most = setting(spark, BROADCAST_ROWS)
+    if most < 0 or df.limit(most + 1).count() > most:
+        return False
     text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]))
-    found = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length(text)).alias("size")).first()
-    return found.n <= setting(spark, BROADCAST_ROWS) and (found.size or 0) <= setting(
-        spark, BROADCAST_BYTES
-    )
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return size <= setting(spark, BROADCAST_BYTES)
 
 
 def broadcast_if(df: DataFrame, small: bool) -> DataFrame:
