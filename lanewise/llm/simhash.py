@@ -270,6 +270,21 @@ def _sketches(text: Column, width: int) -> Column:
     return sketched(text)
 
 
+def _near(radius: int) -> Callable:
+    """The members of a shard that have another within the radius in the shard's tree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_shards(batches):
+            near = np.zeros(table.num_rows, bool)
+            for query, node in _hits(table, radius):
+                apart = query != node
+                near[query[apart]] = near[node[apart]] = True
+            found = table.select(["shard", "whole"]).filter(pa.array(near))
+            yield from found.to_batches()
+
+    return run
+
+
 def _similar(radius: int, similarity: float) -> Callable:
     """Links of the members of a shard that are near in the tree and similar enough."""
 
@@ -331,11 +346,15 @@ def near_duplicate_groups(
         ),
         "near-rows",
     )
-    members = rows.select("whole", F.posexplode("keys").alias("at", "key"))
-    members = members.select("whole", F.xxhash64("at", "key").alias("shard")).distinct()
+    members = rows.select("whole", "print", F.posexplode("keys").alias("at", "key"))
+    members = members.select("whole", "print", F.xxhash64("at", "key").alias("shard")).distinct()
     members = store(members, "near-members")
     live = members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shard")
     members = store(members.join(live, "shard", "semi"), "near-live")
+    # Most documents that share a minimum hash are far apart in their tree: only the others
+    # are worth moving with their sketches.
+    near = _search(split_shards(members, "whole", shard_rows), _near(radius), "shard long, whole binary")
+    members = store(near.distinct(), "near-pairs")
     needed = members.select("whole").distinct()
     sketches = store(
         rows.select("whole", "print", "least").join(needed, "whole", "semi").dropDuplicates(["whole"]),
