@@ -162,7 +162,8 @@ class Mix:
             .select(F.col("source").alias("__ends"), F.col("__bucket").alias("edge"), "before")
         )
         same = F.col("__source").eqNullSafe(F.col("__ends"))
-        return settle(budgets.join(ends, same, "left").drop("__ends"))
+        # Stored, so that the planner knows how few rows the sources are.
+        return store(budgets.join(ends, same, "left").drop("__ends"), "mix-plans")
 
     def _planned(self, at_edge: bool) -> DataFrame:
         planned = self.rows.join(self.plans, F.col("source").eqNullSafe(F.col("__source")))
@@ -197,8 +198,8 @@ class Mix:
     def documents(self) -> DataFrame:
         """The rows of ``docs``, each as often as the mix takes it.
 
-        The texts are not shuffled: a document's key is compared with the last key that
-        its source takes.  Rows equal in doc_id and text are taken or left together.
+        A document's key is compared with the last key that its source takes, so where the
+        sources are few enough to broadcast, texts are not shuffled.  Rows equal in doc_id and text are taken or left together.
         """
         last = F.struct("__key", "doc_id", "__tie")
         lasts = (
@@ -210,7 +211,7 @@ class Mix:
         plans = self.plans.join(lasts, F.col("__source").eqNullSafe(F.col("__of")), "left").select(
             "__source", "epochs", "edge", "__last"
         )
-        plans = settle(plans.toDF("__source", "__epochs", "__edge", "__last"))
+        plans = store(plans.toDF("__source", "__epochs", "__edge", "__last"), "mix-lasts")
         drawn = self.docs.withColumns(self._drawn).withColumn("__bucket", _bucket(self.buckets))
         own = F.struct("__key", F.col(self.doc_id).alias("doc_id"), "__tie")
         inside = (F.col("__bucket") < F.col("__edge")) | (

@@ -15,6 +15,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..operators.skew import broadcast_if, fits_in_memory
 from ..session import settle, store
 from .bktree import Forest, merge
 from .common import binary_values, plain_words
@@ -383,6 +384,8 @@ def drop_near_duplicates(
     """
     groups = store(near_duplicate_groups(docs, width, similarity, doc_id=doc_id, text=text), "near-groups")
     gone = groups.filter("doc_id <> keeper").select(F.col("doc_id").alias("__gone")).distinct()
+    gone = store(gone, "near-gone")
+    gone = broadcast_if(gone, fits_in_memory(gone))
     kept = docs.join(gone, F.col(doc_id) == F.col("__gone"), "anti")
     again = groups.filter("doc_id = keeper").groupBy("doc_id").count().filter("count > 1")
     return kept if again.isEmpty() else kept.dropDuplicates([doc_id, text])
