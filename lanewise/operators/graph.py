@@ -81,10 +81,11 @@ class Graph:
 
     # -- messages ------------------------------------------------------------
 
-    def triplets(self) -> DataFrame:
+    def triplets(self, last: str = "dst") -> DataFrame:
         """Each sound edge with its ends, as structs ``src, edge, dst``.
 
-        Only the attributes a query goes on to use are read and moved.
+        Only the attributes a query goes on to use are read and moved.  The end named
+        ``last`` is joined last: where vertices are shuffled, the rows then lie by it.
         """
         edges = self.edges.select(
             F.struct(*[F.col(f"`{c}`") for c in self.edges.columns]).alias("edge")
@@ -92,11 +93,13 @@ class Graph:
         ends = [F.struct(*[F.col(f"`{c}`") for c in self.vertices.columns]).alias("end")]
         side = broadcast_if(self.vertices.select(*ends), self.small_vertices)
         src, dst = side.withColumnRenamed("end", "src"), side.withColumnRenamed("end", "dst")
-        return (
-            edges.join(src, F.col("edge.src") == F.col("src.id"))
-            .join(dst, F.col("edge.dst") == F.col("dst.id"))
-            .select("src", "edge", "dst")
-        )
+        joins = [
+            (src, F.col("edge.src") == F.col("src.id")),
+            (dst, F.col("edge.dst") == F.col("dst.id")),
+        ]
+        for vertices, matches in joins if last == "dst" else reversed(joins):
+            edges = edges.join(vertices, matches)
+        return edges.select("src", "edge", "dst")
 
     def aggregate_messages(
         self,
@@ -113,7 +116,8 @@ class Graph:
         if to_src is None and to_dst is None:
             raise ValueError("give a message to the source, the target or both")
         as_column = lambda m: F.expr(m) if isinstance(m, str) else m
-        triplets = self.triplets()
+        # The receiving end comes last, so that the aggregate finds its rows in place.
+        triplets = self.triplets("src" if to_dst is None else "dst")
         mail = []
         if to_src is not None:
             mail.append((F.col("src.id"), as_column(to_src)))

@@ -50,14 +50,16 @@ def hop_counts(graph: Graph, landmarks: Sequence[str], merge_every: int = 16) ->
     marks = graph.vertices.filter(F.col("id").isin(*landmarks))
     ring = settle(marks.select("id", F.col("id").alias("landmark")))
     rings, hops = [ring.withColumn("hops", F.lit(0))], 0
-    while not ring.isEmpty():
-        hops += 1
-        seen = _union(rings).select("id", "landmark")
-        ring = settle(index.step(ring, "landmark").join(seen, ["id", "landmark"], "left_anti"))
-        rings.append(ring.withColumn("hops", F.lit(hops)))
-        if len(rings) == merge_every:
-            rings = [settle(_union(rings))]
-    index.close()
+    try:
+        while not ring.isEmpty():
+            hops += 1
+            seen = _union(rings).select("id", "landmark")
+            ring = settle(index.step(ring, "landmark").join(seen, ["id", "landmark"], "left_anti"))
+            rings.append(ring.withColumn("hops", F.lit(hops)))
+            if len(rings) == merge_every:
+                rings = [settle(_union(rings))]
+    finally:
+        index.close()
     return _union(rings)
 
 

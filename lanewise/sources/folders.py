@@ -1,5 +1,7 @@
 """Looking at folders through Hadoop's file system, so any Spark storage works."""
 
+import hashlib
+
 from pyspark.sql import SparkSession
 
 
@@ -22,11 +24,15 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def version_stamp(spark: SparkSession, path: str) -> tuple[int, int]:
-    """Modification time and length of a file or folder, to notice a rewritten table."""
+def version_stamp(spark: SparkSession, path: str) -> str:
+    """A digest of name, length and time of every file at or below ``path``, to notice a
+    rewritten table wherever the change is.  One listing, on the driver."""
     fs, target = _open(spark, path)
-    status = fs.getFileStatus(target)
-    return status.getModificationTime(), status.getLen()
+    found, files = [], fs.listFiles(target, True)
+    while files.hasNext():
+        status = files.next()
+        found.append((status.getPath().toString(), status.getLen(), status.getModificationTime()))
+    return hashlib.md5(repr(sorted(found)).encode()).hexdigest()
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
