@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..operators.skew import broadcast_if, fits_in_memory
 from ..session import store
 from .common import text_values
 
@@ -228,7 +229,8 @@ def training_pieces(
     ranked = Window.partitionBy("lang").orderBy(F.xxhash64("id", "lang"), "id")
     keys = docs.select(F.col(doc_id).alias("id"), F.col(lang).alias("lang")).dropna()
     # Some of each language's least hashes suffice, so no language is ranked whole.
-    found = keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    found = store(keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "language-counts")
+    found = broadcast_if(found, fits_in_memory(found))
     share = F.lit(4.0 * per_language) / F.col("n")
     least = (F.xxhash64("id", "lang") / F.lit(2.0**64) + 0.5) < share
     keys = keys.join(found, "lang").filter(least).drop("n")
