@@ -58,7 +58,11 @@ def score_stream(
     whole = F.lit(True)
     for name in read:
         whole = whole & F.col(name).isNotNull()
-    shown = {name: F.coalesce(name, F.lit("" if kind == "string" else 0).cast(kind)) for name, kind in rows.dtypes if name in read}
+    shown = {
+        name: F.coalesce(name, F.lit("" if kind == "string" else 0).cast(kind))
+        for name, kind in rows.dtypes
+        if name in read
+    }
     shown["depdelay"] = F.when(usable, F.col("depdelay")).otherwise(0.0)
     kept = rows.withColumns({"__row": F.struct("*"), "__whole": whole, "__usable": usable})
     scored = score(model, kept.withColumns(shown), MODEL_COLUMNS)
