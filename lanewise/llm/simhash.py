@@ -228,12 +228,16 @@ def _mixed(values: np.ndarray, number: int) -> np.ndarray:
 
 def sketch(text: bytes | None, width: int) -> tuple[int, list[int], bytes, int]:
     """Fingerprint, minimum hashes, the least 512 shingle hashes (32 bits, sorted) and the
-    number of different shingles of a whole text."""
+    number of different shingles of a whole text.
+
+    All are over different shingles, as the similarity is: a line repeated many times
+    changes none of them.
+    """
     hashes = shingle_hashes(text, width)
     different = np.unique(hashes.astype(np.uint64))
     keys = [int(_mixed(different, i).min().astype(np.int64)) for i in range(_KEYS)] if len(different) else []
     least = np.unique((_mixed(different, _KEYS) >> np.uint64(32)).astype("<u4"))
-    return _signed(simhash(hashes)), keys, least[:_SKETCH].tobytes(), len(different)
+    return _signed(simhash(different.astype(">u8"))), keys, least[:_SKETCH].tobytes(), len(different)
 
 
 def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:

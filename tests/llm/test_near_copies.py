@@ -1,0 +1,37 @@
+"""Near duplicates that differ in how often they say something, or are long."""
+
+import random
+from itertools import combinations
+
+from test_operators import find_roots, sentence, shingle_set, table
+
+from lanewise.llm import simhash
+
+
+def brute_keepers(texts, similarity=0.8):
+    sets = [shingle_set(t) for t in texts]
+    close = [
+        (a, b)
+        for a, b in combinations(range(len(texts)), 2)
+        if len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b])
+    ]
+    return find_roots(len(texts), close)
+
+
+def keepers(spark, texts):
+    got = {r.doc_id: r.keeper for r in simhash.near_duplicate_groups(table(spark, texts)).collect()}
+    return [got[i] for i in range(len(texts))]
+
+
+def test_repeated_lines(spark):
+    """A copy that repeats its last line many times has the same shingles but a few."""
+    rng = random.Random(21)
+    texts = []
+    for words, times in ((200, 20), (300, 50)):
+        for _ in range(15):
+            base = sentence(rng, words)
+            line = " ".join(base.split()[-12:])
+            texts += [base, base + f"\n{line}" * times]
+    expected = brute_keepers(texts)
+    assert expected == [i - i % 2 for i in range(len(texts))]
+    assert keepers(spark, texts) == expected
