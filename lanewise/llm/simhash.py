@@ -218,6 +218,8 @@ def simhash_groups(
 
 _KEYS = 6
 _SKETCH = 512
+#: Standard errors from which an estimate is clear.
+_CLEAR = 6
 _ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 3)) & (2**64 - 1) for i in range(_KEYS + 1)], np.uint64)
 
 
@@ -240,6 +242,27 @@ def sketch(text: bytes | None, width: int) -> tuple[int, list[int], bytes, int]:
     return _signed(simhash(different.astype(">u8"))), keys, least[:_SKETCH].tobytes(), len(different)
 
 
+def shingle_set(text: bytes | None, width: int) -> bytes:
+    """The different shingle hashes of a whole text (64 bits, sorted)."""
+    return np.unique(shingle_hashes(text, width).astype(np.uint64)).tobytes()
+
+
+def set_similarity(a: bytes, b: bytes) -> float:
+    """Overlap of two shingle sets."""
+    both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
+    both.sort()
+    twice = int((both[1:] == both[:-1]).sum())
+    return twice / max(len(both) - twice, 1)
+
+
+def doubtful(a: np.ndarray, b: np.ndarray, estimate: float, similarity: float) -> bool:
+    """Whether sketches leave open if the overlap reaches ``similarity``."""
+    if len(a) < _SKETCH and len(b) < _SKETCH:
+        return False
+    error = (similarity * (1 - similarity) / _SKETCH) ** 0.5
+    return abs(estimate - similarity) < _CLEAR * error
+
+
 def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
     """Overlap of two shingle sets from their sketches: exact when both sets fit."""
     both = np.concatenate([a, b])
@@ -251,6 +274,11 @@ def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
     return float(np.isin(union, twice).sum()) / len(union)
 
 
+def _words_digest(value: bytes | None) -> bytes:
+    """What texts of equal words share."""
+    return xxhash.xxh3_128_digest(b" ".join(plain_words(value.lower() if value else None)))
+
+
 def _sketches(text: Column, width: int) -> Column:
     kinds = [
         ("whole", pa.binary()),
@@ -265,8 +293,7 @@ def _sketches(text: Column, width: int) -> Column:
             parts: list[list] = [[] for _ in kinds]
             for value in binary_values(column):
                 mark, keys, least, _ = sketch(value, width)
-                words = b" ".join(plain_words(value.lower() if value else None))
-                row = (xxhash.xxh3_128_digest(words), mark, keys, least)
+                row = (_words_digest(value), mark, keys, least)
                 for part, entry in zip(parts, row, strict=True):
                     part.append(entry)
             arrays = [pa.array(part, kind) for part, (_, kind) in zip(parts, kinds, strict=True)]
@@ -291,7 +318,10 @@ def _near(radius: int) -> Callable:
 
 
 def _similar(radius: int, similarity: float) -> Callable:
-    """Links of the members of a shard that are near in the tree and similar enough."""
+    """Links of the members of a shard that are near in the tree and similar enough.
+
+    Pairs whose sketches leave that open, and that no other links join, are not ``sure``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _whole_shards(batches):
@@ -300,6 +330,7 @@ def _similar(radius: int, similarity: float) -> Callable:
             labels = np.arange(len(sets))
             firsts = np.searchsorted(groups, groups, "left")
             lasts = np.searchsorted(groups, groups, "right")
+            open_pairs: set[tuple[int, int]] = set()
             for query, node in _hits(table, radius):
                 order = np.argsort(query, kind="stable")
                 query, node = query[order], node[order]
@@ -310,23 +341,57 @@ def _similar(radius: int, similarity: float) -> Callable:
                     start = stop
                     while len(near := near[labels[near] != labels[me]]):
                         other, near = near[0], near[1:]
-                        if sketch_similarity(sets[me], sets[other]) >= similarity:
+                        estimate = sketch_similarity(sets[me], sets[other])
+                        if doubtful(sets[me], sets[other], estimate, similarity):
+                            open_pairs.add((min(me, other), max(me, other)))
+                        elif estimate >= similarity:
                             low, high = sorted((labels[me], labels[other]))
                             own = labels[firsts[me] : lasts[me]]
                             own[own == high] = low
             linked = np.flatnonzero(labels != np.arange(len(labels)))
+            pairs = np.array(sorted(open_pairs), np.int64).reshape(-1, 2)
+            pairs = pairs[labels[pairs[:, 0]] != labels[pairs[:, 1]]]
             names = table["whole"]
+            ends = np.r_[linked, pairs[:, 0]], np.r_[labels[linked], pairs[:, 1]]
+            sure = np.arange(len(ends[0])) < len(linked)
             yield pa.RecordBatch.from_arrays(
-                [
-                    names.take(pa.array(x)).combine_chunks().cast(pa.binary())
-                    for x in (linked, labels[linked])
-                ],
-                ["a", "b"],
+                [*(names.take(pa.array(x)).combine_chunks().cast(pa.binary()) for x in ends), pa.array(sure)],
+                ["a", "b", "sure"],
             )
 
     return run
 
 
+def _decided(docs: DataFrame, pairs: DataFrame, width: int, similarity: float, text: str) -> DataFrame:
+    """The ``pairs`` (a, b: digests of words) of texts of ``docs`` that overlap by
+    ``similarity``, by their whole shingle sets; only texts of these pairs move."""
+
+    @F.arrow_udf("binary")
+    def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([_words_digest(v) for v in binary_values(column)], pa.binary())
+
+    @F.arrow_udf("binary")
+    def whole_sets(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([shingle_set(v, width) for v in binary_values(column)], pa.binary())
+
+    @F.arrow_udf("boolean")
+    def alike(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for firsts, seconds in columns:
+            both = zip(binary_values(firsts), binary_values(seconds), strict=True)
+            yield pa.array([set_similarity(x, y) >= similarity for x, y in both], pa.bool_())
+
+    needed = pairs.select(F.col("a").alias("whole")).union(pairs.select("b")).distinct()
+    needed = store(needed, "near-doubtful")
+    texts = docs.select(digests(F.col(text)).alias("whole"), F.col(text).alias("text"))
+    texts = texts.join(broadcast_if(needed, fits_in_memory(needed)), "whole", "semi")
+    sets = texts.select("whole", whole_sets(F.col("text")).alias("set")).dropDuplicates(["whole"])
+    sets = store(sets, "near-sets")
+    rows = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+    return rows.filter(alike("set_a", "set_b")).select("a", "b")
+
+
 def near_duplicate_groups(
     docs: DataFrame,
     width: int = 5,
@@ -341,8 +406,8 @@ def near_duplicate_groups(
     Texts of equal words are one group; so are texts whose sets of ``width``-word shingles
     overlap (Jaccard) by ``similarity`` or more, directly or by a chain.  Candidates share
     a minimum hash and are within ``radius`` bits in their shard's tree; the overlap is then
-    exact for texts of fewer than 512 different shingles and estimated from 512 of them
-    for longer ones.  Null and empty texts are equal texts.  Rows without a doc_id keep
+    exact.  Only where an estimate from 512 of the shingles is more than six standard errors
+    away from ``similarity`` the estimate settles it.  Null and empty texts are equal texts.  Rows without a doc_id keep
     null as their doc_id; an empty table gives an empty result.
     """
     rows = store(
@@ -366,7 +431,13 @@ def near_duplicate_groups(
         "near-sketches",
     )
     shards = split_shards(members, "whole", shard_rows).join(sketches, "whole")
-    links = _search(shards, _similar(radius, similarity), "a binary, b binary")
+    found = _search(shards, _similar(radius, similarity), "a binary, b binary, sure boolean")
+    found = store(found, "near-found")
+    links, a, b = found.filter("sure").select("a", "b"), F.col("a"), F.col("b")
+    open_pairs = found.filter("not sure").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
+    if not open_pairs.isEmpty():
+        open_pairs = store(open_pairs.distinct(), "near-open")
+        links = links.unionByName(_decided(docs, open_pairs, width, similarity, text))
     roots = components(links)
     rooted = store(
         rows.join(roots, F.col("whole") == F.col("node"), "left").select(
