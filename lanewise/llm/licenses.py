@@ -45,8 +45,40 @@ SENTENCES = {
     "spdx-bsd3": "spdx license identifier bsd 3 clause",
     "spdx-gpl3-later": "spdx license identifier gpl 3 0 or later",
     "spdx-gpl3-only": "spdx license identifier gpl 3 0 only",
+    # The units that ENDS makes of sentences with a mark inside, as notices over several
+    # lines are read.
+    "gnu-program": "this program is free software",
+    "gnu-library": "this library is free software",
+    "gpl-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
+    "gpl3-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gpl2-terms": "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgpl-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation",
+    "lgpl3-terms": "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-terms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation",
+    "agpl3-terms": "you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "gnu-version3": "either version 3 of the license or at your option any later version",
+    "gnu-version2": "either version 2 of the license or at your option any later version",
+    "gnu-hope-useful": "this program is distributed in the hope that it will be useful but without any warranty",
+    "gnu-hope-implied": "without even the implied warranty of merchantability or fitness for a particular purpose",
+    "mpl2-form-open": "this source code form is subject to the terms of the mozilla public license v",
+    "apache-obtain": "you may obtain a copy of the license at",
+    "apache-obtain-http": "you may obtain a copy of the license at http",
+    "apache-obtain-https": "you may obtain a copy of the license at https",
+    "apache-url": "www apache org licenses license 2 0",
+    "apache-url-unless": "www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
 }
 
+
+
+def _gnu(name: str, number: str, who: list[str], hope: bool) -> list[tuple[str, list[str]]]:
+    """Rules for the units of a notice of the GNU licences: with and without what follows
+    it, and with the version in the same unit or in the next."""
+    licence = f"{name.upper()}-{number}.0-or-later"
+    ends = [["gnu-hope-useful", "gnu-hope-implied"], []] if hope else [[]]
+    terms = [[f"{name}{number}-terms"], [f"{name}-terms", f"gnu-version{number}"]]
+    return [(licence, [w, *t, *e]) for e in ends for w in who for t in terms]
+
+
 #: Rules in order: licence, and the identifiers that must follow one another: fixed values.
 RULES = [
     ("MIT", ["mit-grant", "mit-notice", "mit-warranty", "mit-liability"]),
@@ -56,6 +88,11 @@ RULES = [
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD-1-Clause", ["bsd-grant", "bsd-source"]),
     ("Apache-2.0", ["apache-the", "apache-comply", "apache-copy"]),
+    *[
+        ("Apache-2.0", ["apache-the", "apache-comply", obtain, url])
+        for obtain in ("apache-obtain", "apache-obtain-http", "apache-obtain-https")
+        for url in ("apache-url", "apache-url-unless")
+    ],
     ("Apache-2.0", ["apache-the"]),
     ("Apache-2.0", ["apache-name"]),
     ("GPL-3.0-or-later", ["gpl3-later", "gnu-hope"]),
@@ -65,9 +102,14 @@ RULES = [
     ("LGPL-3.0-or-later", ["lgpl3-later"]),
     ("AGPL-3.0-or-later", ["agpl3-later", "gnu-hope"]),
     ("AGPL-3.0-or-later", ["agpl3-later"]),
+    *_gnu("gpl", "3", ["gnu-program"], True),
+    *_gnu("gpl", "2", ["gnu-program"], True),
+    *_gnu("lgpl", "3", ["gnu-library", "gnu-program"], False),
+    *_gnu("agpl", "3", ["gnu-program"], True),
     ("GPL-3.0-only", ["gpl3-name"]),
     ("GPL-2.0-only", ["gpl2-name"]),
     ("MPL-2.0", ["mpl2-form"]),
+    ("MPL-2.0", ["mpl2-form-open"]),  # these words are of version 2.0 alone
     ("ISC", ["isc-grant"]),
     ("MIT", ["mit-name"]),
     ("MIT", ["mit-licensed"]),
@@ -87,7 +129,7 @@ RULES = [
 ]
 
 #: Every known sentence has one of these, so other texts need no closer look.
-HINT = "licen|permi|redistribut|software|hope|cc0|neither"
+HINT = "licen|permi|redistribut|software|hope|cc0|neither|implied warranty"
 #: Where sentences end: a closing mark before space or the end, a colon, a blank line.
 ENDS = r"[.;!?]+(?:\s|$)|:|\n\s*\n"
 LINES = r"\n"
