@@ -8,10 +8,11 @@ the whole item.
 """
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import store
 from .common import text_values
@@ -161,33 +162,44 @@ def find_items(
     text differs from it in at most the share ``error`` of its characters (both compared
     in lower case, runs of punctuation and space as one space).  Items go to the tasks in
     blocks of bounded size, one pass over the documents for each block; benchmarks of a
-    few megabytes are one block.  Null and empty texts and items match nothing; repeated
-    documents and items are each reported; without items all arrays are empty.
+    few megabytes are one block.  The blocks do not change the result: every row has its
+    own leaks, also where doc_ids are null or repeated.  Null and empty texts and items
+    match nothing; repeated documents and items are each reported; without items all
+    arrays are empty.
     """
     kind = items.schema["item_id"].dataType.simpleString()
     plain = items.filter(F.col("text").isNotNull()).select("item_id", "text")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    parts = []
-    for block in _blocks(plain, block_bytes):
+    blocks = _blocks(plain, block_bytes)
+
+    def leaks(block: list) -> Column:
         texts = [(row.item_id, plain_text(row.text)) for row in block]
         texts = [(name, t) for name, t in texts if t]
         sent = docs.sparkSession.sparkContext.broadcast(texts)
-
         names = F.array(*[F.lit(name) for name, _ in texts]).cast(f"array<{kind}>")
-        leaks = F.transform(
+        return F.transform(
             _found(sent, error)(F.col("text")),
             lambda leak: F.struct(F.get(names, leak["item"]).alias("item_id"), leak["errors"].alias("errors")),
         )
-        parts.append(rows.select("doc_id", leaks.alias("leaks")))
-    if len(parts) == 1:
-        return parts[0]
+
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return rows.select("doc_id", leaks(first).alias("leaks"))
+    # Rows are numbered once: a doc_id may be null or stand in several rows.
+    rows = store(rows.withColumn("row", F.monotonically_increasing_id()), "leak-rows")
     every = None
-    for part in parts:
-        hits = store(part.filter(F.size("leaks") > 0), "leaks")
+    for number, block in enumerate(chain([first, second], blocks)):
+        hits = rows.select("row", F.lit(number).alias("block"), leaks(block).alias("leaks"))
+        hits = store(hits.filter(F.size("leaks") > 0), "leaks")
         every = hits if every is None else every.unionByName(hits)
-    joined = every.groupBy("doc_id").agg(F.flatten(F.collect_set("leaks")).alias("leaks"))
-    empty = F.array().cast(parts[0].schema["leaks"].dataType)
-    return rows.select("doc_id").join(joined, "doc_id", "left").withColumn("leaks", F.coalesce("leaks", empty))
+    in_order = F.sort_array(F.collect_list(F.struct("block", "leaks")))
+    joined = every.groupBy("row").agg(F.flatten(F.transform(in_order, lambda b: b["leaks"])).alias("leaks"))
+    empty = F.array().cast(joined.schema["leaks"].dataType)
+    return (
+        rows.select("row", "doc_id")
+        .join(joined, "row", "left")
+        .select("doc_id", F.coalesce("leaks", empty).alias("leaks"))
+    )
 
 
 def drop_leaks(
