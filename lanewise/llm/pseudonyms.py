@@ -144,7 +144,7 @@ class Pseudonyms:
         return _refill(m[0], self._number("social", digits, valid)) if valid(digits) else None
 
     def phone(self, m: re.Match) -> str | None:
-        code = m["code"] or ""
+        code = m["code"] or m["plus"] or ""
         rest = m[0][len(code) :]
         digits = _digits(rest)
         if not 7 <= len(digits) <= 14:
@@ -191,7 +191,7 @@ class Pseudonyms:
     def replace(self, text: str | None) -> tuple[str | None, list[dict]]:
         """The text with all values replaced, and kind, start and stop of each in the
         original."""
-        if not text or not _HINT.search(text):
+        if not text or not (_HINT.search(text) or _NAMED.search(text)):
             return text, []
         found = []
 
@@ -206,7 +206,9 @@ class Pseudonyms:
         return _VALUES.sub(new, text), found
 
 
+#: Every value has one of these; only secrets can do without a digit.
 _HINT = re.compile(r"[0-9@]")
+_NAMED = re.compile(r"(?i:password|passwd|token|secret|api[_-]?key)|AKIA")
 _KINDS = ("email", "iban", "ip", "date", "social", "phone", "card")
 _VALUES = re.compile(
     r"""(?<![\w.+%-])(?P<email>[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
@@ -214,7 +216,9 @@ _VALUES = re.compile(
     |(?<![\w.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])
     |(?<![\w/-])(?P<date>[0-9]{4}(?P<dash>[-/.])[0-9]{2}(?P=dash)[0-9]{2}|[0-9]{2}(?P<slash>[-/.])[0-9]{2}(?P=slash)[0-9]{4})(?![\w/-])
     |(?<![\w-])(?P<social>[0-9]{3}-[0-9]{2}-[0-9]{4})(?![\w-])
-    |(?<![\w+])(?P<phone>(?P<code>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ ]?|(?(code)[0-9]{2,4}[ .-]|[0-9]{3}[.-]))[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,2})(?![\w-])
+    |(?<![\w+])(?P<phone>(?P<code>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ ]?|(?(code)[0-9]{2,4}[ .-]|[0-9]{3}[.-]))[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,2}(?![\w-])
+      |(?P<plus>(?>\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})))
+       (?:[ .-]?[0-9]{7,13}|[ .-][0-9]{1,5}[ .-][0-9]{5,9}|[ .-][0-9](?:[ .-][0-9]{2}){4})(?!\w|\.[0-9]))
     |(?<!\w)(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?!\w)
     |(?:(?i:password|passwd|token|secret|api[_-]?key)["']?\s*[=:]\s*["']?(?P<secret>[A-Za-z0-9]{12,64})(?![A-Za-z0-9])
       |(?<![A-Z0-9])AKIA(?P<access>[A-Z0-9]{16})(?![A-Za-z0-9]))""",
