@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bounded_sample
+from ..operators.skew import broadcast_if, fits_in_memory
 from .flat import SPACE, Flat, flat_slices
 
 BITS = 16
@@ -128,20 +128,19 @@ def log_ratio(target: np.ndarray, raw: np.ndarray, smoothing: float = 1.0) -> np
 def fit_ratio(
     docs: DataFrame,
     trusted: DataFrame,
-    max_trusted: int = 50_000,
     bits: int = BITS,
     doc_id: str = "doc_id",
     text: str = "text",
 ) -> np.ndarray:
     """Log ratios per bucket from all of ``docs`` and the trusted ones among them.
 
-    ``trusted`` has the ids of trusted documents; of these at most ``max_trusted`` (those
-    of smallest hash) make the target counts, so that the ids are small enough to copy to
-    every executor.  The raw counts cover all documents.  Without trusted documents all
-    ratios are 0.
+    ``trusted`` has the ids of trusted documents; all of these make the target counts.  The
+    ids are copied to every executor where they are measured to fit, and meet the documents
+    in a shuffle otherwise.  The raw counts cover all documents.  Without trusted documents
+    all ratios are 0.
     """
     ids = trusted.select(F.col(doc_id).alias("__id")).filter("__id is not null").distinct()
-    ids = F.broadcast(bounded_sample(ids, max_trusted, "__id"))
+    ids = broadcast_if(ids, fits_in_memory(ids))
     raw = _counts(docs, F.col(text), bits)
     target = _counts(docs.join(ids, F.col(doc_id) == F.col("__id"), "semi"), F.col(text), bits)
     if not target.sum():
