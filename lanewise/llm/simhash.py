@@ -212,255 +212,26 @@ def simhash_groups(
     return rows.join(named, "print").select("doc_id", "print", "component_id")
 
 
-# Near duplicates by similarity.  Documents whose shingle sets overlap by 0.8 can differ in
-# a quarter of their fingerprint's bits, too many for block keys.  Their shards are made by
-# minimum hashes instead: such documents share each of them with probability 0.8.
-
-_KEYS = 6
-_SKETCH = 512
-#: Standard errors from which an estimate is clear.
-_CLEAR = 6
-_ODD = np.array([(0x9E3779B97F4A7C15 * (2 * i + 3)) & (2**64 - 1) for i in range(_KEYS + 1)], np.uint64)
-
-
-def _mixed(values: np.ndarray, number: int) -> np.ndarray:
-    values = (values ^ (values >> np.uint64(31))) * _ODD[number]
-    return (values ^ (values >> np.uint64(29))) * _ODD[0]
-
-
-def sketch(text: bytes | None, width: int) -> tuple[int, list[int], bytes, int]:
-    """Fingerprint, minimum hashes, the least 512 shingle hashes (32 bits, sorted) and the
-    number of different shingles of a whole text.
-
-    All are over different shingles, as the similarity is: a line repeated many times
-    changes none of them.
-    """
-    hashes = shingle_hashes(text, width)
-    different = np.unique(hashes.astype(np.uint64))
-    keys = [int(_mixed(different, i).min().astype(np.int64)) for i in range(_KEYS)] if len(different) else []
-    least = np.unique((_mixed(different, _KEYS) >> np.uint64(32)).astype("<u4"))
-    return _signed(simhash(different.astype(">u8"))), keys, least[:_SKETCH].tobytes(), len(different)
-
-
-def shingle_set(text: bytes | None, width: int) -> bytes:
-    """The different shingle hashes of a whole text (64 bits, sorted)."""
-    return np.unique(shingle_hashes(text, width).astype(np.uint64)).tobytes()
-
-
-def set_similarity(a: bytes, b: bytes) -> float:
-    """Overlap of two shingle sets."""
-    both = np.concatenate([np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)])
-    both.sort()
-    twice = int((both[1:] == both[:-1]).sum())
-    return twice / max(len(both) - twice, 1)
-
-
-def doubtful(a: np.ndarray, b: np.ndarray, estimate: float, similarity: float) -> bool:
-    """Whether sketches leave open if the overlap reaches ``similarity``."""
-    if len(a) < _SKETCH and len(b) < _SKETCH:
-        return False
-    error = (similarity * (1 - similarity) / _SKETCH) ** 0.5
-    return abs(estimate - similarity) < _CLEAR * error
-
-
-def sketch_similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Overlap of two shingle sets from their sketches: exact when both sets fit."""
-    both = np.concatenate([a, b])
-    both.sort()
-    twice = both[1:][both[1:] == both[:-1]]
-    if len(a) < _SKETCH and len(b) < _SKETCH:
-        return len(twice) / max(len(both) - len(twice), 1)
-    union = np.unique(both)[:_SKETCH]
-    return float(np.isin(union, twice).sum()) / len(union)
-
-
-def _words_digest(value: bytes | None) -> bytes:
-    """What texts of equal words share."""
-    return xxhash.xxh3_128_digest(b" ".join(plain_words(value.lower() if value else None)))
-
-
-def _sketches(text: Column, width: int) -> Column:
-    kinds = [
-        ("whole", pa.binary()),
-        ("print", pa.int64()),
-        ("keys", pa.list_(pa.int64())),
-        ("least", pa.binary()),
-    ]
-
-    @F.arrow_udf("struct<whole: binary, print: long, keys: array<long>, least: binary>")
-    def sketched(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            parts: list[list] = [[] for _ in kinds]
-            for value in binary_values(column):
-                mark, keys, least, _ = sketch(value, width)
-                row = (_words_digest(value), mark, keys, least)
-                for part, entry in zip(parts, row, strict=True):
-                    part.append(entry)
-            arrays = [pa.array(part, kind) for part, (_, kind) in zip(parts, kinds, strict=True)]
-            yield pa.StructArray.from_arrays(arrays, [name for name, _ in kinds])
-
-    return sketched(text)
-
-
-def _near(radius: int) -> Callable:
-    """The members of a shard that have another within the radius in the shard's tree."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_shards(batches):
-            near = np.zeros(table.num_rows, bool)
-            for query, node in _hits(table, radius):
-                apart = query != node
-                near[query[apart]] = near[node[apart]] = True
-            found = table.select(["shard", "whole"]).filter(pa.array(near))
-            yield from found.to_batches()
-
-    return run
-
-
-def _similar(radius: int, similarity: float) -> Callable:
-    """Links of the members of a shard that are near in the tree and similar enough.
-
-    Pairs whose sketches leave that open, and that no other links join, are not ``sure``.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _whole_shards(batches):
-            groups = _groups(table)[0]
-            sets = [np.frombuffer(b, "<u4") for b in table["least"].to_pylist()]
-            labels = np.arange(len(sets))
-            firsts = np.searchsorted(groups, groups, "left")
-            lasts = np.searchsorted(groups, groups, "right")
-            open_pairs: set[tuple[int, int]] = set()
-            for query, node in _hits(table, radius):
-                order = np.argsort(query, kind="stable")
-                query, node = query[order], node[order]
-                stops = np.flatnonzero(np.r_[query[1:] != query[:-1], True]) + 1 if len(query) else []
-                start = 0
-                for stop in stops:
-                    me, near = query[start], node[start:stop]
-                    start = stop
-                    while len(near := near[labels[near] != labels[me]]):
-                        other, near = near[0], near[1:]
-                        estimate = sketch_similarity(sets[me], sets[other])
-                        if doubtful(sets[me], sets[other], estimate, similarity):
-                            open_pairs.add((min(me, other), max(me, other)))
-                        elif estimate >= similarity:
-                            low, high = sorted((labels[me], labels[other]))
-                            own = labels[firsts[me] : lasts[me]]
-                            own[own == high] = low
-            linked = np.flatnonzero(labels != np.arange(len(labels)))
-            pairs = np.array(sorted(open_pairs), np.int64).reshape(-1, 2)
-            pairs = pairs[labels[pairs[:, 0]] != labels[pairs[:, 1]]]
-            names = table["whole"]
-            ends = np.r_[linked, pairs[:, 0]], np.r_[labels[linked], pairs[:, 1]]
-            sure = np.arange(len(ends[0])) < len(linked)
-            yield pa.RecordBatch.from_arrays(
-                [*(names.take(pa.array(x)).combine_chunks().cast(pa.binary()) for x in ends), pa.array(sure)],
-                ["a", "b", "sure"],
-            )
-
-    return run
-
-
-def _decided(docs: DataFrame, pairs: DataFrame, width: int, similarity: float, text: str) -> DataFrame:
-    """The ``pairs`` (a, b: digests of words) of texts of ``docs`` that overlap by
-    ``similarity``, by their whole shingle sets; only texts of these pairs move."""
-
-    @F.arrow_udf("binary")
-    def digests(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            yield pa.array([_words_digest(v) for v in binary_values(column)], pa.binary())
-
-    @F.arrow_udf("binary")
-    def whole_sets(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for column in columns:
-            yield pa.array([shingle_set(v, width) for v in binary_values(column)], pa.binary())
-
-    @F.arrow_udf("boolean")
-    def alike(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for firsts, seconds in columns:
-            both = zip(binary_values(firsts), binary_values(seconds), strict=True)
-            yield pa.array([set_similarity(x, y) >= similarity for x, y in both], pa.bool_())
-
-    needed = pairs.select(F.col("a").alias("whole")).union(pairs.select("b")).distinct()
-    needed = store(needed, "near-doubtful")
-    texts = docs.select(digests(F.col(text)).alias("whole"), F.col(text).alias("text"))
-    texts = texts.join(broadcast_if(needed, fits_in_memory(needed)), "whole", "semi")
-    sets = texts.select("whole", whole_sets(F.col("text")).alias("set")).dropDuplicates(["whole"])
-    sets = store(sets, "near-sets")
-    rows = pairs.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
-    return rows.filter(alike("set_a", "set_b")).select("a", "b")
-
-
-def near_duplicate_groups(
-    docs: DataFrame,
-    width: int = 5,
-    similarity: float = 0.8,
-    radius: int = 22,
-    shard_rows: int = SHARD_ROWS,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """One row per document: doc_id and keeper, the smallest doc_id of its group.
-
-    Texts of equal words are one group; so are texts whose sets of ``width``-word shingles
-    overlap (Jaccard) by ``similarity`` or more, directly or by a chain.  Candidates share
-    a minimum hash and are within ``radius`` bits in their shard's tree; the overlap is then
-    exact.  Only where an estimate from 512 of the shingles is more than six standard errors
-    away from ``similarity`` the estimate settles it.  Null and empty texts are equal texts.  Rows without a doc_id keep
-    null as their doc_id; an empty table gives an empty result.
-    """
-    rows = store(
-        docs.select(F.col(doc_id).alias("doc_id"), _sketches(F.col(text), width).alias("s")).select(
-            "doc_id", "s.*"
-        ),
-        "near-rows",
-    )
-    members = rows.select("whole", "print", F.posexplode("keys").alias("at", "key"))
-    members = members.select("whole", "print", F.xxhash64("at", "key").alias("shard")).distinct()
-    members = store(members, "near-members")
-    live = members.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("shard")
-    members = store(members.join(live, "shard", "semi"), "near-live")
-    # Most documents that share a minimum hash are far apart in their tree: only the others
-    # are worth moving with their sketches.
-    near = _search(split_shards(members, "whole", shard_rows), _near(radius), "shard long, whole binary")
-    members = store(near.distinct(), "near-pairs")
-    needed = members.select("whole").distinct()
-    sketches = store(
-        rows.select("whole", "print", "least").join(needed, "whole", "semi").dropDuplicates(["whole"]),
-        "near-sketches",
-    )
-    shards = split_shards(members, "whole", shard_rows).join(sketches, "whole")
-    found = _search(shards, _similar(radius, similarity), "a binary, b binary, sure boolean")
-    found = store(found, "near-found")
-    links, a, b = found.filter("sure").select("a", "b"), F.col("a"), F.col("b")
-    open_pairs = found.filter("not sure").select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-    if not open_pairs.isEmpty():
-        open_pairs = store(open_pairs.distinct(), "near-open")
-        links = links.unionByName(_decided(docs, open_pairs, width, similarity, text))
-    roots = components(links)
-    rooted = store(
-        rows.join(roots, F.col("whole") == F.col("node"), "left").select(
-            "doc_id", F.coalesce("root", "whole").alias("root")
-        ),
-        "near-roots",
-    )
-    keepers = store(rooted.groupBy("root").agg(F.min("doc_id").alias("keeper")), "near-keepers")
-    return rooted.join(keepers, "root").select("doc_id", "keeper")
-
-
 def drop_near_duplicates(
-    docs: DataFrame, width: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text"
+    docs: DataFrame, radius: int = 3, width: int = 3, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """The rows of ``docs`` that keep one document of each near-duplicate group.
+    """The rows of ``docs`` that keep one document of each SimHash component.
 
-    The document of smallest doc_id stays.  Rows that repeat its doc_id and text are left
-    out; rows without a doc_id cannot be told apart and stay.
+    The document of smallest doc_id stays; a null doc_id stays only where the component has
+    no other.  Null and wordless texts are near duplicates of each other.  Rows that repeat a
+    document that stays are left out.  An empty table stays empty; all columns, also those of
+    clashing names, are returned as they are.
     """
-    groups = store(near_duplicate_groups(docs, width, similarity, doc_id=doc_id, text=text), "near-groups")
-    gone = groups.filter("doc_id <> keeper").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = store(gone, "near-gone")
-    gone = broadcast_if(gone, fits_in_memory(gone))
-    kept = docs.join(gone, F.col(doc_id) == F.col("__gone"), "anti")
-    again = groups.filter("doc_id = keeper").groupBy("doc_id").count().filter("count > 1")
-    return kept if again.isEmpty() else kept.dropDuplicates([doc_id, text])
+    groups = store(simhash_groups(docs, radius, width, doc_id=doc_id, text=text), "near-groups")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    seen = groups.groupBy("doc_id", "print").agg(F.bool_or(stays).alias("__stays"), F.count("*").alias("__n"))
+    marked = store(seen.filter("not __stays or __n > 1").toDF("__id", "__print", "__stays", "__n"), "near-marked")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    key, value = F.col(f"`{doc_id}`"), F.col(f"`{text}`")
+    # Few rows are marked as a rule; only they, and no texts, move where they fit in memory.
+    rows = docs.select(F.struct(*columns).alias("row"), key.alias("id"), fingerprint(value, width).alias("print"))
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("print") == F.col("__print"))
+    judged = rows.join(broadcast_if(marked, fits_in_memory(marked)), same, "left")
+    once = judged.filter("__stays is null")
+    repeated = judged.filter("__stays").dropDuplicates(["id", "print"])
+    return once.select("row.*").unionByName(repeated.select("row.*"))

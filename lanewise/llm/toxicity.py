@@ -164,10 +164,11 @@ def fit_toxicity(
     other half of a telling pair); at most ``max_terms`` each way.  Rows with a null label
     or doc_id teach nothing, equal documents teach once; of several labels for one document the highest counts.
     """
-    marked = labels.select(F.col(doc_id).alias("__id"), F.col("toxic").cast("int").alias("label"))
+    marked = labels.select(F.col(f"`{doc_id}`").alias("__id"), F.col("toxic").cast("int").alias("label"))
     marked = marked.dropna().groupBy("__id").agg(F.max("label").alias("label"))
     marked = F.broadcast(bounded_sample(marked, max_rows, "__id"))
-    chosen = docs.join(marked, F.col(doc_id) == F.col("__id")).select("label", F.col(text).alias("text"))
+    chosen = docs.select(F.col(f"`{doc_id}`").alias("__doc"), F.col(f"`{text}`").alias("text"))
+    chosen = chosen.join(marked, F.col("__doc") == F.col("__id")).select("label", "text")
     hashed = chosen.select("label", _hashed(F.col("text")).alias("terms"))
     rows = store(hashed.dropDuplicates(["label", "terms"]), "toxicity-terms")
 
