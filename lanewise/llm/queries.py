@@ -2,10 +2,13 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .collocations import duckdb_collocations, mine_collocations
 from .common import held_out, read
 from .decontaminate import find_items
+from .jaccard_join import duckdb_groups, jaccard_groups
 from .langid import fit_languages, predict_languages
 from .licenses import duckdb_scan, scan_licences
+from .merkle import duckdb_manifest, manifest, without_newlines
 from .mixing import Mix, duckdb_mix
 from .pseudonyms import pseudonymise
 from .quality import fit_ratio, judge
@@ -101,6 +104,35 @@ def op10_weighted_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_phrase_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collocations of each language from count streams merged in prefix and suffix order.
+
+    Null texts are empty, a null lang is ``und``; equal scores are ordered by count and
+    phrase; repeated rows count again; an empty table gives no rows.
+    """
+    return mine_collocations(read(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and check against the manifest's root.
+
+    A null field is ``-``; a null source is a source of its own; repeated rows are leaves of
+    their own, equal doc_ids in the order of their leaves; an empty table gives no rows.
+    """
+    docs = read(spark, sf_dir, "documents")
+    changed = without_newlines(F.col("doc_id"), F.col("text"))
+    return manifest(docs, tampered=changed).drop("source")
+
+
+def op13_jaccard_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose four-word shingle sets overlap by 0.85 or more.
+
+    Null and wordless texts link with nothing; equal sets and repeated rows link; an empty
+    table gives no rows.
+    """
+    return jaccard_groups(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,9 +146,15 @@ QUERIES = {
         op8_suffix_tree,
         op9_quality_ratio,
         op10_weighted_mix,
+        op11_phrase_streams,
+        op12_merkle_manifest,
+        op13_jaccard_components,
     )
 }
 ORACLES = {
     "op7_sentence_licences": duckdb_scan("documents"),
     "op10_weighted_mix": duckdb_mix("documents"),
+    "op11_phrase_streams": duckdb_collocations("documents"),
+    "op12_merkle_manifest": duckdb_manifest("documents"),
+    "op13_jaccard_components": duckdb_groups("documents"),
 }
