@@ -27,6 +27,31 @@ TREES, LEAST_BINS, MAX_DEPTH = 10, 1000, 8
 MAX_CATEGORIES = 1_000_000
 
 
+def _read_columns(df: DataFrame, categories: Sequence[str], features: Sequence[str]) -> list[str]:
+    """The columns of ``df`` that the model's stages read."""
+    read = {*categories, *features}
+    return [name for name in df.columns if name in read]
+
+
+def trainable(
+    df: DataFrame,
+    categories: Sequence[str] = CATEGORIES,
+    features: Sequence[str] = FEATURES,
+    delay: str = "depdelay",
+    splits: Sequence[float] = LABEL_SPLITS,
+) -> DataFrame:
+    """The rows that can teach: every category and feature is there (no null, no NaN) and
+    the delay lies in the label's splits.  Early departures, under 0, have no label."""
+    whole = bucketize(delay, splits).isNotNull()
+    for name, kind in df.dtypes:
+        if name in _read_columns(df, categories, features):
+            value = F.col(f"`{name}`")
+            whole = whole & value.isNotNull()
+            if kind in ("double", "float"):
+                whole = whole & ~F.isnan(value)
+    return df.filter(whole)
+
+
 def category_index(categories: Sequence[str] = CATEGORIES, unseen: str = "keep") -> StringIndexer:
     """Stage numbering each category column's values, the most frequent 0.
 
@@ -54,10 +79,13 @@ def train(
 ) -> PipelineModel:
     """Fit category numbering, label, feature vector and random forest.
 
+    Rows that lack a feature or have no usable delay are set aside (see ``trainable``).
     The forest's bins are the larger of 1000 and the widest category, unless
     ``max_bins`` asks for more.  The category values are model state and reach the
     driver; about how many there are is counted first, without collecting them.
+    (``FrequencyIndex`` numbers columns of more values, in tables.)
     """
+    training = trainable(training, categories, features, delay, splits)
     counts = training.agg(*[F.approx_count_distinct(c).alias(c) for c in categories]).first()
     for name in categories:
         if counts[name] > MAX_CATEGORIES:
@@ -90,6 +118,43 @@ def score(model: PipelineModel, df: DataFrame, drop: Sequence[str] = ()) -> Data
     return model.transform(df).drop(*drop)
 
 
+def score_rows(
+    model: PipelineModel,
+    rows: DataFrame,
+    delay: str = "depdelay",
+    splits: Sequence[float] = LABEL_SPLITS,
+    categories: Sequence[str] = CATEGORIES,
+    features: Sequence[str] = FEATURES,
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """All rows, batch or streaming, with ``label`` and ``prediction``; none ends the job.
+
+    A row that lacks something the model reads (null or NaN) gets a null prediction, and one
+    without a usable delay a null label; columns of these names are replaced.  ``keep``
+    names further columns of the model to return, null like the prediction.
+    """
+    rows = rows.drop("label", "prediction", *keep)
+    # The model's stages refuse such rows: they are shown stand-ins, and keep their own.
+    read = _read_columns(rows, categories, features)
+    usable = bucketize(delay, splits).isNotNull()
+    whole, shown = F.lit(True), {}
+    for name, kind in rows.dtypes:
+        if name in read:
+            value = F.col(f"`{name}`")
+            there = value.isNotNull() & ~F.isnan(value) if kind in ("double", "float") else value.isNotNull()
+            whole = whole & there
+            shown[name] = F.when(there, value).otherwise(F.lit("" if kind == "string" else 0).cast(kind))
+    shown[delay] = F.when(usable, F.col(delay)).otherwise(F.lit(float(splits[0])))
+    marked = rows.withColumns({"__row": F.struct("*"), "__whole": whole, "__usable": usable})
+    scored = score(model, marked.withColumns(shown), [c for c in MODEL_COLUMNS if c not in keep])
+    return scored.select(
+        "__row.*",
+        F.when(F.col("__usable"), F.col("label")).alias("label"),
+        F.when(F.col("__whole"), F.col("prediction")).alias("prediction"),
+        *[F.when(F.col("__whole"), F.col(name)).alias(name) for name in keep],
+    )
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     model.write().overwrite().save(path)
 

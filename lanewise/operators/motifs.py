@@ -121,7 +121,8 @@ def first_two_hops(
 
     ``start`` and ``end`` are conditions on the vertices a and c.  Only the first ``n``
     edges ab that have any bc can be in the result, each with the ``n`` smallest bc of its
-    vertex; so at most n * n pairs are formed.  Edges with equal keys are ordered by
+    vertex; so at most n * n pairs are formed, and only edges that leave the targets of
+    those ``n`` are looked at for bc.  Edges with equal keys are ordered by
     their ends, so the result is one and the same if key and ends identify an edge.
     """
     small = graph.small_vertices
@@ -133,9 +134,15 @@ def first_two_hops(
     out_of = edges.join(ends, edges.dst == ends.id, "left_semi")
 
     order = [edge_key, "src", "dst"]
-    onward = out_of.select(F.col("src").alias("__at"))
+    # Which vertices lead on: one row each, however many edges leave them.
+    onward = store(out_of.select(F.col("src").alias("__at")).distinct(), "onward")
+    onward = broadcast_if(onward, fits_in_memory(onward))
     into = into.join(onward, into.dst == F.col("__at"), "left_semi").orderBy(*order).limit(n)
+    into = store(into, "first-hops")
     ab = into.select(_row(edges).alias("ab"))
+    reached = into.select(F.col("dst").alias("__from")).distinct()
+    reached = broadcast_if(reached, fits_in_memory(reached))
+    out_of = out_of.join(reached, out_of.src == F.col("__from"), "left_semi")
     bc = first_per_group(out_of, ["src"], order, n).select(_row(edges).alias("bc"))
     pairs = (
         ab.join(bc, F.col("ab.dst") == F.col("bc.src"))

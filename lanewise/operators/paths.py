@@ -3,9 +3,11 @@
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from ..session import settle
+from ..session import new_folder, settle
 from .graph import Graph
 from .reports import first_per_group
 from .skew import broadcast_if, fits_in_memory
@@ -20,8 +22,12 @@ class _RouteIndex:
         routes = graph.by_route.edges.select("src", "dst")
         self.laid = self.hot.lay_out(self.hot.divide(routes, F.col(end), F.col(self.other)), end)
 
-    def step(self, frontier: DataFrame, *carry: str) -> DataFrame:
-        """Vertices one route away from the frontier's, with the frontier's ``carry``."""
+    def step(self, frontier: DataFrame) -> DataFrame:
+        """Vertices one route away from the frontier's, each once."""
+        return self.met(frontier).distinct()
+
+    def met(self, frontier: DataFrame, *carry: str) -> DataFrame:
+        """The other end of every route at the frontier, with the frontier's ``carry``."""
         near = frontier.withColumnRenamed("id", "__at")
         at_end = F.col(self.end) == F.col("__at")
         # A broadcast row meets every part; only a shuffled one is copied per part.
@@ -29,7 +35,7 @@ class _RouteIndex:
             met = self.laid.join(F.broadcast(near), at_end)
         else:
             met = self.laid.join(self.hot.copy(near, F.col("__at")), self.hot.match(at_end))
-        return met.select(F.col(self.other).alias("id"), *carry).distinct()
+        return met.select(F.col(self.other).alias("id"), *carry)
 
     def close(self) -> None:
         self.laid.unpersist()
@@ -39,28 +45,85 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def hop_counts(graph: Graph, landmarks: Sequence[str], merge_every: int = 16) -> DataFrame:
+_WORD = 64
+#: Landmarks whose bits travel together: 64 words a vertex.
+_SWEEP = 64 * _WORD
+#: Rings after which the state is written, and laid out again.
+_WRITTEN_EVERY = 4
+
+
+def hop_counts(graph: Graph, landmarks: Sequence[str]) -> DataFrame:
     """Fewest hops from each vertex to each landmark it can reach: ``id, landmark, hops``.
 
-    Works backwards from the landmarks, one ring of vertices at a time, until a ring
-    is empty.  Each ring is written to the checkpoint folder; ``merge_every`` rings are
-    written together again, so that a graph of great diameter does not grow the plan.
+    Works backwards from the landmarks, one ring at a time, until a ring is empty.  A
+    vertex has one bit per landmark, so all landmarks travel together: what a ring sends
+    along the routes is joined by OR inside every task before the shuffle.  The bits that
+    every vertex has seen are laid out by vertex and meet what arrives where they are; only
+    every fourth ring they are written and laid out anew, which keeps plans short.  A ring is
+    written once, under its number of hops, and is never moved again.  Names that are no
+    vertex reach nothing; more than 4096 landmarks go in several sweeps.
     """
+    names = sorted(set(landmarks))
+    sweeps = [names[i : i + _SWEEP] for i in range(0, len(names), _SWEEP)] or [[]]
     index = _RouteIndex(graph, "dst")
-    marks = graph.vertices.filter(F.col("id").isin(*landmarks))
-    ring = settle(marks.select("id", F.col("id").alias("landmark")))
-    rings, hops = [ring.withColumn("hops", F.lit(0))], 0
     try:
-        while not ring.isEmpty():
-            hops += 1
-            seen = _union(rings).select("id", "landmark")
-            ring = settle(index.step(ring, "landmark").join(seen, ["id", "landmark"], "left_anti"))
-            rings.append(ring.withColumn("hops", F.lit(hops)))
-            if len(rings) == merge_every:
-                rings = [settle(_union(rings))]
+        return _union([_sweep(graph, index, part) for part in sweeps])
     finally:
         index.close()
-    return _union(rings)
+
+
+def _sweep(graph: Graph, index: _RouteIndex, names: list[str]) -> DataFrame:
+    spark = graph.vertices.sparkSession
+    words = [f"w{i}" for i in range(max(1, -(-len(names) // _WORD)))]
+    path = new_folder(spark, "hops")
+    listed = [(name, i // _WORD, 1 << (i % _WORD)) for i, name in enumerate(names)]
+    listed = [(name, word, bit - (1 << _WORD) if bit >> (_WORD - 1) else bit) for name, word, bit in listed]
+    marks = F.broadcast(spark.createDataFrame(listed, "landmark string, word int, bit long"))
+    of_word = [F.bit_or(F.when(F.col("word") == i, F.col("bit")).otherwise(0)).alias(w) for i, w in enumerate(words)]
+    first = graph.vertices.join(marks, F.col("id") == F.col("landmark")).groupBy("id").agg(*of_word)
+
+    def written(ring: DataFrame, hops: int) -> DataFrame:
+        ring.write.parquet(f"{path}/hops={hops}")
+        return spark.read.schema(ring.schema).parquet(f"{path}/hops={hops}")
+
+    ring, hops = written(first, 0), 0
+    slots = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    nothing = [F.lit(0).cast("long").alias(f"seen_{w}") for w in words]
+    base = graph.vertices.select("id", *nothing).repartition(slots, "id")
+    seen = _marked(base, ring, words).persist(StorageLevel.MEMORY_AND_DISK)
+    while not ring.isEmpty():
+        hops += 1
+        sent = index.met(ring, *words).groupBy("id").agg(*[F.bit_or(w).alias(w) for w in words])
+        fresh = [F.col(w).bitwiseAND(F.bitwise_not(F.coalesce(f"seen_{w}", F.lit(0)))).alias(w) for w in words]
+        some = reduce(Column.__or__, [F.col(w) != 0 for w in words])
+        ring = written(sent.join(seen, "id").select("id", *fresh).filter(some), hops)
+        # Rings are written, so what is kept of the state can be made again from them; now
+        # and then it is written itself, so that its plan stays short.
+        after = _marked(seen, ring, words)
+        if hops % _WRITTEN_EVERY == 0:
+            after = settle(after).repartition(slots, "id")
+        after = after.persist(StorageLevel.MEMORY_AND_DISK)
+        after.count()
+        seen.unpersist()
+        seen = after
+    seen.unpersist()
+
+    schema = StructType([*ring.schema.fields, StructField("hops", IntegerType())])
+    rings = spark.read.schema(schema).option("basePath", path).parquet(path)
+    parts = F.posexplode(F.array(*[F.col(w) for w in words])).alias("at", "bits")
+    rows = rings.select("id", "hops", parts).filter("bits <> 0")
+    ones = F.expr(f"filter(sequence(0, {_WORD - 1}), i -> shiftrightunsigned(bits, i) % 2 <> 0)")
+    rows = rows.select("id", "hops", "at", F.explode(ones).alias("bit_at"))
+    listed = F.array(*map(F.lit, names)).cast("array<string>")
+    return rows.select("id", F.get(listed, F.col("at") * _WORD + F.col("bit_at")).alias("landmark"), "hops")
+
+
+def _marked(seen: DataFrame, ring: DataFrame, words: list[str]) -> DataFrame:
+    """The state after a ring; it stays laid out as it is."""
+    side = ring.withColumnRenamed("id", "__ring")
+    joined = seen.join(broadcast_if(side, fits_in_memory(side)), F.col("id") == F.col("__ring"), "left")
+    both = [F.col(f"seen_{w}").bitwiseOR(F.coalesce(w, F.lit(0))).alias(f"seen_{w}") for w in words]
+    return joined.select("id", *both)
 
 
 def shortest_paths(graph: Graph, landmarks: Sequence[str]) -> DataFrame:
@@ -73,6 +136,66 @@ def shortest_paths(graph: Graph, landmarks: Sequence[str]) -> DataFrame:
     )
 
 
+class _Side:
+    """One side of a search: its rings so far, and the vertices that it has seen."""
+
+    def __init__(self, graph: Graph, end: str, start: DataFrame):
+        self.graph, self.end, self.index = graph, end, None
+        self.rings = [settle(start)]
+        self.sizes = [self.rings[0].count()]
+
+    def grow(self) -> None:
+        if self.index is None:
+            self.index = _RouteIndex(self.graph, self.end)
+        # A vertex one hop further on may be in any earlier ring: those are few rows so far
+        # as the search is short, and each is written.
+        seen = _union(self.rings)
+        self.rings.append(settle(self.index.step(self.rings[-1]).join(seen, "id", "left_anti")))
+        self.sizes.append(self.rings[-1].count())
+
+    def close(self) -> None:
+        if self.index is not None:
+            self.index.close()
+
+
+def _meeting(forward: _Side, backward: _Side, max_length: int) -> DataFrame | None:
+    """Grow the side whose last ring is smaller until the sides meet; where they do.
+
+    They first meet when the rings together are as long as the shortest path, in the
+    vertices that stand at this place of some shortest path.
+    """
+    try:
+        while True:
+            if not (forward.sizes[-1] and backward.sizes[-1]):
+                return None
+            met = settle(forward.rings[-1].join(backward.rings[-1], "id", "left_semi"))
+            if not met.isEmpty():
+                return met
+            if len(forward.rings) + len(backward.rings) - 2 >= max_length:
+                return None
+            (forward if forward.sizes[-1] <= backward.sizes[-1] else backward).grow()
+    finally:
+        forward.close()
+        backward.close()
+
+
+def search_sizes(
+    graph: Graph, start: str | Column, end: str | Column, max_length: int = 10
+) -> tuple[list[int], list[int]]:
+    """How many vertices each ring of ``breadth_first`` has, from the start and from the end."""
+    sides = [_Side(graph, end_of, graph.vertices.filter(c).select("id")) for end_of, c in (("src", start), ("dst", end))]
+    _meeting(*sides, max_length)
+    return sides[0].sizes, sides[1].sizes
+
+
+def _routes_between(graph: Graph, near: DataFrame, far: DataFrame) -> DataFrame:
+    """Routes from a vertex of ``near`` to one of ``far``."""
+    routes = graph.by_route.edges.select("src", "dst")
+    near, far = near.select(F.col("id").alias("src")), far.select(F.col("id").alias("dst"))
+    far, near = (broadcast_if(side, fits_in_memory(side)) for side in (far, near))
+    return settle(routes.join(far, "dst", "left_semi").join(near, "src", "left_semi"))
+
+
 def breadth_first(
     graph: Graph,
     start: str | Column,
@@ -94,7 +217,8 @@ def breadth_first(
     only the ``first`` smallest beginnings of the paths to each vertex on the way.
     Edges with equal keys may be taken in any order.
 
-    The search runs on routes.  Edges are fetched only for routes on a shortest path.
+    The search runs on routes, from both ends: the side whose last ring is smaller grows.
+    Edges are fetched only for routes on a shortest path.
     """
     sources = graph.vertices.filter(start).select("id")
     targets = graph.vertices.filter(end).select("id")
@@ -103,30 +227,24 @@ def breadth_first(
     if not both.isEmpty():
         return _attach(graph, both.select(F.col("id").alias("n0")), [], 0)
 
-    index = _RouteIndex(graph, "src")
-    rings = [settle(sources)]
-    found = None
-    try:
-        while found is None and len(rings) <= max_length and not rings[-1].isEmpty():
-            ring = settle(index.step(rings[-1]).join(_union(rings), "id", "left_anti"))
-            rings.append(ring)
-            hit = settle(ring.join(targets, "id", "left_semi"))
-            if not hit.isEmpty():
-                found = hit
-    finally:
-        index.close()
-    if found is None:
-        return _attach(graph, rings[0].limit(0).select(F.col("id").alias("n0")), [], 0)
-
-    # Walk back from the targets: which routes lie on some shortest path, by position.
-    length, needed, hops = len(rings) - 1, found, []
-    for position in range(length - 1, -1, -1):
-        near = rings[position].select(F.col("id").alias("src"))
-        far = needed.select(F.col("id").alias("dst"))
-        routes = graph.by_route.edges.select("src", "dst")
-        on_path = settle(routes.join(far, "dst", "left_semi").join(near, "src", "left_semi"))
+    forward, backward = _Side(graph, "src", sources), _Side(graph, "dst", targets)
+    met = _meeting(forward, backward, max_length)
+    if met is None:
+        return _attach(graph, forward.rings[0].limit(0).select(F.col("id").alias("n0")), [], 0)
+
+    # From the vertices where the sides met, back to the start and on to the end: which
+    # routes lie on some shortest path, by position.
+    hops, needed = [], met
+    for ring in reversed(forward.rings[:-1]):
+        on_path = _routes_between(graph, ring, needed)
         hops.insert(0, on_path)
         needed = on_path.select(F.col("src").alias("id")).distinct()
+    needed = met
+    for ring in reversed(backward.rings[:-1]):
+        on_path = _routes_between(graph, needed, ring)
+        hops.append(on_path)
+        needed = on_path.select(F.col("dst").alias("id")).distinct()
+    length = len(hops)
     return _attach(graph, None, hops, length, first, edge_key)
 
 

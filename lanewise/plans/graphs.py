@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from ..operators.counting import connection_counts, no_return_counts
 from ..operators.motifs import Hop, find, first_connections, first_two_hops
 from ..operators.paths import breadth_first, hop_counts, path_texts, shortest_paths
 from ..operators.rank import edge_weights, page_rank
@@ -119,6 +120,33 @@ register(
        WHERE y.dst <> x.src
          AND NOT EXISTS (SELECT 1 FROM r z WHERE z.src = y.dst AND z.dst = x.src)""",
 )
+_NO_RETURN_COUNTS = """, r AS (SELECT DISTINCT src, dst FROM {edges}
+                      WHERE src IN (SELECT id FROM {vertices}) AND dst IN (SELECT id FROM {vertices})),
+      m AS (SELECT x.src AS id, count(*) AS n FROM r x JOIN r y ON x.dst = y.src
+            WHERE y.dst <> x.src
+              AND NOT EXISTS (SELECT 1 FROM r z WHERE z.src = y.dst AND z.dst = x.src)
+            GROUP BY x.src)
+      SELECT v.id, coalesce(n, 0)::BIGINT AS matches FROM {vertices} v LEFT JOIN m ON v.id = m.id"""
+register(
+    "graph_no_return_counts",
+    _on_graph(no_return_counts),
+    _NO_RETURN_COUNTS.format(edges="flights", vertices="airports"),
+)
+register(
+    "graph_no_return_counts_parties",
+    _on_graph(no_return_counts, party_graph),
+    _NO_RETURN_COUNTS.format(edges="party_edges", vertices="parties"),
+)
+register(
+    "graph_connection_counts",
+    _on_graph(connection_counts),
+    """, c AS (SELECT ab.id, count(*) AS n FROM flights ab
+              JOIN flights bc ON ab.dst = bc.src AND ab.fldate = bc.fldate
+              WHERE ab.arrdelay > 40 AND bc.arrdelay > 40
+                AND bc.crsdephour + bc.depdelay > ab.crsdephour + ab.arrdelay
+              GROUP BY ab.id)
+       SELECT f.id, coalesce(n, 0)::BIGINT AS connections FROM flights f LEFT JOIN c ON f.id = c.id""",
+)
 register(
     "graph_motif_two_hop",
     _on_graph(
@@ -206,3 +234,11 @@ register(
     _hops_sql("party_edges", "parties", ["P1", "P50"], 16),
     recursive=True,
 )
+#: Every third party, five hundred of them: more than one word of bits a vertex.
+_MANY = [f"P{3 * i + 1}" for i in range(500)]
+register(
+    "graph_hops_many",
+    _on_graph(lambda g: hop_counts(g, _MANY), party_graph),
+    _hops_sql("party_edges", "parties", _MANY, 8),
+    recursive=True,
+)

@@ -4,10 +4,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window, functions as F
 
 from ..functions import route_name
+from ..operators.forest import read_forest, two_class_prediction
 from ..operators.learning import (
     CATEGORIES,
     FEATURES,
-    category_index,
     feature_importance,
     load_model,
     save_model,
@@ -15,6 +15,7 @@ from ..operators.learning import (
     train_and_hold_out,
 )
 from ..operators.quality import area_under_roc, confusion
+from ..operators.ranking import FrequencyIndex
 from ..operators.sampling import hash_split
 from ..session import new_folder
 from .registry import register
@@ -51,8 +52,9 @@ def _scored(spark, sf):
 
 def _string_index(spark, sf):
     df = flights(spark, sf)
-    model = category_index(["carrier", "dofW"], unseen="error").fit(df)
-    return model.transform(df).select("id", "carrier", "carrierIndexed", "dofW", "dofWIndexed")
+    numbers = FrequencyIndex.fit(df, ["carrier", "dofW"])
+    indexed = numbers.transform(df, unseen="error")
+    return indexed.select("id", "carrier", "carrierIndexed", "dofW", "dofWIndexed")
 
 
 register(
@@ -65,6 +67,27 @@ register(
        SELECT id, carrier, "carrierIndexed", dofW, "dofWIndexed"
        FROM flights JOIN c USING (carrier) JOIN d USING (dofW)""",
 )
+
+
+def _string_index_many(spark, sf):
+    """Columns whose values grow with the flights: the route on a day, and the flight itself."""
+    df = flights(spark, sf).select("id", F.concat_ws("/", "src", "dst", "fldate").alias("day_route"))
+    return FrequencyIndex.fit(df, ["day_route", "id"]).transform(df)
+
+
+register(
+    "string_index_many",
+    _string_index_many,
+    """, f AS (SELECT id, src || '/' || dst || '/' || fldate AS day_route FROM flights),
+         r AS (SELECT day_route, (row_number() OVER (ORDER BY count(*) DESC, day_route) - 1)::DOUBLE
+                      AS "day_routeIndexed" FROM f GROUP BY day_route),
+         i AS (SELECT id, (row_number() OVER (ORDER BY count(*) DESC, id) - 1)::DOUBLE
+                      AS "idIndexed" FROM f GROUP BY id)
+       SELECT id, day_route, "day_routeIndexed", "idIndexed"
+       FROM f JOIN r USING (day_route) JOIN i USING (id)""",
+)
+
+
 def _features(spark, sf):
     """The classifier's label and feature vector, spread into columns by feature name."""
     scored = _scored(spark, sf)
@@ -100,11 +123,14 @@ _HELD_OUT = "NOT substr(md5('5043' || id), 1, 8) < 'b3333333'"
 
 
 def _checked_scores(spark, sf):
-    """The held-out flights; whether each prediction follows from its probability."""
-    late = vector_to_array("probability")[1]
-    return _scored(spark, sf).select(
-        "id", "label", ((F.col("prediction") == 1.0) == (late > 0.5)).alias("agrees")
+    """The held-out flights; whether the model's probability and prediction are what its
+    trees, compiled to expressions over the indexed columns, say."""
+    forest = once(
+        spark, sf, "compiled forest", FLIGHT_TABLES, lambda: read_forest(spark, model_folder(spark, sf))
     )
+    late, own = vector_to_array("probability")[1], forest.probability()
+    same = (F.abs(late - own) < 1e-9) & (F.col("prediction") == two_class_prediction(own))
+    return _scored(spark, sf).select("id", "label", same.alias("agrees"))
 
 
 register(

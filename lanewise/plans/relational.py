@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..functions import as_message, bucketize, route_name
 from ..functions.buckets import CLASS_SPLITS, DELAY_MINUTES, REPORT_SPLITS
+from ..operators.heavy import top_groups
 from ..operators.quality import area_under_roc, confusion
 from ..operators.reports import count_report, group_report, rows_where, top_rows
 from ..operators.sampling import (
@@ -14,7 +15,16 @@ from ..operators.sampling import (
 )
 from ..schemas import FLIGHTS, SCORED_FLIGHTS
 from ..session import new_folder, store
-from ..sources import KeyedTable, keep_in_memory, read_json, read_json_inferred, register_views
+from ..sources import (
+    KeyedTable,
+    keep_in_memory,
+    read_json,
+    read_json_inferred,
+    read_json_variant,
+    register_views,
+    variant_field,
+    variant_schema,
+)
 from ..streaming import decode, publish_files
 from .registry import register
 from .standin import FLIGHT_TABLES, flights, once, scored_flights, table
@@ -168,6 +178,61 @@ register(
     "SELECT * FROM flights",
 )
 
+
+def _drifting_folder(spark, sf):
+    """Messages whose distance is a number, a text, or an object with a unit."""
+
+    def write():
+        path, df = new_folder(spark, "drifting"), flights(spark, sf)
+        plain = df.drop("dist")
+        shapes = [
+            ("dofW <= 3", F.col("dist")),
+            ("dofW in (4, 5)", F.col("dist").cast("string")),
+            ("dofW > 5", F.struct(F.col("dist").alias("value"), F.lit("mi").alias("unit"))),
+        ]
+        parts = [
+            df.filter(days).select(F.to_json(F.struct(*plain.columns, shape.alias("dist"))).alias("value"))
+            for days, shape in shapes
+        ]
+        parts[0].unionByName(parts[1]).unionByName(parts[2]).write.text(path)
+        return path
+
+    return once(spark, sf, "drifting messages", FLIGHT_TABLES, write)
+
+
+def _drifting(spark, sf):
+    messages = read_json_variant(spark, _drifting_folder(spark, sf))
+    return messages.select(
+        variant_field("message", "string", "$.id").alias("id"),
+        variant_field("message", "double", "$.dist", "$.dist.value").alias("dist"),
+        variant_field("message", "string", "$.dist.unit").alias("unit"),
+    )
+
+
+def _drifting_schema(spark, sf):
+    """The type of every field over all messages: where the shapes differ it is VARIANT."""
+    schema = variant_schema(read_json_variant(spark, _drifting_folder(spark, sf))).select(
+        F.explode(F.expr("split(regexp_extract(schema, '^OBJECT<(.*)>$', 1), ', ')")).alias("field")
+    )
+    parts = F.split("field", ": ")
+    number = parts[1].rlike("^(DECIMAL|BIGINT|DOUBLE)")
+    return schema.select(parts[0].alias("name"), F.when(number, "NUMBER").otherwise(parts[1]).alias("kind"))
+
+
+register(
+    "scan_json_drift",
+    _drifting,
+    "SELECT id, dist, CASE WHEN dofW > 5 THEN 'mi' END AS unit FROM flights",
+)
+register(
+    "scan_json_drift_schema",
+    _drifting_schema,
+    """SELECT name, CASE WHEN name = 'dist' THEN 'VARIANT' WHEN name IN ('id', 'fldate', 'carrier', 'src', 'dst')
+                         THEN 'STRING' ELSE 'NUMBER' END AS kind
+       FROM (SELECT unnest(['id', 'fldate', 'month', 'dofW', 'carrier', 'src', 'dst', 'crsdephour', 'crsdeptime',
+                            'depdelay', 'crsarrtime', 'arrdelay', 'crselapsedtime', 'dist']) AS name)""",
+)
+
 # -- filters and projections -------------------------------------------------
 
 register(
@@ -376,6 +441,19 @@ register(
     """SELECT src, dst, count(depdelay) AS flightcount FROM flights WHERE depdelay > 40
        GROUP BY src, dst ORDER BY flightcount DESC, src, dst LIMIT 5""",
 )
+# Weekday flights by route, the others each by itself: a group for every seventh flight.
+_MANY_GROUPS = "CASE WHEN dofW <= 5 THEN concat(src, '-', dst) ELSE id END"
+for name, kept in (("top_of_many_groups", "dofW <= 7"), ("top_of_single_groups", "dofW > 5")):
+    register(
+        name,
+        _on_flights(
+            lambda df, kept=kept: top_groups(
+                df.select(F.expr(_MANY_GROUPS).alias("who"), "dofW"), ["who"], 7, where=kept, counters=1000
+            )
+        ),
+        f"""SELECT who, count(*) AS count FROM (SELECT {_MANY_GROUPS} AS who, dofW FROM flights)
+            WHERE {kept} GROUP BY who ORDER BY count DESC, who LIMIT 7""",
+    )
 register(
     "avg_delay_from_origin",
     _on_flights(

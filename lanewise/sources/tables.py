@@ -1,7 +1,7 @@
 """Batch scans and views."""
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 
@@ -21,6 +21,34 @@ def read_json_inferred(
     return spark.read.json(path, samplingRatio=sampling_ratio)
 
 
+def read_json_variant(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines whose fields change their shape from line to line: ``value``, ``message``.
+
+    ``message`` is the line as a variant, null where the line is not JSON; nothing is
+    decided about its fields before they are asked for, and no line is left out.
+    """
+    lines = spark.read.text(path)
+    return lines.select("value", F.try_parse_json("value").alias("message"))
+
+
+def variant_schema(messages: DataFrame, column: str = "message") -> DataFrame:
+    """One row, ``schema``: the type that holds all messages, found in one pass over them.
+
+    Fields of one shape get its type, fields of several shapes become VARIANT.  Tasks merge
+    the types of their rows, so what is shuffled is a schema each.
+    """
+    return messages.agg(F.schema_of_variant_agg(column).alias("schema"))
+
+
+def variant_field(message: str | Column, kind: str, *paths: str) -> Column:
+    """A field that has stood in several places: the first of ``paths`` that gives a ``kind``.
+
+    A path whose value is missing or cannot be read as ``kind`` gives way to the next.
+    """
+    value = F.col(message) if isinstance(message, str) else message
+    return F.coalesce(*[F.try_variant_get(value, path, kind) for path in paths])
+
+
 def register_views(**tables: DataFrame) -> None:
     """Name DataFrames for ``spark.sql``."""
     for name, df in tables.items():

@@ -13,14 +13,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.types import StructType
 
-from ..functions import as_message, bucketize, route_name
-from ..functions.buckets import LABEL_SPLITS
-from ..operators.learning import CATEGORIES, FEATURES, MODEL_COLUMNS, score
+from ..functions import as_message, route_name
+from ..operators.learning import score_rows
 from ..sources import KeyedTable
 from ..sources.messages import ARRIVAL
 
-READ_COLUMNS = {*CATEGORIES, *FEATURES}
-
 # -- transformations ---------------------------------------------------------
 
 
@@ -51,26 +48,7 @@ def score_stream(
     A message that lacks something the model reads gets no prediction, and one without
     a usable delay no label; neither ends the stream.
     """
-    rows = with_route(decode(messages, schema, raw))
-    # The model's stages refuse nulls: it is shown stand-ins, and the row keeps its own.
-    read = [name for name in rows.columns if name in READ_COLUMNS]
-    usable = bucketize("depdelay", LABEL_SPLITS).isNotNull()
-    whole = F.lit(True)
-    for name in read:
-        whole = whole & F.col(name).isNotNull()
-    shown = {
-        name: F.coalesce(name, F.lit("" if kind == "string" else 0).cast(kind))
-        for name, kind in rows.dtypes
-        if name in read
-    }
-    shown["depdelay"] = F.when(usable, F.col("depdelay")).otherwise(0.0)
-    kept = rows.withColumns({"__row": F.struct("*"), "__whole": whole, "__usable": usable})
-    scored = score(model, kept.withColumns(shown), MODEL_COLUMNS)
-    return scored.select(
-        "__row.*",
-        F.when(F.col("__usable"), F.col("label")).alias("label"),
-        F.when(F.col("__whole"), F.col("prediction")).alias("prediction"),
-    )
+    return score_rows(model, with_route(decode(messages, schema, raw)))
 
 
 # -- sinks -------------------------------------------------------------------

@@ -6,9 +6,11 @@ from itertools import product
 import pytest
 from pyspark.sql import functions as F
 
+from lanewise.operators.counting import closed_counts, connection_counts, no_return_counts
 from lanewise.operators.graph import Graph
 from lanewise.operators.motifs import Hop, find, first_connections, first_two_hops
-from lanewise.operators.paths import breadth_first, hop_counts, path_texts, shortest_paths
+from lanewise.operators import paths
+from lanewise.operators.paths import breadth_first, hop_counts, path_texts, search_sizes, shortest_paths
 from lanewise.operators.rank import page_rank
 
 EDGE = "id string, src string, dst string"
@@ -139,7 +141,7 @@ class TestHops:
     def test_long_chain(self, spark):
         vertices = [f"V{i}" for i in range(9)]
         graph = graph_of(spark, vertices, list(zip(vertices, vertices[1:])))
-        got = {r.id: r.hops for r in hop_counts(graph, ["V8"], merge_every=3).collect()}
+        got = {r.id: r.hops for r in hop_counts(graph, ["V8"]).collect()}
         assert got == {f"V{i}": 8 - i for i in range(9)}
 
     def check(self, spark, seed):
@@ -328,3 +330,137 @@ class TestFirstMatches:
             " and bc.crsdephour + bc.depdelay > ab.crsdephour + ab.arrdelay",
         )
         assert pairs_of(got, "ab.id", "bc.id") == want
+
+
+class TestManyLandmarks:
+    def brute(self, vertices, pairs, landmarks):
+        sound = {(s, d) for s, d in pairs if s in vertices and d in vertices}
+        out = {}
+        for mark in set(landmarks) & set(vertices):
+            ring, seen, hops = {mark}, {mark: 0}, 0
+            while ring:
+                hops += 1
+                ring = {s for s, d in sound if d in ring} - set(seen)
+                seen.update(dict.fromkeys(ring, hops))
+            out.update({(v, mark): n for v, n in seen.items()})
+        return out
+
+    def check(self, spark, count):
+        vertices = [f"V{i}" for i in range(90)]
+        pairs = random_pairs(31, 95, 400)
+        landmarks = [f"V{i}" for i in range(count)] + ["V3", "nowhere"]
+        graph = graph_of(spark, vertices, pairs)
+        got = {(r.id, r.landmark): r.hops for r in hop_counts(graph, landmarks).collect()}
+        assert got == self.brute(vertices, pairs, landmarks)
+
+    @pytest.mark.parametrize("count", [1, 63, 64, 90])
+    def test_words_of_bits(self, spark, count):
+        self.check(spark, count)
+
+    def test_several_sweeps_of_large_tables(self, spark, monkeypatch, no_broadcast):
+        monkeypatch.setattr(paths, "_SWEEP", 32)
+        self.check(spark, 70)
+
+    def test_no_landmarks(self, spark):
+        assert hop_counts(graph_of(spark, "AB", [("A", "B")]), []).isEmpty()
+
+    def test_the_state_stays_where_it_is(self, spark, monkeypatch):
+        """The join of what arrives with what was seen moves only what arrives."""
+        plans = []
+        real = paths._marked
+
+        def seen(state, ring, words):
+            out = real(state, ring, words)
+            plans.append(out._jdf.queryExecution().executedPlan().toString())
+            return out
+
+        monkeypatch.setattr(paths, "_marked", seen)
+        self.check(spark, 64)
+        assert len(plans) > 2
+        for text in plans[1:]:
+            head = text.split("InMemoryRelation")[0]
+            assert "InMemoryTableScan" in head and "Exchange hashpartitioning" not in head
+
+
+class TestSearchSizes:
+    def test_the_smaller_side_grows(self, spark):
+        """The hubs behind the start are not entered: the end's side stays smaller."""
+        pairs = [("S", "H"), ("S", "G"), ("x7", "M"), ("M", "E")]
+        pairs += [(hub, f"x{i}") for i in range(40) for hub in ("HG"[i % 2],)]
+        vertices = ["S", "H", "G", "M", "E"] + [f"x{i}" for i in range(40)]
+        graph = graph_of(spark, vertices, pairs)
+        assert search_sizes(graph, "id = 'S'", "id = 'E'") == ([1, 2], [1, 1, 1, 1])
+        found = path_texts(breadth_first(graph, "id = 'S'", "id = 'E'")).first()
+        assert found.path == "S,G,x7,M,E" and found.hops == 4
+
+    @pytest.mark.parametrize("seed", [41, 42, 43])
+    def test_all_shortest_paths(self, spark, seed):
+        vertices = [f"V{i}" for i in range(14)]
+        pairs = random_pairs(seed, 15, 26)
+        graph = graph_of(spark, vertices, pairs)
+        sound = [(f"e{i:03d}", s, d) for i, (s, d) in enumerate(pairs) if s in vertices and d in vertices]
+        walks, want = [((), "V0")], []
+        for _ in range(6):
+            want = sorted(",".join(es) for es, at in walks if at == "V9")
+            if want:
+                break
+            walks = [((*es, e), d) for es, at in walks for e, s, d in sound if s == at]
+        got = breadth_first(graph, "id = 'V0'", "id = 'V9'", max_length=5)
+        assert sorted(r.edges for r in path_texts(got).collect()) == want
+
+
+class TestCounts:
+    def brute_matches(self, vertices, pairs):
+        routes = {(s, d) for s, d in pairs if s in vertices and d in vertices}
+        counts = dict.fromkeys(vertices, 0)
+        cycles = dict.fromkeys(vertices, 0)
+        for (a, b), (m, c) in product(routes, routes):
+            if b == m and c != a and (c, a) not in routes:
+                counts[a] += 1
+            if b == m and (c, a) in routes and len({a, b, c}) == 3:
+                cycles[a] += 1
+        return counts, {v: n for v, n in cycles.items() if n}
+
+    def check(self, spark, seed, size, edges):
+        vertices = [f"V{i}" for i in range(size)]
+        # Loops, both ways, parallel edges and edges to no vertex are all in there.
+        pairs = random_pairs(seed, size + 1, edges) + [("V0", "V0"), ("V1", "V1"), ("V0", "V1"), ("V1", "V0")]
+        graph = graph_of(spark, vertices, pairs)
+        counts, cycles = self.brute_matches(vertices, pairs)
+        assert dict(pairs_of(no_return_counts(graph), "id", "matches")) == counts
+        assert dict(pairs_of(closed_counts(graph), "id", "cycles")) == cycles
+
+    @pytest.mark.parametrize("seed", [1, 2])
+    def test_random(self, spark, seed):
+        self.check(spark, seed, 9, 40)
+
+    def test_large_tables(self, spark, no_broadcast):
+        self.check(spark, 3, 12, 70)
+
+    def test_fewer_rows_than_pairs(self, spark):
+        """A star of both ways: its hub has 60 x 60 pairs of routes, no set grows with them."""
+        spokes = [f"V{i}" for i in range(60)]
+        pairs = [(s, "H") for s in spokes] + [("H", s) for s in spokes]
+        graph = graph_of(spark, ["H", *spokes], pairs)
+        assert closed_counts(graph).isEmpty()
+        got = dict(pairs_of(no_return_counts(graph), "id", "matches"))
+        assert got["H"] == 0 and got["V5"] == 59
+
+    @pytest.mark.parametrize("slot", [60.0, 7.0, 1e9])
+    def test_connections(self, spark, slot):
+        rng = random.Random(5)
+        vertices = [f"V{i}" for i in range(4)]
+        rows = [
+            (f"e{i:03d}", f"V{rng.randrange(5)}", f"V{rng.randrange(5)}", rng.choice(["day1", "day2", None]),
+             rng.randrange(24), float(rng.randrange(-5, 90)), rng.choice([None, *map(float, range(90))]))
+            for i in range(150)
+        ]
+        schema = EDGE + ", fldate string, crsdephour int, depdelay double, arrdelay double"
+        graph = Graph(spark.createDataFrame([(v,) for v in vertices], "id string"), spark.createDataFrame(rows, schema))
+        late = [r for r in rows if r[1] in vertices and r[2] in vertices and r[6] is not None and r[6] > 40]
+        want = {r[0]: 0 for r in rows}
+        for x, y in product(late, late):
+            if x[2] == y[1] and x[3] == y[3] and x[3] and y[4] + y[5] > x[4] + x[6]:
+                want[x[0]] += 1
+        got = dict(pairs_of(connection_counts(graph, slot=slot), "id", "connections"))
+        assert got == want and max(want.values()) > 2

@@ -53,7 +53,8 @@ def test_counting_is_partial_first(spark):
 def test_first_matches_are_limited_before_the_shuffle(spark):
     text = plan(QUERIES["graph_motif_two_hop"](spark, SF))
     assert "Partial" in text and "WindowGroupLimit" in text
-    assert text.count("TakeOrderedAndProject") >= 2
+    # The first edges ab are limited and written before; here the pairs are.
+    assert "TakeOrderedAndProject" in text
 
 
 def test_flights_are_all_order_lines(spark):
