@@ -20,6 +20,9 @@ from .common import text_values
 _ROUNDS = 8
 _FIRST_DAY = date(1900, 1, 1).toordinal()
 _DAYS = date(2099, 12, 31).toordinal() - _FIRST_DAY + 1
+#: Character classes that are permuted, by their first character.
+_RADIX = {"0": 10, "A": 26, "a": 26}
+_LAST = {"0": "9", "A": "Z", "a": "z"}
 
 
 class Permutation:
@@ -92,29 +95,51 @@ class Pseudonyms:
         return str(value).zfill(width)
 
     def _alike(self, kind: str, text: str) -> str:
-        """Letters and digits permuted together, each within its class; the rest stays."""
-        lower = text.lower()
-        radix = [10 if c.isdigit() and c.isascii() else 26 if "a" <= c <= "z" else 1 for c in lower]
+        """The letters A-Z, a-z and the digits permuted together, each within its class; other
+        characters stay.  Texts with the classes of their characters in other places are
+        other sets, so no two values get one pseudonym."""
+        first = [next((a for a in "0Aa" if a <= c <= _LAST[a]), c) for c in text]
+        radix = [_RADIX.get(a, 1) for a in first]
         value, size = 0, 1
-        for c, r in zip(lower, radix, strict=True):
-            value, size = value * r + (int(c) if r == 10 else ord(c) - 97 if r == 26 else 0), size * r
+        for c, a, r in zip(text, first, radix, strict=True):
+            value, size = value * r + ord(c) - ord(a), size * r
         if size == 1:
             return text
-        value, made = self._permute(kind, size, value), []
-        for c, r in zip(reversed(text), reversed(radix), strict=True):
+        value, made = self._permute(f"{kind} {''.join(a if a in _RADIX else '.' for a in first)}", size, value), []
+        for a, r in zip(reversed(first), reversed(radix), strict=True):
             value, digit = divmod(value, r)
-            new = c if r == 1 else str(digit) if r == 10 else chr(97 + digit)
-            made.append(new.upper() if c.isupper() and r == 26 else new)
+            made.append(chr(ord(a) + digit))
         return "".join(reversed(made))
 
     # One method per kind: the new text of a match, or None where it is no valid value.
 
-    def card(self, m: re.Match) -> str | None:
-        digits = _digits(m[0])
-        if not 13 <= len(digits) <= 19 or luhn_digit(digits[:-1]) != digits[-1]:
-            return None
-        payload = digits[0] + self._number("card", digits[1:-1])
-        return _refill(m[0], payload + luhn_digit(payload))
+    def cards(self, run: str) -> list[tuple[int, int, str]]:
+        """Start, stop and new text of the card numbers in a run of digits.
+
+        A number begins and ends where a group of digits does, its groups have three digits
+        or more and one kind of sign between them; at each place the longest that passes the
+        check is taken.
+        """
+        at = [i for i, c in enumerate(run) if c in "0123456789"]
+        begins = [n for n, i in enumerate(at) if n == 0 or at[n - 1] != i - 1]
+        ends = {n for n, i in enumerate(at) if n + 1 == len(at) or at[n + 1] != i + 1}
+        found, after = [], 0
+        for first in begins:
+            for length in range(19, 12, -1):
+                last = first + length - 1
+                if first < after or last not in ends:
+                    continue
+                text = run[at[first] : at[last] + 1]
+                groups = re.split("[ -]", text)
+                if len({c for c in text if c in " -"}) > 1 or len(groups) > 1 and min(map(len, groups)) < 3:
+                    continue
+                digits = "".join(groups)
+                if luhn_digit(digits[:-1]) == digits[-1]:
+                    payload = digits[0] + self._number("card", digits[1:-1])
+                    found.append((at[first], at[last] + 1, _refill(text, payload + luhn_digit(payload))))
+                    after = last + 1
+                    break
+        return found
 
     def iban(self, m: re.Match) -> str | None:
         text = m[0].replace(" ", "")
@@ -153,7 +178,11 @@ class Pseudonyms:
 
     def date(self, m: re.Match) -> str | None:
         """Year first, or day.month.year, or month/day/year; day/month/year where no month
-        comes first, and then it stays so."""
+        comes first.
+
+        All forms share one permutation of the days, so equal dates stay equal.  A
+        day/month/year whose new day could be read as a month is written year first.
+        """
         parts = re.split(r"[-/.]", m[0])
         sign = m[0][4] if len(parts[0]) == 4 else m[0][len(parts[0])]
         numbers = list(map(int, parts))
@@ -169,11 +198,9 @@ class Pseudonyms:
             return None
         if not 0 <= day < _DAYS:
             return None
-        late = sign == "/" and order == (2, 1, 0)
-        value = self._permute(
-            "date", _DAYS, day, lambda v: not late or date.fromordinal(v + _FIRST_DAY).day > 12
-        )
-        found = date.fromordinal(value + _FIRST_DAY)
+        found = date.fromordinal(self._permute("date", _DAYS, day) + _FIRST_DAY)
+        if sign == "/" and order == (2, 1, 0) and found.day <= 12:
+            order = (0, 1, 2)
         made = [0, 0, 0]
         for place, number in zip(order, (found.year, found.month, found.day), strict=True):
             made[place] = number
@@ -181,36 +208,45 @@ class Pseudonyms:
 
     def secret(self, m: re.Match) -> str | None:
         text = m["secret"] or m["access"]
-        if re.fullmatch(r"[0-9a-f]+", text):
-            new = f"{self._permute('hex', 16 ** len(text), int(text, 16)):0{len(text)}x}"
-        else:
-            new = self._alike("secret", text)
         start = m.start("secret" if m["secret"] else "access") - m.start()
-        return m[0][:start] + new + m[0][start + len(text) :]
+        return m[0][:start] + self._alike("secret", text) + m[0][start + len(text) :]
 
     def replace(self, text: str | None) -> tuple[str | None, list[dict]]:
         """The text with all values replaced, and kind, start and stop of each in the
         original."""
         if not text or not (_HINT.search(text) or _NAMED.search(text)):
             return text, []
-        found = []
+        found: list[dict] = []
+        return self._searched(_VALUES, text, 0, found), found
 
+    def _searched(self, values: re.Pattern, text: str, base: int, found: list[dict]) -> str:
         def new(m: re.Match) -> str:
+            start = base + m.start()
+            if values is _VALUES and m["card"] is not None:
+                # What is between the card numbers of a run may hold other values.
+                made, at = [], 0
+                for first, stop, number in [*self.cards(m[0]), (len(m[0]), None, "")]:
+                    made += [self._searched(_OTHERS, m[0][at:first], start + at, found), number]
+                    if stop is not None:
+                        found.append({"kind": "card", "start": start + first, "stop": start + stop})
+                        at = stop
+                return "".join(made)
             kind = next((name for name in _KINDS if m[name] is not None), "secret")
             made = getattr(self, kind)(m)
             if made is None:
                 return m[0]
-            found.append({"kind": kind, "start": m.start(), "stop": m.end()})
+            found.append({"kind": kind, "start": start, "stop": base + m.end()})
             return made
 
-        return _VALUES.sub(new, text), found
+        return values.sub(new, text)
 
 
 #: Every value has one of these; only secrets can do without a digit.
 _HINT = re.compile(r"[0-9@]")
 _NAMED = re.compile(r"(?i:password|passwd|token|secret|api[_-]?key)|AKIA")
-_KINDS = ("email", "iban", "ip", "date", "social", "phone", "card")
-_VALUES = re.compile(
+_KINDS = ("email", "iban", "ip", "date", "social", "phone")
+_CARD = r"|(?<!\w)(?P<card>[0-9](?:[ -]?[0-9]){12,})(?!\w)"
+_PATTERN = (
     r"""(?<![\w.+%-])(?P<email>[A-Za-z0-9][\w.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
     |(?<![A-Za-z0-9])(?P<iban>[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?)(?![A-Za-z0-9])
     |(?<![\w.])(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])
@@ -219,11 +255,12 @@ _VALUES = re.compile(
     |(?<![\w+])(?P<phone>(?P<code>\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{2,4}\)[ ]?|(?(code)[0-9]{2,4}[ .-]|[0-9]{3}[.-]))[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,2}(?![\w-])
       |(?P<plus>(?>\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9][0-9]{2})))
        (?:[ .-]?[0-9]{7,13}|[ .-][0-9]{1,5}[ .-][0-9]{5,9}|[ .-][0-9](?:[ .-][0-9]{2}){4})(?!\w|\.[0-9]))
-    |(?<!\w)(?P<card>[0-9](?:[ -]?[0-9]){12,18})(?!\w)
+    CARD
     |(?:(?i:password|passwd|token|secret|api[_-]?key)["']?\s*[=:]\s*["']?(?P<secret>[A-Za-z0-9]{12,64})(?![A-Za-z0-9])
-      |(?<![A-Z0-9])AKIA(?P<access>[A-Z0-9]{16})(?![A-Za-z0-9]))""",
-    re.VERBOSE,
+      |(?<![A-Z0-9])AKIA(?P<access>[A-Z0-9]{16})(?![A-Za-z0-9]))"""
 )
+_VALUES = re.compile(_PATTERN.replace("CARD", _CARD), re.VERBOSE)
+_OTHERS = re.compile(_PATTERN.replace("CARD", ""), re.VERBOSE)
 
 
 def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", back: bool = False) -> DataFrame:
