@@ -21,6 +21,8 @@ SENTENCES = {
     "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
     "bsd-name": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    # The rest of it after a name with a full stop inside.
+    "bsd-name-rest": "nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd3-name": "licensed under the bsd 3 clause license",
     "bsd2-name": "licensed under the bsd 2 clause license",
     "apache-name": "licensed under the apache license version 2 0",
@@ -45,6 +47,20 @@ SENTENCES = {
     "spdx-bsd3": "spdx license identifier bsd 3 clause",
     "spdx-gpl3-later": "spdx license identifier gpl 3 0 or later",
     "spdx-gpl3-only": "spdx license identifier gpl 3 0 only",
+    "spdx-gpl2-only": "spdx license identifier gpl 2 0 only",
+    "spdx-gpl2-later": "spdx license identifier gpl 2 0 or later",
+    "spdx-lgpl21-only": "spdx license identifier lgpl 2 1 only",
+    "spdx-lgpl21-later": "spdx license identifier lgpl 2 1 or later",
+    "spdx-lgpl3-later": "spdx license identifier lgpl 3 0 or later",
+    "spdx-agpl3-only": "spdx license identifier agpl 3 0 only",
+    "spdx-agpl3-later": "spdx license identifier agpl 3 0 or later",
+    "spdx-bsd2": "spdx license identifier bsd 2 clause",
+    "spdx-isc": "spdx license identifier isc",
+    "spdx-mpl2": "spdx license identifier mpl 2 0",
+    "spdx-cc0": "spdx license identifier cc0 1 0",
+    "spdx-unlicense": "spdx license identifier unlicense",
+    "spdx-mit-or-apache": "spdx license identifier mit or apache 2 0",
+    "spdx-apache-or-mit": "spdx license identifier apache 2 0 or mit",
     # The units that ENDS makes of sentences with a mark inside, as notices over several
     # lines are read.
     "gnu-program": "this program is free software",
@@ -85,6 +101,7 @@ RULES = [
     ("MIT", ["mit-grant", "mit-notice", "mit-warranty"]),
     ("MIT", ["mit-grant", "mit-notice"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-name-rest"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
     ("BSD-1-Clause", ["bsd-grant", "bsd-source"]),
     ("Apache-2.0", ["apache-the", "apache-comply", "apache-copy"]),
@@ -126,6 +143,30 @@ RULES = [
     ("BSD-3-Clause", ["spdx-bsd3"]),
     ("GPL-3.0-or-later", ["spdx-gpl3-later"]),
     ("GPL-3.0-only", ["spdx-gpl3-only"]),
+    ("GPL-2.0-only", ["spdx-gpl2-only"]),
+    ("GPL-2.0-or-later", ["spdx-gpl2-later"]),
+    ("LGPL-2.1-only", ["spdx-lgpl21-only"]),
+    ("LGPL-2.1-or-later", ["spdx-lgpl21-later"]),
+    ("LGPL-3.0-or-later", ["spdx-lgpl3-later"]),
+    ("AGPL-3.0-only", ["spdx-agpl3-only"]),
+    ("AGPL-3.0-or-later", ["spdx-agpl3-later"]),
+    ("BSD-2-Clause", ["spdx-bsd2"]),
+    ("ISC", ["spdx-isc"]),
+    ("MPL-2.0", ["spdx-mpl2"]),
+    ("CC0-1.0", ["spdx-cc0"]),
+    ("Unlicense", ["spdx-unlicense"]),
+    ("MIT OR Apache-2.0", ["spdx-mit-or-apache"]),
+    ("Apache-2.0 OR MIT", ["spdx-apache-or-mit"]),
+]
+
+#: Sentences with a place for a name: what is found, and the known sentence it is read as.
+SLOTS = [
+    (
+        "^neither the name of .+ nor the names of (its|his|her|their|the) contributors may be used",
+        "neither the name of the copyright holder nor the names of its contributors may be used",
+    ),
+    ("^in no event shall .+ be liable for any claim", "in no event shall the authors or copyright holders be liable for any claim"),
+    ("^this (file|package|code|software|library|program|work) is licensed under the mit license( see license)?$", "this project is licensed under the mit license"),
 ]
 
 #: Every known sentence has one of these, so other texts need no closer look.
@@ -141,7 +182,12 @@ def _pattern(chain: list[str]) -> str:
 
 
 def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), _OTHER, " "))
+    """Lower-case letters and digits, other characters as one space; names in the places of
+    known sentences as the sentences have them."""
+    plain = F.trim(F.regexp_replace(F.lower(sentence), _OTHER, " "))
+    for slot, known in SLOTS:
+        plain = F.regexp_replace(plain, slot, known)
+    return plain
 
 
 def sentence_ids(text: Column, ends: str) -> Column:
@@ -196,6 +242,9 @@ def scan_licences(docs: DataFrame, text: str = "text") -> DataFrame:
 def duckdb_scan(table: str) -> str:
     """``scan_licences`` as DuckDB SQL: doc_id, sentences and licences (joined by commas)."""
     known = ", ".join(f"('{name}', '{s}')" for name, s in SENTENCES.items())
+    plain = "trim(regexp_replace(lower(u), '[^a-z0-9]+', ' ', 'g'))"
+    for slot, sentence in SLOTS:
+        plain = f"regexp_replace({plain}, '{slot}', '{sentence}')"
     rules = ", ".join(f"({i}, '{name}', '{_pattern(chain)}')" for i, (name, chain) in enumerate(RULES))
     return f"""
 WITH RECURSIVE known(id, s) AS (VALUES {known}),
@@ -209,7 +258,7 @@ units AS (
 ),
 found AS (
   SELECT r, way, pos, id FROM units
-  JOIN known ON trim(regexp_replace(lower(u), '[^a-z0-9]+', ' ', 'g')) = s
+  JOIN known ON {plain} = s
 ),
 chains AS (SELECT r, way, ',' || string_agg(id, ',' ORDER BY pos) || ',' AS line FROM found GROUP BY r, way),
 steps AS (

@@ -48,6 +48,28 @@ NOTICES = [
 ]
 
 
+CLAUSES = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+    " the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright"
+    " notice, this list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must"
+    " reproduce the above copyright notice, this list of conditions and the following disclaimer in the"
+    " documentation and/or other materials provided with the distribution.\n\n"
+)
+THIRD = (
+    "3. Neither the name of {} nor the names of its contributors may be used to endorse or promote products"
+    " derived from this software without specific prior written permission."
+)
+SHORT = [
+    ("BSD-3-Clause", CLAUSES + THIRD.format("the copyright holder")),
+    ("BSD-3-Clause", CLAUSES + THIRD.format("Example University, Inc.")),
+    ("BSD-2-Clause", CLAUSES),
+    ("MIT", "This file is licensed under the MIT License (see LICENSE)."),
+    ("GPL-2.0-only", "// SPDX-License-Identifier: GPL-2.0-only"),
+    ("MIT OR Apache-2.0", "# SPDX-License-Identifier: MIT OR Apache-2.0"),
+    ("LGPL-2.1-or-later", "SPDX-License-Identifier: LGPL-2.1-or-later\nint main"),
+]
+
+
 def wrapped(parts, width, sign=""):
     lines = [[sign + line for line in textwrap.wrap(part, width)] for part in parts]
     return f"\n{sign.rstrip()}\n".join("\n".join(own) for own in lines)
@@ -57,6 +79,7 @@ def cases():
     for licence, parts in NOTICES:
         for width, sign in ((72, ""), (60, " * "), (66, "# "), (5000, "")):
             yield licence, wrapped(parts, width, sign)
+    yield from SHORT
     for sign in ("", " * "):
         text = wrapped([APACHE, "URL", UNLESS], 70, sign).replace("URL", URL)
         yield "Apache-2.0", text
