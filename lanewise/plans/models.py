@@ -128,9 +128,10 @@ def _checked_scores(spark, sf):
     forest = once(
         spark, sf, "compiled forest", FLIGHT_TABLES, lambda: read_forest(spark, model_folder(spark, sf))
     )
-    late, own = vector_to_array("probability")[1], forest.probability()
+    own, late = F.col("own"), vector_to_array("probability")[1]
     same = (F.abs(late - own) < 1e-9) & (F.col("prediction") == two_class_prediction(own))
-    return _scored(spark, sf).select("id", "label", same.alias("agrees"))
+    scored = _scored(spark, sf).withColumn("own", forest.probability())
+    return scored.select("id", "label", same.alias("agrees"))
 
 
 register(
