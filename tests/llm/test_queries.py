@@ -47,7 +47,8 @@ def test_mix_twin_with_odd_rows(spark, monkeypatch):
     assert sorted(repr(tuple(r)) for r in got.collect()) == expected
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+#: Collocations are rows of phrases, not of documents.
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op11_phrase_streams"}))
 def test_queries_cover_all_documents(spark, name):
     ids = sorted(r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
     assert sorted(r.doc_id for r in QUERIES[name](spark, SF).select("doc_id").collect()) == ids
