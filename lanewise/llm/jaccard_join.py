@@ -10,14 +10,16 @@ Subsets that very many sets share (a common passage) are not worth probing.  A s
 them if it makes up for each elsewhere: the pigeonhole asks that its allowances sum to m,
 where a segment probed for equal subsets counts one, and one probed with its
 one-deletion neighbourhood (equal but for one shingle) counts two.  Every set takes the
-cheapest such allocation, by counts over all sets.  Candidates are verified exactly.
+cheapest such allocation, by counts over all sets; a few spare segments of every scheme serve
+for that, and all segments among sets with very many common subsets.  Candidates are
+verified exactly.
 
-Equal sets are one set throughout.  The sets of a shared subset are first compared with its
-least member only; sets so joined need no other link between them, so a group of copies
-costs one comparison per copy.
+Equal sets are one set throughout.  In a first round every set is compared with one other
+only; sets so joined need no other link between them, so a group of copies costs about one
+comparison per copy.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,15 +31,20 @@ from ..operators.skew import broadcast_if, fits_in_memory
 from ..session import store
 from .common import binary_values
 from .components import components
-from .simhash import shingle_hashes
+from .flat import Flat
 
 #: Bits of the bitmap of subsets that are shared: 16 MB however large the corpus.
 FILTER_BITS = 27
 #: Sets of a shared subset of which all pairs are compared; longer lists go by allocation.
-LIST_ROWS = 64
-#: Bits of the parity sketch that bounds the difference of two sets from below.
-_SKETCH = 1024
+LIST_ROWS = 16
+#: Least bits of the parity sketch that bounds the difference of two sets from below.
+_SKETCH = 512
+#: First rounds in which every set is compared with one other that it shares most subsets with.
+_STARS = 1
 _ROWS = 4096
+_TEXTS = 256
+_PART = 1 << 19
+_SPACES = frozenset(b" \t\n\v\f\r")
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB], np.uint64)
 
@@ -111,18 +118,89 @@ def deletions(hashes: np.ndarray, scheme: int, m: int) -> tuple[np.ndarray, np.n
     return segments, _named(whole - values, scheme, segments)
 
 
-def shingle_set(text: bytes | None, width: int) -> np.ndarray:
-    """The different shingle hashes of a whole text, sorted."""
-    return np.unique(shingle_hashes(text, width).astype(np.uint64))
+def _cut(text: bytes) -> list[bytes]:
+    """A text in parts of bounded size; no word is cut."""
+    found, start = [], 0
+    while len(text) - start > _PART:
+        end = next((i for i in range(start + _PART, len(text)) if text[i] in _SPACES), len(text))
+        found.append(text[start:end])
+        start = end
+    return [*found, text[start:]]
+
+
+def _word_hashes(texts: list[bytes]) -> list[np.ndarray]:
+    """The hashes of the words of each text, in order."""
+    flat = Flat(texts)
+    starts, ends, owners = flat.runs(np.minimum(flat.kinds, 1))
+    words = flat.hashes(starts, ends) if len(starts) else np.zeros(0, np.uint64)
+    return np.split(words, np.searchsorted(owners, np.arange(1, len(texts))))
+
+
+def _set_of(words: np.ndarray, width: int) -> np.ndarray:
+    """The different shingle hashes of a text, sorted, from its words' hashes."""
+    if not len(words):
+        return words
+    length = min(width, len(words))
+    runs = np.full(len(words) - length + 1, np.uint64(length))
+    for i in range(length):
+        runs = _mixed(runs * _ODD[0] + words[i : len(words) - length + 1 + i])
+    return np.unique(runs)
+
+
+def shingle_sets(texts: Iterable[bytes | None], width: int) -> Iterator[np.ndarray]:
+    """The set of each text: the 64-bit hashes of its different shingles, sorted.
+
+    Shingles are of ``width`` words (A-Z in lower case); fewer words are one shingle, none
+    give an empty set.  Words are hashed some hundred kilobytes of text at a time.
+    """
+    parts, owners, size = [], [], 0
+
+    def done() -> Iterator[np.ndarray]:
+        words: dict[int, list[np.ndarray]] = {}
+        start, bytes_ = 0, 0
+        for end, part in enumerate(parts, 1):
+            bytes_ += len(part)
+            if bytes_ >= _PART or end == len(parts):
+                for owner, found in zip(owners[start:end], _word_hashes(parts[start:end]), strict=True):
+                    words.setdefault(owner, []).append(found)
+                start, bytes_ = end, 0
+        for owner in sorted(words):
+            yield _set_of(np.concatenate(words[owner]), width)
+
+    for number, text in enumerate(texts):
+        cut = _cut(text.lower()) if text else [b""]
+        parts += cut
+        owners += [number] * len(cut)
+        size += sum(map(len, cut))
+        if size >= _PART:
+            yield from done()
+            parts, owners, size = [], [], 0
+    yield from done()
 
 
 def _whole(hashes: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
 
 
-def _parities(hashes: np.ndarray) -> bytes:
-    ones = np.bincount((_mixed(hashes ^ _ODD[0]) >> np.uint64(54)).astype(np.int64), minlength=_SKETCH)
-    return np.packbits((ones & 1).astype(np.uint8)).tobytes()
+def _parities(hashes: np.ndarray, differ: int) -> bytes:
+    """Parities of the shingles in each of some power of two of places, eight or more for
+    each shingle by which linked sets may differ."""
+    bits = max(_SKETCH, 1 << (8 * differ - 1).bit_length())
+    places = (_mixed(hashes ^ _ODD[0]) & np.uint64(bits - 1)).astype(np.int64)
+    ones = np.bincount(places, minlength=bits) & 1
+    return np.packbits(ones.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """In how many shingles two sets differ at least, from their parities.
+
+    The places of the longer sketch are folded onto those of the shorter one.
+    """
+    x, y = (np.frombuffer(s, np.uint64) for s in (a, b))
+    if len(x) < len(y):
+        x, y = y, x
+    folded = np.bitwise_xor.reduce(x.reshape(-1, len(y)), axis=0)
+    return int(np.bitwise_count(folded ^ y).sum())
 
 
 def _rows(text: Column, width: int, bands: Bands) -> Column:
@@ -133,12 +211,11 @@ def _rows(text: Column, width: int, bands: Bands) -> Column:
     def made(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for column in columns:
             parts: dict[str, list] = {name: [] for name in kinds}
-            for value in binary_values(column):
-                hashes = shingle_set(value, width)
+            for hashes in shingle_sets(binary_values(column), width):
                 names = [subsets(hashes, k, m) for k, m in bands.segments(len(hashes))] if len(hashes) else []
                 parts["n"].append(len(hashes))
                 parts["whole"].append(_whole(hashes))
-                parts["parities"].append(_parities(hashes))
+                parts["parities"].append(_parities(hashes, bands.differ(2 * len(hashes))))
                 parts["subsets"].append(np.concatenate(names).astype("<u8").tobytes() if names else b"")
             arrays = [pa.array(parts[name], kind) for name, kind in kinds.items()]
             yield pa.StructArray.from_arrays(arrays, list(kinds))
@@ -194,48 +271,53 @@ class _Verifier:
         self.docs, self.rows, self.bands, self.width = docs, rows, bands, width
         self.doc_id, self.text = doc_id, text
 
-    def sets(self, wholes: DataFrame) -> DataFrame:
-        """whole, n and set (sorted hashes) of each of ``wholes``."""
+    def sets(self, wholes: DataFrame, keep: bool = True) -> DataFrame:
+        """whole and set (sorted hashes) of each of ``wholes``; stored unless read once only."""
         width = self.width
 
-        @F.arrow_udf("struct<whole: binary, set: binary>")
-        def made(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for column in columns:
-                found = [shingle_set(v, width) for v in binary_values(column)]
-                arrays = [
-                    pa.array([_whole(h) for h in found], pa.binary()),
-                    pa.array([h.astype("<u8").tobytes() for h in found], pa.binary()),
-                ]
-                yield pa.StructArray.from_arrays(arrays, ["whole", "set"])
+        # Not a function in an expression: the planner would run that on every document, to
+        # test its result for null before the joins that leave few documents.
+        def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for start in range(0, batch.num_rows, _TEXTS):
+                    found = list(shingle_sets(binary_values(batch.column(0).slice(start, _TEXTS)), width))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array([_whole(h) for h in found], pa.binary()),
+                            pa.array([h.astype("<u8").tobytes() for h in found], pa.binary()),
+                        ],
+                        ["whole", "set"],
+                    )
 
         wholes = store(wholes.distinct(), "join-needed")
-        small = fits_in_memory(wholes)
-        # One row for each set: the documents that are read again are no more than that.
-        ids = self.rows.join(broadcast_if(wholes, small), "whole", "semi").groupBy("whole")
-        ids = store(ids.agg(F.min("doc_id").alias("__id")).select("__id").distinct(), "join-ids")
+        needed = broadcast_if(wholes, fits_in_memory(wholes))
+        # One document for each set: no more than that are read again.
+        chosen = self.rows.join(needed, "whole", "semi").groupBy("whole", "doc_id").count()
+        first = chosen.groupBy("whole").agg(F.min(F.struct("doc_id", "count")).alias("f"))
+        ids = store(first.select(F.col("f.doc_id").alias("__id"), F.col("f.count").alias("rows")), "join-ids")
         texts = self.docs.select(F.col(f"`{self.doc_id}`").alias("id"), F.col(f"`{self.text}`").alias("text"))
         met = F.col("id").eqNullSafe(F.col("__id"))
-        texts = texts.join(broadcast_if(ids, fits_in_memory(ids)), met, "semi")
-        sets = texts.select(made("text").alias("s")).select("s.*")
-        sets = sets.join(broadcast_if(wholes, small), "whole", "semi").dropDuplicates(["whole"])
-        return store(sets, "join-sets")
+        small = broadcast_if(ids.select("__id").distinct(), fits_in_memory(ids))
+        sets = texts.join(small, met, "semi").select("text").mapInArrow(made, "whole binary, set binary")
+        sets = sets.join(needed, "whole", "semi")
+        if not ids.filter("rows > 1 or __id is null").isEmpty():
+            sets = sets.dropDuplicates(["whole"])
+        return store(sets, "join-sets") if keep else sets
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough."""
         percent = self.bands.percent
 
-        def likely(sizes_a, sizes_b, sketches_a, sketches_b) -> np.ndarray:
-            sizes = sizes_a + sizes_b
-            a, b = (np.frombuffer(b"".join(s), np.uint64).reshape(-1, _SKETCH // 64) for s in (sketches_a, sketches_b))
-            differ = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
-            near = np.minimum(sizes_a, sizes_b) * 100 >= np.maximum(sizes_a, sizes_b) * percent
-            return near & (differ <= sizes * (100 - percent) // (100 + percent))
-
         @F.arrow_udf("boolean")
         def may(columns: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-            for size_a, size_b, a, b in columns:
-                sizes = size_a.to_numpy(zero_copy_only=False), size_b.to_numpy(zero_copy_only=False)
-                yield pa.array(likely(*sizes, a.to_pylist(), b.to_pylist()) if len(a) else [], pa.bool_())
+            for each in columns:
+                rows = zip(*(column.to_pylist() for column in each), strict=True)
+                found = [
+                    min(n, m) * 100 >= max(n, m) * percent
+                    and least_difference(a, b) <= (n + m) * (100 - percent) // (100 + percent)
+                    for n, m, a, b in rows
+                ]
+                yield pa.array(found, pa.bool_())
 
         @F.arrow_udf("boolean")
         def alike(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -254,7 +336,8 @@ class _Verifier:
         near = near.filter(may("n_a", "n_b", "parities_a", "parities_b")).select("a", "b")
         near = store(near, "join-near")
         sets = self.sets(near.select(F.col("a").alias("whole")).union(near.select("b")))
-        whole = near.join(sets.toDF("a", "set_a"), "a").join(sets.toDF("b", "set_b"), "b")
+        whole = broadcast_if(near, fits_in_memory(near)).join(sets.toDF("a", "set_a"), "a")
+        whole = whole.join(sets.toDF("b", "set_b"), "b")
         return store(whole.filter(alike("set_a", "set_b")).select("a", "b"), "join-links")
 
 
@@ -272,38 +355,67 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
+def spare(m: int) -> int:
+    """How many segments of a scheme make up for common subsets: the first so many."""
+    return min(m, 4 + m // 32)
+
+
 def _entries(sets: DataFrame, bands: Bands) -> DataFrame:
-    """whole, scheme, m, segment, subset and ``gone`` for the subsets of ``sets`` (gone
-    false) and their one-deletion neighbourhoods (gone true)."""
-    names = ["whole", "scheme", "m", "segment", "subset", "gone"]
+    """whole, scheme, segment, subset and ``gone`` of what sets index and may probe.
+
+    ``sets`` has whole, set and ``common``: the common subsets of the set.  All sets have
+    the subsets (gone false) and one-deletion neighbourhoods (gone true) of the spare
+    segments.  A set that has more common subsets than there are spare segments has those of
+    all segments.  Of two linked sets one can make up in the spare segments, where the other
+    is indexed, or both are indexed in all.
+    """
+    names_ = ["whole", "scheme", "segment", "subset", "gone"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for whole, value in zip(batch.column("whole").to_pylist(), binary_values(batch.column("set")), strict=True):
-                hashes = np.frombuffer(value, "<u8").astype(np.uint64)
-                for scheme, m in bands.segments(len(hashes)):
-                    segments, without = deletions(hashes, scheme, m)
-                    number = np.r_[np.arange(m), segments]
-                    found = np.r_[subsets(hashes, scheme, m), without].view(np.int64)
-                    size = len(number)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([whole] * size, pa.binary()),
-                            pa.array(np.full(size, scheme, np.int32)),
-                            pa.array(np.full(size, m, np.int32)),
-                            pa.array(number.astype(np.int32)),
-                            pa.array(found),
-                            pa.array(np.arange(size) >= m),
-                        ],
-                        names,
-                    )
-
-    kinds = "whole binary, scheme int, m int, segment int, subset long, gone boolean"
-    return sets.select("whole", "set").mapInArrow(run, kinds)
+            for start in range(0, batch.num_rows, _TEXTS):
+                part = batch.slice(start, _TEXTS)
+                commons, found = part.column("common").to_pylist(), []
+                for row, value in enumerate(binary_values(part.column("set"))):
+                    hashes, common = np.frombuffer(value, "<u8").astype(np.uint64), np.array(commons[row], np.int64)
+                    for scheme, m in bands.segments(len(hashes)):
+                        own = subsets(hashes, scheme, m).view(np.int64)
+                        is_common = np.isin(own, common)
+                        last = spare(m) if is_common.sum() <= spare(m) else m
+                        few = hashes[: _borders(hashes, m)[last]]
+                        segments, without = deletions(few, scheme, m)
+                        full = np.flatnonzero(is_common | (np.arange(m) < last))
+                        gone = np.arange(len(full) + len(segments)) >= len(full)
+                        names = np.r_[own[full], without.view(np.int64)]
+                        found.append((np.full(len(gone), row), np.full(len(gone), scheme), np.r_[full, segments], names, gone))
+                if found:
+                    row, scheme, segment, subset, gone = map(np.concatenate, zip(*found, strict=True))
+                    columns = [
+                        part.column("whole").take(pa.array(row)),
+                        pa.array(scheme.astype(np.int32)),
+                        pa.array(segment.astype(np.int32)),
+                        pa.array(subset),
+                        pa.array(gone),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names_)
+
+    kinds = "whole binary, scheme int, segment int, subset long, gone boolean"
+    return sets.select("whole", "set", "common").mapInArrow(run, kinds)
+
+
+def _met(entries: DataFrame) -> DataFrame:
+    """The entries that another can meet, a whole subset one without a shingle or the other
+    way round, with ``cost``: how many it would meet."""
+    counts = entries.groupBy("subset").agg(
+        F.count_if(~F.col("gone")).alias("full"), F.count_if("gone").alias("near")
+    )
+    counts = store(counts.filter("full > 0 and near > 0"), "join-counts")
+    met = entries.join(broadcast_if(counts, fits_in_memory(counts)), "subset")
+    return store(met.withColumn("cost", F.when(F.col("gone"), F.col("full")).otherwise(F.col("near"))), "join-met")
 
 
-def _allocated(entries: DataFrame, hot: DataFrame) -> DataFrame:
-    """The entries that sets probe: those of the cheapest allocation of every set.
+def _allocated(entries: DataFrame, met: DataFrame, hot: DataFrame) -> DataFrame:
+    """The segments that sets probe: those of the cheapest allocation of every set.
 
     ``hot`` has the subsets (``subset``, ``size``) that are too common to be compared for
     everyone.  A set that has K of them in a scheme has K allowances to make up for: each is
@@ -311,20 +423,11 @@ def _allocated(entries: DataFrame, hot: DataFrame) -> DataFrame:
     with its neighbourhood as well (cost: the sets that this meets).  The K cheapest are
     taken; there are at least K, so the allowances sum to m.
     """
-    counts = entries.groupBy("subset").agg(
-        F.count_if(~F.col("gone")).alias("full"), F.count_if("gone").alias("near")
-    )
-    counts = store(counts.filter("full + near > 1"), "join-counts")
     common = broadcast_if(hot, fits_in_memory(hot))
-    met = entries.join(counts, "subset", "left").join(common, "subset", "left")
-    is_hot = F.col("size").isNotNull() & ~F.col("gone")
-    cost = F.when(F.col("gone"), F.coalesce("full", F.lit(0))).otherwise(F.coalesce("near", F.lit(0)))
-    segments = met.groupBy("whole", "scheme", "segment").agg(
-        F.sum(cost).alias("cost"), F.max(F.when(is_hot, F.col("size"))).alias("size")
-    )
-    options = store(
-        segments.select("whole", "scheme", "segment", F.coalesce("size", "cost").alias("cost"), F.col("size").isNotNull().alias("hot")),
-        "join-options",
+    costs = met.groupBy("whole", "scheme", "segment").agg(F.sum("cost").alias("cost"))
+    segments = entries.filter("not gone").select("whole", "scheme", "segment", "subset").join(common, "subset", "left")
+    options = segments.join(costs, ["whole", "scheme", "segment"], "left").select(
+        "whole", "scheme", "segment", F.coalesce("size", "cost", F.lit(0)).alias("cost"), F.col("size").isNotNull().alias("hot")
     )
     own = Window.partitionBy("whole", "scheme")
     order = own.orderBy("cost", F.col("hot").cast("int"), "segment")
@@ -342,26 +445,47 @@ def _meetings(probes: DataFrame, index: DataFrame, kept: Column) -> DataFrame:
     return a.join(b, "subset").filter((F.col("comp_a") != F.col("comp_b")) & kept).select("a", "b").distinct()
 
 
+def _stars(members: DataFrame) -> DataFrame:
+    """Pairs (a, b), at most one for each set b: of the sets of other components that are the
+    least of a subset of b, the one that is so for most subsets of b.
+
+    ``members`` has subset, whole and comp.  Copies of one text have many subsets in common,
+    and the least of them in most, so a few such rounds join a group of copies.
+    """
+    least = members.groupBy("subset").agg(F.min(F.struct("whole", "comp")).alias("least"))
+    met = members.join(least, "subset").filter(F.col("comp") != F.col("least.comp"))
+    shared = met.groupBy(F.col("whole").alias("b"), F.col("least.whole").alias("a")).agg(F.count(F.lit(1)).alias("n"))
+    return shared.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")).select("a", "b")
+
+
 def set_links(docs: DataFrame, rows: DataFrame, bands: Bands, width: int, list_rows: int, doc_id: str, text: str):
     """Links (a, b) between sets of ``rows`` that join all sets that are similar enough,
     directly or by a chain of such links."""
     verifier = _Verifier(docs, rows, bands, width, doc_id, text)
-    sets = store(rows.filter("length(subsets) > 0").dropDuplicates(["whole"]).select("whole", "n", "subsets"), "join-distinct")
+    # Of equal sets one row stays; the others are told by their number, so that subsets of
+    # the rows that stay do not move.
+    copies = rows.groupBy("whole").agg(F.min("row").alias("first"), F.count(F.lit(1)).alias("copies"))
+    copies = store(copies.filter("copies > 1").select(F.col("whole").alias("__whole"), "first"), "join-copies")
+    same = rows.select("whole", "row").join(broadcast_if(copies, fits_in_memory(copies)), F.col("whole") == F.col("__whole"))
+    extra = store(same.filter("row <> first").select("row"), "join-extra")
+    sets = rows.filter("length(subsets) > 0").join(broadcast_if(extra, fits_in_memory(extra)), "row", "anti")
     counted = _subset_rows(sets).groupBy("subset").agg(F.count(F.lit(1)).alias("size"))
     live = store(counted.filter("size > 1"), "join-live")
     members = _subset_rows(sets, _live_bits(live)).join(live, "subset")
     members = store(members.select("subset", "whole"), "join-members")
 
-    # Every set against the least of each subset that it shares.
-    least = members.groupBy("subset").agg(F.min("whole").alias("a"))
-    stars = members.join(least, "subset").filter(F.col("a") != F.col("whole"))
-    stars = store(stars.select("a", F.col("whole").alias("b")).distinct(), "join-stars")
-    links = verifier.linked(stars)
-
-    # What is joined so far needs no more links; subsets that different components share do.
-    roots = components(links)
-    named = sets.select("whole", "n").join(roots, F.col("whole") == F.col("node"), "left")
-    named = store(named.select("whole", "n", F.coalesce("root", "whole").alias("comp")), "join-named")
+    links = tried = None
+    named = store(sets.select("whole", "n", F.col("whole").alias("comp")), "join-named")
+    for _ in range(_STARS):
+        # What is joined so far needs no more links.
+        stars = store(_stars(members.join(named, "whole")), "join-stars")
+        found = verifier.linked(stars)
+        links = found if links is None else store(links.unionByName(found), "join-links")
+        tried = _ordered(stars) if tried is None else tried.unionByName(_ordered(stars))
+        roots = components(links)
+        named = named.select("whole", "n").join(roots, F.col("whole") == F.col("node"), "left")
+        named = store(named.select("whole", "n", F.coalesce("root", "whole").alias("comp")), "join-named")
+    # Subsets that different components share.
     joined = members.join(named, "whole")
     lists = joined.groupBy("subset").agg(
         F.count(F.lit(1)).alias("size"), F.min("comp").alias("low"), F.max("comp").alias("high")
@@ -379,26 +503,31 @@ def set_links(docs: DataFrame, rows: DataFrame, bands: Bands, width: int, list_r
     hot = lists.filter(F.col("size") > list_rows)
     if not hot.isEmpty():
         many = opened.filter(F.col("size") > list_rows)
-        flagged = named.join(many.select("whole").distinct(), "whole", "semi")
-        entries = _entries(verifier.sets(flagged.select("whole")), bands).join(named, "whole")
+        # At most two subsets for each segment of a set.
+        flagged = store(many.groupBy("whole").agg(F.collect_list("subset").alias("common")), "join-flagged")
+        small = broadcast_if(flagged, fits_in_memory(flagged))
+        entries = _entries(verifier.sets(flagged.select("whole"), keep=False).join(small, "whole"), bands)
         entries = store(entries, "join-entries")
-        taken = store(_allocated(entries, hot), "join-allocation")
-        spent = entries.join(taken, ["whole", "scheme", "segment"])
+        met = _met(entries)
+        taken = store(_allocated(entries, met, hot), "join-allocation")
+        spent = ["whole", "scheme", "segment"]
+        places = named.join(small.select("whole"), "whole", "semi")
+        index = store(met.join(places, "whole"), "join-index")
         # Equal but for one shingle: a whole subset meets one without a shingle.
-        near = F.col("gone_a") != F.col("gone_b")
-        probes = spent.filter("not hot")
-        found = _meetings(probes, entries, near & sized)
+        probes = index.join(taken.filter("not hot"), spent)
+        found = _meetings(probes, index, (F.col("gone_a") != F.col("gone_b")) & sized)
         # Hot subsets that are probed all the same: two of one component need not meet, so
         # each list's largest component is only compared with the rest of the list.
         held = many.groupBy("subset", "comp").count().groupBy("subset").agg(F.max_by("comp", "count").alias("most"))
         held = store(held, "join-most")
         every = many.join(broadcast_if(held, fits_in_memory(held)), "subset")
-        asked = spent.filter("hot and not gone").join(broadcast_if(held, fits_in_memory(held)), "subset")
+        asked = entries.filter("not gone").join(taken.filter("hot"), spent).join(places, "whole")
+        asked = asked.join(broadcast_if(held, fits_in_memory(held)), "subset")
         rest = F.col("comp") != F.col("most")
         found = found.unionByName(_meetings(asked.filter(rest), every, sized))
         found = found.unionByName(_meetings(asked.filter(~rest), every.filter(rest), sized))
         pairs = _ordered(pairs.unionByName(found))
-    pairs = store(pairs.join(_ordered(stars), ["a", "b"], "anti"), "join-pairs")
+    pairs = store(pairs.join(tried, ["a", "b"], "anti"), "join-pairs")
     return store(links.unionByName(verifier.linked(pairs)), "join-all-links")
 
 
@@ -423,7 +552,8 @@ def jaccard_groups(
     """
     bands = Bands(percent)
     made = _rows(F.col(f"`{text}`"), width, bands)
-    rows = store(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), made.alias("s")).select("doc_id", "s.*"), "join-rows")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), made.alias("s"), F.monotonically_increasing_id().alias("row"))
+    rows = store(rows.select("doc_id", "row", "s.*"), "join-rows")
     links = set_links(docs, rows, bands, width, list_rows, doc_id, text)
     roots = components(links)
     full = rows.filter("n > 0").select("doc_id", "n", "whole")

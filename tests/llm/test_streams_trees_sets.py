@@ -55,7 +55,8 @@ def brute_collocations(rows, least, first):
 def test_collocations(spark, ranges, monkeypatch):
     monkeypatch.setattr(collocations, "_RANGE_ROWS", ranges)
     monkeypatch.setattr(collocations, "_HELD", 50)
-    monkeypatch.setattr(collocations, "_CACHE", 20)
+    monkeypatch.setattr(collocations, "_HASHES", 100)
+    monkeypatch.setattr(collocations, "_SLICE", 40)
     rng = random.Random(3)
     words = ["a", "a\x01", "b", "B", "of", "the", "été", "\U0010ffff", "x\x00", "new", "york"]
     rows = [(None, "en"), ("", "en"), (" \t\n", None), ("...", "de")]
@@ -83,11 +84,19 @@ def test_scores_past_64_bits():
 
 
 def test_bitmap_has_every_frequent_phrase(spark):
-    phrases = [f"p{i} q" for i in range(3000)] + ["", "é"]
-    bits = collocations._bitmap(spark.createDataFrame([(p,) for p in phrases], "phrase string"))
-    known = collocations._Frequent(bits)
-    assert all(known[p.encode()] for p in phrases)
-    assert sum(known[f"r{i}".encode()] for i in range(3000)) < 30
+    rng = np.random.default_rng(1)
+    hashes = np.r_[rng.integers(-(2**63), 2**63, 3000, np.int64), [0, -1, 2**63 - 1, -(2**63)]]
+    bits = collocations._bitmap(spark.createDataFrame([(int(x),) for x in hashes], "hash long"))
+    assert collocations.passes(hashes.view(np.uint64), bits).all()
+    other = rng.integers(0, 2**63, 3000, np.uint64)
+    assert collocations.passes(other, bits).sum() < 30
+
+
+def test_long_texts_are_cut_at_borders(monkeypatch):
+    monkeypatch.setattr(collocations, "_SLICE", 10)
+    text = b"one two three four\nfive\nsix seven\n\neight nine ten eleven"
+    found = list(collocations.parts(text))
+    assert b"\n".join(found) == text and max(map(len, found)) == 21 and len(found) > 3
 
 
 # Merkle manifest
@@ -206,6 +215,22 @@ def test_bands_hold_every_linked_pair():
             assert high in schemes[0] and schemes[0][high] == schemes[1][high] > differ
 
 
+def test_sets_of_texts(monkeypatch):
+    """As many shingles, and as many in common, as texts have; also where they are cut."""
+    rng = random.Random(4)
+    texts = [None, "", " \t", "a b c", "A B C", "a b c d", "a b c d a b c d", "é ñ ü", "x\x0by z w"]
+    texts += [sentence(rng, n) for n in (5, 50, 400)] + [sentence(rng, 900) * 2]
+    texts.append(texts[-2] + " tail")
+    encoded = [t.encode() if t is not None else None for t in texts]
+    for part in (1 << 19, 64):
+        monkeypatch.setattr(jaccard_join, "_PART", part)
+        found = [set(s.tolist()) for s in jaccard_join.shingle_sets(iter(encoded), 4)]
+        brute = [brute_set(t, 4) for t in texts]
+        assert list(map(len, found)) == list(map(len, brute))
+        for (x, p), (y, q) in combinations(zip(found, brute), 2):
+            assert len(x & y) == len(p & q)
+
+
 def test_deletions_are_the_subsets_without_one():
     rng = np.random.default_rng(5)
     hashes = np.unique(rng.integers(0, 2**64, 60, np.uint64))
@@ -217,8 +242,18 @@ def test_deletions_are_the_subsets_without_one():
     assert len(set(whole)) == 7 and not set(whole) & set(names)
 
 
-@pytest.mark.parametrize("limit", [64, 1])
-@pytest.mark.parametrize("seed", [1, 2])
+def test_parities_never_say_too_much():
+    rng = np.random.default_rng(6)
+    for n, lost, new in [(10, 0, 0), (10, 1, 0), (300, 20, 15), (3000, 100, 200), (9000, 40, 0), (500, 500, 400)]:
+        a = np.unique(rng.integers(0, 2**64, n, np.uint64))
+        b = np.union1d(a[lost:], rng.integers(0, 2**64, new, np.uint64))
+        differ = len(np.setxor1d(a, b))
+        sketches = [jaccard_join._parities(s, jaccard_join.Bands(85).differ(2 * len(s))) for s in (a, b)]
+        assert jaccard_join.least_difference(*sketches) <= differ
+        assert jaccard_join.least_difference(*sketches) >= 0.7 * differ or differ > 0.2 * n
+
+
+@pytest.mark.parametrize("limit,seed", [(64, 1), (1, 2)])
 def test_jaccard_groups(spark, odd_texts, limit, seed):
     """Both ways, all pairs of a shared subset and the cheapest allocation, find every link."""
     rng = random.Random(seed)
@@ -264,8 +299,8 @@ def test_allocation_is_used(spark, monkeypatch):
     spent = []
     real = jaccard_join._allocated
 
-    def seen(entries, hot):
-        taken = real(entries, hot)
+    def seen(*args):
+        taken = real(*args)
         spent.append(taken.count())
         return taken
 
