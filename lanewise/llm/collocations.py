@@ -1,37 +1,40 @@
 """Collocations from count streams that are merged in order.
 
-Phrases of one to three words are counted level by level: a longer phrase is counted only
-where its shorter parts can be frequent, which a bitmap of fixed size tells (it may let
-rare phrases through, never keep a frequent one out).  The frequent phrases then form one
-stream in prefix order (by their words from the left) and one in suffix order (from the
-right).  In such a stream the counts of a phrase's beginnings stand right before it, so one
-pass in lockstep gives every phrase its left counts, the other its right counts, and both
-tell which phrases are most of a longer one.  No count is looked up in a hash table.
+Only phrases that are frequent are ever counted by their text.  Before that a sieve counts
+64-bit hashes level by level, a longer phrase only where both its shorter parts may be
+frequent; what it finds frequent is one bit each in a bitmap of fixed size, which may let
+rare phrases through and never keeps a frequent one out.  The phrases that pass are counted
+exactly and form one stream in prefix order (by their words from the left) and one in suffix
+order (from the right).  In such a stream the counts of a phrase's beginnings stand right
+before it, so one pass in lockstep gives every phrase its left counts, the other its right
+counts, and both tell which phrases are most of a longer one.  These counts are never looked
+up in a hash table.
 
 A stream is dealt into ranges by cut points of its own order; a beginning is copied to all
 ranges that its continuations reach, so a word with a third of all phrases is many tasks.
 """
 
-import re
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.reports import first_per_group
 from ..operators.skew import broadcast_if, fits_in_memory
 from ..session import store
 from .common import binary_values, bounded_sample
+from .flat import Flat
 
-#: Bits of the bitmap of frequent phrases: 8 MB however large the corpus.
+#: Bits of a bitmap of frequent phrases: 8 MB however large the corpus.
 FILTER_BITS = 26
 _BORDERS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
-_HELD = 300_000
-_CACHE = 500_000
+_SLICE = 1 << 19
+#: Hashes, and phrases, that a task holds before it sends their counts on.
+_HASHES = 2_000_000
+_HELD = 200_000
 #: Phrases per range of a stream, about, and cut points drawn for each range.
 _RANGE_ROWS = 50_000
 _DRAWN = 30
@@ -39,104 +42,193 @@ _DRAWN = 30
 SCALE = 1_000_000
 
 
-def pieces(text: bytes | None) -> Iterator[list[bytes]]:
-    """The words of each piece of a text in lower case (A-Z only)."""
-    for piece in text.lower().translate(_BORDERS).split(b"\n") if text else ():
-        if words := piece.split():
-            yield words
+def plain(text: bytes) -> bytes:
+    """The text in lower case (A-Z only), every border between pieces a newline."""
+    return text.lower().translate(_BORDERS)
+
+
+def parts(text: bytes) -> Iterator[bytes]:
+    """A plain text, cut at borders where it is long; no piece is cut."""
+    start = 0
+    while len(text) - start > _SLICE:
+        end = text.rfind(b"\n", start, start + _SLICE)
+        if end < 0:
+            end = text.find(b"\n", start + _SLICE)
+        if end < 0:
+            break
+        yield text[start:end]
+        start = end + 1
+    yield text[start:]
+
+
+class Phrases:
+    """The words and phrases of some plain texts, as numpy arrays of hashes and places."""
+
+    def __init__(self, texts: list[bytes]):
+        self.flat = Flat(texts)
+        border = self.flat.data == 0x0A
+        inside = ~border & (self.flat.data != 0x20) & (self.flat.data != 0x09)
+        self.starts, self.ends, _ = self.flat.runs(inside.astype(np.uint8))
+        self.pieces = np.cumsum(border)[self.starts]
+        self.words = self.flat.hashes(self.starts, self.ends) if len(self.starts) else np.zeros(0, np.uint64)
+
+    def levels(self, filters: list[np.ndarray], count: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For phrases of 1, 2, ... ``count`` words the number of their first word and their
+        hash, of those whose shorter parts pass the ``filters``."""
+        first, hashes = np.arange(len(self.words)), self.words
+        for length in range(1, count + 1):
+            yield first, hashes
+            if length == count:
+                return
+            may = passes(hashes, filters[length - 1])
+            first, hashes = first[may], hashes[may]
+            # Neighbours in the list that are neighbours in the piece: both parts may be.
+            near = np.flatnonzero(
+                (first[1:] == first[:-1] + 1)
+                & (self.pieces[first[:-1]] == self.pieces[np.minimum(first[:-1] + length, len(self.pieces) - 1)])
+                & (first[:-1] + length < len(self.pieces))
+            )
+            first = first[near]
+            hashes = _joined(hashes[near], self.words[first + length])
 
+    def spans(self, first: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+        """Where phrases begin and end."""
+        return zip(self.starts[first].tolist(), self.ends[first + length - 1].tolist(), strict=True)
 
-class _Frequent(dict):
-    """Whether a phrase may be frequent, by its bit; remembered up to a bound."""
 
-    def __init__(self, bits: np.ndarray):
-        self.bits = bits
+def phrase_text(raw: bytes) -> bytes:
+    """A phrase as it stands in a text, its words joined by one space each."""
+    return b" ".join(raw.split()) if b"\t" in raw or b"  " in raw else raw
 
-    def __missing__(self, phrase: bytes) -> bool:
-        if len(self) >= _CACHE:
-            self.clear()
-        at = xxhash.xxh64_intdigest(phrase, 42) & ((1 << FILTER_BITS) - 1)
-        value = self[phrase] = bool(self.bits[at >> 3] >> (at & 7) & 1)
-        return value
 
+def _joined(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
+    mixed = hashes * np.uint64(0x9FB21C651E98DF25) + (word ^ (word >> np.uint64(33)))
+    return (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
 
-def phrases(words: list[bytes], filters: list) -> list[bytes]:
-    """The phrases of ``len(filters) + 1`` words whose shorter parts may all be frequent."""
-    found: list[bytes | None] = list(words)
-    for length, known in enumerate(filters, 1):
-        may = [phrase is not None and known[phrase] for phrase in found]
-        found = [
-            found[i] + b" " + words[i + length] if may[i] and may[i + 1] else None
-            for i in range(len(words) - length)
-        ]
-    return [phrase for phrase in found if phrase is not None]
 
+def _places(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
 
-def _bitmap(counts: DataFrame) -> np.ndarray:
-    """A bit for every phrase of ``counts``: a fixed number of bits reaches the driver."""
-    at = F.xxhash64("phrase").bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    chunks = (
-        counts.select(at.alias("at"))
-        .groupBy(F.bitmap_bucket_number("at").alias("chunk"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
-    )
-    # Bucket numbers start at 1 except for position 0, whose bucket is 0; see _positions.
+
+def passes(hashes: np.ndarray, bits: np.ndarray) -> np.ndarray:
+    """Whether the bits of the hashes are set."""
+    at = _places(hashes)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Phrases]]:
+    """Language and phrases of some hundred kilobytes of text at a time."""
+    for batch in batches:
+        held: dict[str, list[bytes]] = {}
+        sizes: Counter = Counter()
+        for name, value in zip(batch.column("lang").to_pylist(), binary_values(batch.column("text")), strict=True):
+            for part in parts(plain(value or b"")):
+                held.setdefault(name, []).append(part)
+                sizes[name] += len(part)
+                if sizes[name] > _SLICE:
+                    yield name, Phrases(held.pop(name))
+                    del sizes[name]
+        for name, texts in held.items():
+            yield name, Phrases(texts)
+
+
+def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
+    named = F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und"))
+    return docs.select(named.alias("lang"), F.col(f"`{text}`").alias("text"))
+
+
+def sieve(texts: DataFrame, filters: list[np.ndarray], least: int) -> np.ndarray:
+    """The bitmap of phrases of one word more than there are ``filters``: the bit of every
+    phrase that stands ``least`` times or more, in all languages together."""
+    sent = [texts.sparkSession.sparkContext.broadcast(bits) for bits in filters]
+    length = len(filters) + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = [bits.value for bits in sent]
+        held: list[np.ndarray] = []
+        size = 0
+
+        def counted() -> pa.RecordBatch:
+            hashes, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
+
+        for _, slice_ in _slices(batches):
+            *_, (_, hashes) = slice_.levels(known, length)
+            held.append(hashes)
+            size += len(hashes)
+            if size >= _HASHES:
+                yield counted()
+                held, size = [], 0
+        if held:
+            yield counted()
+
+    counts = texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+    frequent = counts.filter(F.col("n") >= least).select("hash")
+    return _bitmap(frequent)
+
+
+def _bitmap(frequent: DataFrame) -> np.ndarray:
+    """The bits of ``hash``es; a fixed number of bits reaches the driver."""
+    at = F.shiftrightunsigned("hash", 64 - FILTER_BITS)
+    # Positions from 1 on, as Spark's bitmap functions number buckets from there.
+    chunks = frequent.select((at + 1).alias("at")).groupBy(F.bitmap_bucket_number("at").alias("chunk"))
     bits = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in chunks.toLocalIterator():
-        _place(bits, row.chunk, np.frombuffer(row.bits, np.uint8))
+    for row in chunks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).toLocalIterator():
+        start = (row.chunk - 1) * len(row.bits)
+        bits[start : start + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
     return bits
 
 
-def _place(bits: np.ndarray, chunk: int, found: np.ndarray) -> None:
-    """Lay a bucket's bitmap into the whole one.
+def count_phrases(texts: DataFrame, filters: list[np.ndarray]) -> DataFrame:
+    """lang, phrase (space-joined) and n of the phrases whose bits are set, one filter for
+    each number of words; with a null phrase all words of the language.
 
-    Spark numbers buckets 1 + (value - 1) div 32768 and bits (value - 1) mod 32768; value 0
-    is bit 0 of bucket 0.
+    Texts are counted; of what a task holds phrases are told apart by 64-bit hashes, so that
+    their text is made once.
     """
-    width = len(found) * 8
-    if chunk == 0:
-        bits[0] |= 1
-        return
-    values = np.flatnonzero(np.unpackbits(found, bitorder="little")) + (chunk - 1) * width + 1
-    values = values[values < len(bits) * 8]
-    np.bitwise_or.at(bits, values >> 3, (1 << (values & 7)).astype(np.uint8))
-
-
-def count_phrases(docs: DataFrame, filters: list[np.ndarray], text: str, lang: str) -> DataFrame:
-    """lang, phrase (space-joined) and n, of phrases of ``len(filters) + 1`` words."""
-    sent = [docs.sparkSession.sparkContext.broadcast(bits) for bits in filters]
+    sent = [texts.sparkSession.sparkContext.broadcast(bits) for bits in filters]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = [_Frequent(bits.value) for bits in sent]
-        held: dict[str, Counter] = {}
+        known = [bits.value for bits in sent]
+        found: dict[str, dict[int, bytes]] = {}
+        numbers: dict[str, Counter] = {}
+        words: Counter = Counter()
+
+        def batch(lang: str, phrases: list, n: list) -> pa.RecordBatch:
+            columns = [
+                pa.array([lang] * len(n), pa.string()),
+                pa.array(phrases, pa.binary()).cast(pa.string()),
+                pa.array(n, pa.int64()),
+            ]
+            return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for name, counter in held.items():
-                columns = [
-                    pa.array([name] * len(counter), pa.string()),
-                    pa.array(list(counter), pa.binary()).cast(pa.string()),
-                    pa.array(list(counter.values()), pa.int64()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
-            held.clear()
-
-        size = 0
-        for batch in batches:
-            names = batch.column("lang").to_pylist()
-            for name, value in zip(names, binary_values(batch.column("text")), strict=True):
-                counter = held.setdefault(name, Counter())
-                size -= len(counter)
-                for words in pieces(value):
-                    counter.update(phrases(words, known))
-                size += len(counter)
-                if size > _HELD:
-                    yield from rows()
-                    size = 0
+            for lang, own in found.items():
+                n = numbers[lang]
+                yield batch(lang, list(own.values()), [n[h] for h in own])
+            found.clear()
+            numbers.clear()
+
+        for lang, slice_ in _slices(batches):
+            own, n = found.setdefault(lang, {}), numbers.setdefault(lang, Counter())
+            words[lang] += len(slice_.words)
+            raw = slice_.flat.data.tobytes()
+            for length, (first, hashes) in enumerate(slice_.levels(known, len(known)), 1):
+                may = passes(hashes, known[length - 1])
+                each, at, times = np.unique(hashes[may], return_index=True, return_counts=True)
+                spans = slice_.spans(first[may][at], length)
+                for h, number, (start, end) in zip(each.tolist(), times.tolist(), spans, strict=True):
+                    h = h * 4 + length
+                    if h not in own:
+                        own[h] = phrase_text(raw[start:end])
+                    n[h] += number
+            if sum(map(len, found.values())) > _HELD:
+                yield from rows()
         yield from rows()
+        for lang, number in words.items():
+            yield batch(lang, [None], [number])
 
-    named = F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und"))
-    rows = docs.select(named.alias("lang"), F.col(f"`{text}`").alias("text"))
-    counted = rows.mapInArrow(run, "lang string, phrase string, n long")
+    counted = texts.mapInArrow(run, "lang string, phrase string, n long")
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
@@ -258,16 +350,13 @@ def mine_collocations(
     texts have no phrases; repeated rows count again; an empty table gives no rows; other
     columns are not looked at.
     """
-    filters: list[np.ndarray] = []
-    frequent = None
-    for length in range(1, longest + 1):
-        counts = store(count_phrases(docs, filters, text, lang), "phrase-counts")
-        if length == 1:
-            totals = store(counts.groupBy("lang").agg(F.sum("n").alias("total")), "phrase-totals")
-        kept = counts.filter(F.col("n") >= least)
-        frequent = kept if frequent is None else frequent.unionByName(kept)
-        if length < longest:
-            filters.append(_bitmap(kept))
+    texts, filters = _texts(docs, text, lang), []
+    for _ in range(longest):
+        filters.append(sieve(texts, filters, least))
+    counts = count_phrases(texts, filters).filter((F.col("n") >= least) | F.col("phrase").isNull())
+    counts = store(counts, "phrase-counts")
+    totals = counts.filter("phrase is null").select("lang", F.col("n").alias("total"))
+    frequent = counts.filter("phrase is not null")
     nothing = F.array().cast("array<long>")
     words = F.split("phrase", " ")
     prefix = merged_stream(frequent.select("lang", words.alias("words"), "n", nothing.alias("seen")), longest)
