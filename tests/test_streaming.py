@@ -188,3 +188,20 @@ class TestModel:
         scored = score(model, held_out)
         exact = area_under_roc(scored.withColumn("p", vector_to_array("probability")[1]), "p").first().auc
         assert exact == pytest.approx(evaluate_auc(scored), abs=1e-3)
+
+
+def test_a_backlog_takes_a_bounded_number_of_batches(spark, folder):
+    """The limit of a micro-batch grows with what waits, and packed messages are read as sent."""
+    from lanewise.plans import streams
+
+    df = flights(spark, SF)
+    publish_files(df, f"{folder}/in", 100, "gzip")
+    total = streams.folder_bytes(spark, f"{folder}/in")
+    assert streams._batch_bytes(spark, f"{folder}/in", 10) == total // streams.MOST_BATCHES
+    assert streams._batch_bytes(spark, f"{folder}/in") == streams.BATCH_BYTES
+    assert spark.read.text(f"{folder}/in").count() == df.count()
+    messages = file_messages(spark, f"{folder}/in")
+    start_tail(messages, f"{folder}/c", f"{folder}/out", True, "gzip").awaitTermination()
+    sent, got = spark.read.text(f"{folder}/in"), spark.read.text(f"{folder}/out")
+    assert sent.exceptAll(got).isEmpty() and got.exceptAll(sent).isEmpty()
+    assert streams.folder_bytes(spark, f"{folder}/out") < sent.select(F.sum(F.length("value"))).first()[0] / 3
