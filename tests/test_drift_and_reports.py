@@ -138,3 +138,19 @@ class TestTopGroups:
         assert got == [(None, 2), ("", 1), ("null", 1)]
         assert top_groups(df.limit(0), ["who"], 3).isEmpty()
         assert top_groups(df, ["who"], 1, where="who = ''").first()["count"] == 1
+
+
+def test_a_report_takes_many_keys_at_once(spark, folder):
+    """Keys of one group, some new, some replaced, some late, over two batches; a group of
+    keys is one row of state, so few groups serve many keys."""
+    schema = spark.createDataFrame([], TestKeptReport.SCHEMA).schema
+    first = [(f"k{i}", 10, "old", 1.0) for i in range(500)]
+    later = [(f"k{i}", 20 if i % 2 else 5, "new", 2.0) for i in range(300, 700)]
+    for part in (first, later):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/in")
+        changes = row_changes(rows, "id", F.col("place"), ["src", "late"], groups=2)
+        start_report(changes, f"{folder}/out", ["src"], {"minutes": "late"}, f"{folder}/check", True).awaitTermination()
+    got = read_report(spark, f"{folder}/out", ["src"], {"minutes": "late"}, schema).collect()
+    # Of the 200 keys sent again 100 are later; 200 keys are new.
+    assert {r.src: (r.rows, float(r.minutes)) for r in got} == {"old": (400, 400.0), "new": (300, 600.0)}
