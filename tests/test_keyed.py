@@ -136,3 +136,21 @@ def test_compaction_keeps_the_generations_asked_for(spark, folder, table):
     assert sum(f.startswith("base") for f in folders) == 2 and len(folders) <= 5
     assert len(rows_of(table.read())) == 9
     assert not table.upsert(frame(spark, ("a", 0, 0)), writer="w", epoch=7)
+
+
+def test_latest_per_key_in_parts(spark):
+    """Rows beyond one part are dealt by key; keys of a hot bucket go the other way."""
+    from lanewise.session import ROWS_PER_SPLIT
+
+    rows = [(f"k{i % 40}", i) for i in range(200)] + [("hot", i) for i in range(300)] + [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "id string, v int").repartition(4)
+    before = spark.conf.get(ROWS_PER_SPLIT, None)
+    spark.conf.set(ROWS_PER_SPLIT, "100")
+    try:
+        best = latest_per_key(df, "id", ["v"])
+        plan = best._jdf.queryExecution().executedPlan().toString()
+        got = {r.id: r.v for r in best.collect()}
+    finally:
+        spark.conf.unset(ROWS_PER_SPLIT) if before is None else spark.conf.set(ROWS_PER_SPLIT, before)
+    assert got == {**{f"k{i}": 160 + i for i in range(40)}, "hot": 299, None: 2} and best.count() == 42
+    assert "REPARTITION_BY_NUM" in plan
