@@ -464,3 +464,28 @@ class TestCounts:
                 want[x[0]] += 1
         got = dict(pairs_of(connection_counts(graph, slot=slot), "id", "connections"))
         assert got == want and max(want.values()) > 2
+
+
+def test_cycles_leave_out_ends_and_starts(spark, monkeypatch):
+    """Routes of vertices that only start or only arrive close nothing and are not laid side
+    by side; cycles both ways round, and with a two-way route, are counted."""
+    from lanewise.operators import counting
+
+    stored, real = {}, counting.store
+
+    def seen(df, name):
+        stored[name] = real(df, name)
+        return stored[name]
+
+    monkeypatch.setattr(counting, "store", seen)
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("c", "b"), ("b", "a"), ("b", "d"), ("d", "e"), ("e", "b")]
+    edges += [(f"s{i}", x) for i in range(30) for x in "abc"] + [(x, f"t{i}") for i in range(30) for x in "abc"]
+    ids = sorted({v for e in edges for v in e})
+    graph = Graph(spark.createDataFrame([(v,) for v in ids], "id string"), spark.createDataFrame(edges, "src string, dst string"))
+    got = {r.id: r.cycles for r in counting.closed_counts(graph).collect()}
+    routes, want = set(edges), {}
+    for x, y in routes:
+        for z in ids:
+            if (y, z) in routes and (z, x) in routes and len({x, y, z}) == 3:
+                want[x] = want.get(x, 0) + 1
+    assert got == want and stored["pairs"].count() == 6
