@@ -190,3 +190,21 @@ class TestDirtyRows:
         assert whole.join(plain, "id").filter("prediction <> p or label <> l or p is null").isEmpty()
         assert dict(got.select("dist", "carrier").dtypes) == {"dist": "double", "carrier": "string"}
         assert got.filter("kind = 5 and carrier is not null").isEmpty()
+
+
+@pytest.mark.parametrize("rows_of_range", [1, 3, 1000])
+def test_importance_over_ranges(spark, monkeypatch, rows_of_range):
+    """Large buckets are cut into ranges: what a row takes from the next range, from ranges
+    after that and from the bucket's beginning is what one list of the bucket gives."""
+    from lanewise.operators import forest as module
+
+    rng = random.Random(2)
+    rows = [(f"k{i}", float(rng.randrange(4)), rng.choice("abz"), float(rng.random() < 0.5)) for i in range(60)]
+    df = spark.createDataFrame(rows, "id string, x double, c string, label double")
+    predict = lambda columns: two_class_prediction(SMALL.probability(columns=columns))
+    monkeypatch.setattr(module, "_RANGE_ROWS", 1 << 40)
+    want = {r.feature: r.correct for r in permutation_importance(df, predict, ["x", "c"], buckets=3).collect()}
+    small = {r.feature: r.correct for r in permutation_importance(df.limit(2), predict, ["x", "c"], buckets=2).collect()}
+    monkeypatch.setattr(module, "_RANGE_ROWS", rows_of_range)
+    got = {r.feature: r.correct for r in permutation_importance(df, predict, ["x", "c"], buckets=3).collect()}
+    assert got == want and len(small) == 3
