@@ -25,6 +25,7 @@ from lanewise.plans.standin import flights
 from lanewise.schemas import FLIGHTS, SCORED_FLIGHTS
 from lanewise.sources import KeyedTable, file_messages, kafka_options
 from lanewise.sources.folders import child_folders
+from lanewise.session import ROWS_PER_SPLIT
 from lanewise.streaming import (
     decode,
     publish_files,
@@ -174,6 +175,26 @@ class TestModel:
         model = train(with_route(flights(spark, SF)), max_bins=5, trees=1, max_depth=1)
         assert model.stages[-1].getMaxBins() > 5
 
+    def test_training_rows_lie_in_bounded_parts(self, spark, monkeypatch):
+        sizes, fit = [], learning.RandomForestClassifier.fit
+
+        def seen(forest, rows):
+            sizes.extend(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+            return fit(forest, rows)
+
+        monkeypatch.setattr(learning.RandomForestClassifier, "fit", seen)
+        rows = spark.range(4000).coalesce(1).select(
+            F.concat(F.lit("c"), F.col("id") % 3).alias("carrier"),
+            F.lit(7.0).alias("dist"),
+            (F.col("id") % 80).cast("double").alias("depdelay"),
+        )
+        spark.conf.set(ROWS_PER_SPLIT, "500")
+        try:
+            train(rows, ("carrier",), ("carrierIndexed", "dist"), trees=1, max_depth=1)
+        finally:
+            spark.conf.unset(ROWS_PER_SPLIT)
+        assert sum(sizes) == 4000 and max(sizes) <= 500
+
     def test_balanced_training(self, spark, monkeypatch):
         seen = {}
         monkeypatch.setattr(learning, "train", lambda df, **_: seen.update(df=df))
