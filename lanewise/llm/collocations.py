@@ -20,6 +20,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.reports import first_per_group
@@ -32,9 +34,12 @@ from .flat import Flat
 FILTER_BITS = 26
 _BORDERS = bytes.maketrans(b".,;:!?\x0b\x0c\r", b"\n" * 9)
 _SLICE = 1 << 19
-#: Hashes, and phrases, that a task holds before it sends their counts on.
+#: Hashes, and places of phrases and bytes of text, that a task holds before it sends their
+#: counts on.
 _HASHES = 2_000_000
-_HELD = 200_000
+_HELD, _HELD_BYTES = 500_000, 8 << 20
+#: Phrases whose texts are made, and sent on, at once.
+_MADE = 20_000
 #: Phrases per range of a stream, about, and cut points drawn for each range.
 _RANGE_ROWS = 50_000
 _DRAWN = 30
@@ -91,14 +96,21 @@ class Phrases:
             first = first[near]
             hashes = _joined(hashes[near], self.words[first + length])
 
-    def spans(self, first: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
+    def spans(self, first: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Where phrases begin and end."""
-        return zip(self.starts[first].tolist(), self.ends[first + length - 1].tolist(), strict=True)
+        return self.starts[first], self.ends[first + length - 1]
 
 
-def phrase_text(raw: bytes) -> bytes:
-    """A phrase as it stands in a text, its words joined by one space each."""
-    return b" ".join(raw.split()) if b"\t" in raw or b"  " in raw else raw
+def phrase_texts(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Phrases as they stand in ``data``, their words joined by one space each."""
+    sizes = ends - starts
+    offsets = np.concatenate([[0], np.cumsum(sizes)])
+    taken = data[np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)]
+    buffers = [None, pa.py_buffer(offsets), pa.py_buffer(taken)]
+    texts = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).cast(pa.large_string()).cast(pa.string())
+    # A phrase begins and ends with a word, so two spaces are always inside one.
+    raw = taken.tobytes()
+    return pc.replace_substring_regex(texts, "[ \t]+", " ") if b"\t" in raw or b"  " in raw else texts
 
 
 def _joined(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
@@ -137,11 +149,10 @@ def _texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     return docs.select(named.alias("lang"), F.col(f"`{text}`").alias("text"))
 
 
-def sieve(texts: DataFrame, filters: list[np.ndarray], least: int) -> np.ndarray:
-    """The bitmap of phrases of one word more than there are ``filters``: the bit of every
+def sieve(texts: DataFrame, sent: list[Broadcast], least: int) -> np.ndarray:
+    """The bitmap of phrases of one word more than there are bitmaps ``sent``: the bit of every
     phrase that stands ``least`` times or more, in all languages together."""
-    sent = [texts.sparkSession.sparkContext.broadcast(bits) for bits in filters]
-    length = len(filters) + 1
+    length = len(sent) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [bits.value for bits in sent]
@@ -179,54 +190,56 @@ def _bitmap(frequent: DataFrame) -> np.ndarray:
     return bits
 
 
-def count_phrases(texts: DataFrame, filters: list[np.ndarray]) -> DataFrame:
-    """lang, phrase (space-joined) and n of the phrases whose bits are set, one filter for
+def count_phrases(texts: DataFrame, sent: list[Broadcast]) -> DataFrame:
+    """lang, phrase (space-joined) and n of the phrases whose bits are set, one bitmap for
     each number of words; with a null phrase all words of the language.
 
     Texts are counted; of what a task holds phrases are told apart by 64-bit hashes, so that
     their text is made once.
     """
-    sent = [texts.sparkSession.sparkContext.broadcast(bits) for bits in filters]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [bits.value for bits in sent]
-        found: dict[str, dict[int, bytes]] = {}
-        numbers: dict[str, Counter] = {}
-        words: Counter = Counter()
-
-        def batch(lang: str, phrases: list, n: list) -> pa.RecordBatch:
-            columns = [
-                pa.array([lang] * len(n), pa.string()),
-                pa.array(phrases, pa.binary()).cast(pa.string()),
-                pa.array(n, pa.int64()),
-            ]
+        found: dict[tuple[str, int], list[tuple[np.ndarray, ...]]] = {}
+        held: dict[str, list[np.ndarray]] = {}
+        places, size, words = 0, 0, Counter()
+
+        def batch(lang: str, phrases: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+            columns = [pa.array([lang] * len(n), pa.string()), phrases, pa.array(n, pa.int64())]
             return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "n"])
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for lang, own in found.items():
-                n = numbers[lang]
-                yield batch(lang, list(own.values()), [n[h] for h in own])
+            data = {lang: np.concatenate(own) for lang, own in held.items()}
+            for (lang, _), parts in found.items():
+                hashes, starts, ends = map(np.concatenate, zip(*parts, strict=True))
+                order = np.argsort(hashes)
+                hashes = hashes[order]
+                first = np.flatnonzero(np.r_[True, hashes[1:] != hashes[:-1]][: len(hashes)])
+                at, n = order[first], np.diff(first, append=len(hashes))
+                starts, ends = starts[at], ends[at]
+                for i in range(0, len(n), _MADE):
+                    some = slice(i, i + _MADE)
+                    yield batch(lang, phrase_texts(data[lang], starts[some], ends[some]), n[some])
             found.clear()
-            numbers.clear()
+            held.clear()
 
         for lang, slice_ in _slices(batches):
-            own, n = found.setdefault(lang, {}), numbers.setdefault(lang, Counter())
             words[lang] += len(slice_.words)
-            raw = slice_.flat.data.tobytes()
+            own = held.setdefault(lang, [])
+            before = sum(map(len, own))
+            own.append(slice_.flat.data)
+            size += len(slice_.flat.data)
             for length, (first, hashes) in enumerate(slice_.levels(known, len(known)), 1):
                 may = passes(hashes, known[length - 1])
-                each, at, times = np.unique(hashes[may], return_index=True, return_counts=True)
-                spans = slice_.spans(first[may][at], length)
-                for h, number, (start, end) in zip(each.tolist(), times.tolist(), spans, strict=True):
-                    h = h * 4 + length
-                    if h not in own:
-                        own[h] = phrase_text(raw[start:end])
-                    n[h] += number
-            if sum(map(len, found.values())) > _HELD:
+                starts, ends = slice_.spans(first[may], length)
+                found.setdefault((lang, length), []).append((hashes[may], starts + before, ends + before))
+                places += len(starts)
+            if places > _HELD or size > _HELD_BYTES:
                 yield from rows()
+                places = size = 0
         yield from rows()
         for lang, number in words.items():
-            yield batch(lang, [None], [number])
+            yield batch(lang, pa.nulls(1, pa.string()), np.array([number]))
 
     counted = texts.mapInArrow(run, "lang string, phrase string, n long")
     return counted.groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -350,11 +363,16 @@ def mine_collocations(
     texts have no phrases; repeated rows count again; an empty table gives no rows; other
     columns are not looked at.
     """
-    texts, filters = _texts(docs, text, lang), []
-    for _ in range(longest):
-        filters.append(sieve(texts, filters, least))
-    counts = count_phrases(texts, filters).filter((F.col("n") >= least) | F.col("phrase").isNull())
-    counts = store(counts, "phrase-counts")
+    texts, sent = _texts(docs, text, lang), []
+    try:
+        for _ in range(longest):
+            sent.append(docs.sparkSession.sparkContext.broadcast(sieve(texts, sent, least)))
+        counts = count_phrases(texts, sent).filter((F.col("n") >= least) | F.col("phrase").isNull())
+        counts = store(counts, "phrase-counts")
+    finally:
+        # Workers hold every bitmap until they are told to let it go.
+        for bits in sent:
+            bits.unpersist()
     totals = counts.filter("phrase is null").select("lang", F.col("n").alias("total"))
     frequent = counts.filter("phrase is not null")
     nothing = F.array().cast("array<long>")

@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -83,6 +84,32 @@ def test_scores_past_64_bits():
     assert collocations.weakest_cut(10, [100, 100], [100, 100]) == (10_000, 100, 100)
 
 
+def test_texts_of_phrases_and_bounded_holding(monkeypatch):
+    flat = np.frombuffer(b"a \t b  c\nd\n\xc3\xa4 b\n", np.uint8)
+    starts, ends = np.array([11, 0, 9, 0]), np.array([15, 8, 10, 5])
+    assert collocations.phrase_texts(flat, starts, ends).to_pylist() == ["\xe4 b", "a b c", "d", "a b"]
+    assert collocations.phrase_texts(flat, starts[:0], ends[:0]).to_pylist() == []
+
+    class Texts:
+        def mapInArrow(self, run, schema):
+            self.run = run
+            return self
+
+        def groupBy(self, *keys):
+            return self
+
+        def agg(self, *columns):
+            return self.run
+
+    monkeypatch.setattr(collocations, "_HELD_BYTES", 100)
+    monkeypatch.setattr(collocations, "_SLICE", 40)
+    none = SimpleNamespace(value=np.zeros((1 << collocations.FILTER_BITS) // 8, np.uint8))
+    texts = collocations.pa.RecordBatch.from_pydict({"lang": ["x"] * 50, "text": ["some rare words here"] * 50})
+    # Nothing passes, yet what is held is sent on and let go after a hundred bytes.
+    sent = list(collocations.count_phrases(Texts(), [none])(iter([texts])))
+    assert len(sent) > 8 and [r for b in sent for r in b.to_pylist()] == [{"lang": "x", "phrase": None, "n": 200}]
+
+
 def test_bitmap_has_every_frequent_phrase(spark):
     rng = np.random.default_rng(1)
     hashes = np.r_[rng.integers(-(2**63), 2**63, 3000, np.int64), [0, -1, 2**63 - 1, -(2**63)]]
