@@ -84,7 +84,7 @@ def test_scores_past_64_bits():
     assert collocations.weakest_cut(10, [100, 100], [100, 100]) == (10_000, 100, 100)
 
 
-def test_texts_of_phrases_and_bounded_holding(monkeypatch):
+def test_texts_of_phrases_and_bounded_holding(spark, monkeypatch):
     flat = np.frombuffer(b"a \t b  c\nd\n\xc3\xa4 b\n", np.uint8)
     starts, ends = np.array([11, 0, 9, 0]), np.array([15, 8, 10, 5])
     assert collocations.phrase_texts(flat, starts, ends).to_pylist() == ["\xe4 b", "a b c", "d", "a b"]
