@@ -8,9 +8,11 @@ is predicted by the longest kept context before it, smoothed by the shorter ones
 the empty context; a word of the other class then by its share of that class, where all
 words never seen in training count as one.
 
-Symbols, contexts and continuations must each make up a fixed share of the training
-tokens to enter, so the tree's size is bounded whatever the corpus; counting covers all
-of it.  Beside that score stands a base score from word counts alone.
+Which contexts and continuations enter is a matter of how often they stand, whatever the size
+of the corpus: every word is then a symbol, and the tree is a table that grows with the corpus
+(``runs.py``).  A tree of bounded size, to be held in memory, asks for fixed shares of all
+training tokens instead (``Shares``).  Counting covers the whole corpus in both.  Beside that
+score stands a base score from word counts alone.
 """
 
 from collections import Counter
@@ -23,8 +25,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle, store
 from .common import binary_values, plain_words
+from .runs import Held, HeldRuns, Runs, RunTree, fit_runs, rest_bits, token_codes
 
 DEPTH = 3
+#: How often a continuation must stand after its context to enter.
+LEAST = 10
 #: Bits of a symbol; 1 / ``Shares.symbol`` symbols must fit.
 _BITS = 14
 #: The end token; no word contains it.
@@ -240,17 +245,22 @@ class SuffixTree:
             chance[own] = (number + weight[at] * chance[own]) / (stored[at] + weight[at])
         return chance
 
-    def logs(self, texts: list[list[bytes]]) -> np.ndarray:
-        """log10 probability of the symbols of each text."""
+    @property
+    def numbers(self) -> dict[bytes, int]:
+        return self.symbols.numbers
+
+    def scores(self, texts: list[list[bytes]], runs: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 probability of the symbols of each text; nothing is left to a join."""
         symbol, context, firsts = self.symbols.stream(texts)
-        return np.add.reduceat(np.log10(self.chances(symbol, context)), firsts)
+        logs = np.add.reduceat(np.log10(self.chances(symbol, context)), firsts)
+        return logs, np.zeros(len(texts), np.int64), np.zeros(0, np.int64)
 
 
 @dataclass
 class Model:
     """The tree with the word counts it rests on (``counts``: columns word, n)."""
 
-    tree: SuffixTree
+    tree: SuffixTree | RunTree
     counts: DataFrame
     tokens: int
     distinct: int
@@ -265,15 +275,25 @@ class Model:
 
 
 def fit_model(
-    texts: DataFrame, shares: Shares = Shares(), discount: float = 0.4, text: str = "text"
+    texts: DataFrame,
+    shares: Shares | None = None,
+    discount: float = 0.4,
+    text: str = "text",
+    least: int = LEAST,
+    divergence: float = 0.01,
 ) -> Model:
     """Learn from all of ``texts``.
 
-    Every known word gives ``discount`` of its count to the words never seen.  Without
-    texts nothing is known, and every token is the unseen word.
+    A context enters with the continuations that stand ``least`` times after it, if what
+    follows differs by ``divergence`` nats from what follows its suffix; ``shares`` asks for
+    a bounded tree instead.  Every known word gives ``discount`` of its count to the words
+    never seen.  Without texts nothing is known, and every token is the unseen word.
     """
     counts = store(word_counts(texts, text), "suffix-words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    if shares is None:
+        tree = fit_runs(texts.select(text), counts, tokens, discount, least, divergence)
+        return Model(tree, counts, tokens, distinct, discount, 1.0, 0)
     frequent = counts.filter((F.col("n") >= shares.symbol * tokens) | (F.col("word") == F.lit(END)))
     chosen = sorted(((r.n, bytes(r.word)) for r in frequent.collect()), reverse=True)
     symbols = Symbols([word for _, word in chosen])
@@ -285,9 +305,8 @@ def fit_model(
     return Model(tree, counts, tokens, distinct, discount, other, fewest)
 
 
-def _common_words(model: Model, most: int) -> tuple[int, dict[bytes, int]]:
-    """A count that at most ``most`` words or all frequent ones reach, and those words."""
-    counts = model.counts
+def _common_least(counts: DataFrame, most: int) -> int:
+    """A count ``n`` that at most ``most`` rows reach."""
     step = F.floor(F.log2("n") * 8)
     sizes = counts.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("words"), F.min("n").alias("n"))
     least, words = 1 << 62, 0
@@ -296,68 +315,90 @@ def _common_words(model: Model, most: int) -> tuple[int, dict[bytes, int]]:
         if words > most:
             break
         least = row.n
+    return least
+
+
+def _common_words(model: Model, most: int) -> tuple[int, dict[bytes, int]]:
+    """A count that at most ``most`` words or all frequent ones reach, and those words."""
+    counts = model.counts
+    least = _common_least(counts, most)
     if model.frequent_least:
         least = min(least, model.frequent_least)
     common = counts.filter((F.col("n") >= least) | (F.col("word") == F.lit(END))).toArrow()
     return least, dict(zip(common["word"].to_pylist(), common["n"].to_pylist(), strict=True))
 
 
+def _held_runs(tree: RunTree, most: int) -> tuple[HeldRuns, DataFrame | None]:
+    """The values of at most ``most`` runs for every task, and the table of the others."""
+    least = _common_least(tree.values, most)
+    held, rest = tree.values.filter(F.col("n") >= least).toArrow(), tree.values.filter(F.col("n") < least)
+    none = rest.isEmpty()
+    codes, values = held["code"].to_numpy().view(np.uint64), held["value"].to_numpy()
+    return HeldRuns(tree.bits, codes, values, None if none else rest_bits(rest)), None if none else rest
+
+
 def score_texts(
     docs: DataFrame,
     model: Model,
     doc_id: str = "doc_id",
     text: str = "text",
     most_common: int = 200_000,
+    most_runs: int = 1_000_000,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
     The counts of at most ``most_common`` words are copied to every task; other words are
-    added up per document and meet their counts in a join.  Null and empty texts have the
+    added up per document and meet their counts in a join, and so do the values of all but
+    ``most_runs`` runs of a tree that is a table.  Null and empty texts have the
     end token only; repeated rows stay repeated; other columns are not looked at.
     """
     least, common = _common_words(model, most_common)
-    discount, other, frequent = model.discount, model.other * max(model.tokens, 1), model.tree.symbols.numbers
-    table = {
-        word: (np.log10(n + 1.0), 0.0 if word in frequent else np.log10((n - discount) / other))
-        for word, n in common.items()
-    }
-    sent = docs.sparkSession.sparkContext.broadcast((model.tree, table))
+    discount, other, frequent = model.discount, model.other * max(model.tokens, 1), model.tree.numbers
+    held, rest = _held_runs(model.tree, most_runs) if isinstance(model.tree, RunTree) else (model.tree, None)
+    times = np.fromiter(common.values(), np.float64, len(common))
+    own = np.fromiter((word in frequent for word in common), bool, len(common))
+    table = Held(token_codes(list(common)), np.log10(times + 1.0), np.where(own, 0.0, np.log10((times - discount) / other)))
+    sent = docs.sparkSession.sparkContext.broadcast((held, table))
     kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
 
     @F.arrow_udf(
         "struct<n_tokens: long, known: long, base: double, score: double,"
-        " rare: array<struct<word: binary, times: long>>>"
+        " rare: array<struct<word: binary, times: long>>, runs: array<long>>"
     )
     def scored(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         tree, table = sent.value
         for column in columns:
-            tokens, known, base, score, rare = [], [], [], [], []
+            tokens, known, base, score = ([np.zeros(0)] for _ in range(4))
+            rare, many, left = [], [np.zeros(1, np.int64)], [np.zeros(0, np.int64)]
             for texts in _slices(column):
-                for words, logs in zip(texts, tree.logs(texts), strict=True):
-                    found, added, unknown = 0, 0.0, []
-                    held = Counter(words)
-                    held[END] = 1
-                    for word, times in held.items():
-                        entry = table.get(word)
-                        if entry is None:
-                            unknown.append({"word": word, "times": times})
-                        else:
-                            found += times
-                            added += times * entry[0]
-                            logs += times * entry[1]
-                    tokens.append(len(words) + 1)
-                    known.append(found)
-                    base.append(added)
-                    score.append(float(logs))
-                    rare.append(unknown)
+                runs = Runs([b" ".join(words) for words in texts])
+                logs, others, codes = tree.scores(texts, runs)
+                many.append(others)
+                left.append(codes)
+                at = np.flatnonzero(runs.place)
+                owner, place = runs.owner[at], table.find(runs.tokens[at])
+                there = place >= 0
+                whose, place = owner[there], place[there]
+                added, first = (np.bincount(whose, values[place], len(texts)) for values in table.columns)
+                tokens.append(np.bincount(owner, minlength=len(texts)))
+                known.append(np.bincount(whose, minlength=len(texts)))
+                base.append(added)
+                score.append(logs + first)
+                unknown: list[Counter] = [Counter() for _ in texts]
+                at = at[~there]
+                for text, word in zip(owner[~there].tolist(), (runs.place[at] - 1).tolist(), strict=True):
+                    words = texts[text]
+                    unknown[text][words[word] if word < len(words) else END] += 1
+                rare += [[{"word": word, "times": n} for word, n in counter.items()] for counter in unknown]
             arrays = [
-                pa.array(tokens, pa.int64()),
-                pa.array(known, pa.int64()),
-                pa.array(base, pa.float64()),
-                pa.array(score, pa.float64()),
+                pa.array(np.concatenate(tokens).astype(np.int64)),
+                pa.array(np.concatenate(known).astype(np.int64)),
+                pa.array(np.concatenate(base)),
+                pa.array(np.concatenate(score)),
                 pa.array(rare, kind),
+                pa.ListArray.from_arrays(np.cumsum(np.concatenate(many)).astype(np.int32), np.concatenate(left)),
             ]
-            yield pa.StructArray.from_arrays(arrays, ["n_tokens", "known", "base", "score", "rare"])
+            yield pa.StructArray.from_arrays(arrays, ["n_tokens", "known", "base", "score", "rare", "runs"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), scored(F.col(text)).alias("s"))
     rows = store(rows.select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "suffix-scores")
@@ -372,11 +413,15 @@ def score_texts(
             F.sum(times * F.log10((n - discount) / other)).alias("more_score"),
         )
     )
+    if rest is not None:
+        others = rows.select("row", F.explode("runs").alias("code")).join(rest.select("code", "value"), "code")
+        others = others.groupBy("row").agg(F.sum("value").alias("more_runs"))
+        rows = rows.join(others, "row", "left").withColumn("score", F.col("score") + F.coalesce("more_runs", F.lit(0.0)))
     more = F.coalesce("more", F.lit(0))
     never = F.col("n_tokens") - F.col("known") - more
     unseen = F.log10(F.lit(model.unseen / model.other))
     all_tokens = F.lit(float(model.tokens + model.distinct + 1))
-    return rows.drop("rare").join(added, "row", "left").select(
+    return rows.drop("rare", "runs").join(added, "row", "left").select(
         "doc_id",
         "n_tokens",
         (F.col("known") + more).alias("n_known"),
