@@ -12,6 +12,7 @@ from lanewise.operators.motifs import Hop, find, first_connections, first_two_ho
 from lanewise.operators import paths
 from lanewise.operators.paths import breadth_first, hop_counts, path_texts, search_sizes, shortest_paths
 from lanewise.operators.rank import page_rank
+from lanewise.session import ROWS_PER_SPLIT
 
 EDGE = "id string, src string, dst string"
 
@@ -489,3 +490,18 @@ def test_cycles_leave_out_ends_and_starts(spark, monkeypatch):
             if (y, z) in routes and (z, x) in routes and len({x, y, z}) == 3:
                 want[x] = want.get(x, 0) + 1
     assert got == want and stored["pairs"].count() == 6
+
+
+def test_routes_are_counted_in_bounded_parts(spark):
+    """The number of parts follows the rows, not the session's number of partitions."""
+    pairs = sorted({(f"v{i % 40}", f"v{i * 7 % 61}") for i in range(1500)})
+    before = {key: spark.conf.get(key, None) for key in (ROWS_PER_SPLIT, "spark.sql.shuffle.partitions")}
+    graph = graph_of(spark, [f"v{i}" for i in range(70)], pairs)
+    spark.conf.set(ROWS_PER_SPLIT, "20")
+    try:
+        routes = graph.by_route.edges
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before["spark.sql.shuffle.partitions"]
+    finally:
+        spark.conf.unset(ROWS_PER_SPLIT)
+    sizes = routes.groupBy(F.input_file_name()).count().agg(F.max("count"), F.sum("count")).first()
+    assert sizes[0] <= 60 and sizes[1] == len(pairs) > 1000
