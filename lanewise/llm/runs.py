@@ -86,7 +86,8 @@ class Held:
         self.codes, self.columns = codes[order], [column[order] for column in columns]
         bits = max(len(codes), 2).bit_length()
         self.shift = np.uint64(64 - bits)
-        self.starts = np.searchsorted(self.codes >> self.shift, np.arange((1 << bits) + 1, dtype=np.uint64))
+        firsts = np.arange((1 << bits) + 1, dtype=np.uint64)
+        self.starts = np.searchsorted(self.codes >> self.shift, firsts).astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Where the wanted hashes stand, -1 for those that are not held."""
@@ -275,7 +276,7 @@ class HeldRuns:
         ends, codes = [], []
         for length, (at, own, _, _) in enumerate(runs.levels(self.bits, LONGEST), 1):
             # The end is a context at the beginning only.
-            some = np.delete(at, runs.last) if length == 1 else np.flatnonzero(passes(own, self.bits[length - 1]))
+            some = np.delete(at, runs.last) if length == 1 else slice(None)
             ends.append(at[some])
             codes.append(own[some])
         owner, codes = runs.owner[np.concatenate(ends)], np.concatenate(codes)
@@ -306,7 +307,8 @@ def fit_runs(
         while len(sent) < LONGEST:
             sent.append(sc.broadcast(sieve(texts, sent, least)))
         runs = store(count_runs(texts, sent, least), "run-counts")
-        bits = [one.value for one in sent]
+        # The last bitmap is of no use to longer runs.
+        bits = [one.value for one in sent[:-1]]
     finally:
         # Workers hold every bitmap until they are told to let it go.
         for one in sent:

@@ -343,7 +343,7 @@ def score_texts(
     doc_id: str = "doc_id",
     text: str = "text",
     most_common: int = 200_000,
-    most_runs: int = 1_000_000,
+    most_runs: int = 300_000,
 ) -> DataFrame:
     """One row per document: doc_id, n_tokens, n_known, train_tokens, base_score, score.
 
