@@ -16,7 +16,7 @@ ranges that its continuations reach, so a word with a third of all phrases is ma
 
 from bisect import bisect_right
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..operators.reports import first_per_group
 from ..operators.skew import broadcast_if, fits_in_memory
 from ..session import store
-from .common import binary_values, bounded_sample
+from .common import binary_values, bounded_batches, bounded_sample
 from .flat import Flat
 
 #: Bits of a bitmap of frequent phrases: 8 MB however large the corpus.
@@ -38,6 +38,8 @@ _SLICE = 1 << 19
 #: counts on.
 _HASHES = 2_000_000
 _HELD, _HELD_BYTES = 500_000, 8 << 20
+#: Hashes are dealt by their first bits; of each the next 32 are compared.
+_DEAL_BITS = 10
 #: Phrases whose texts are made, and sent on, at once.
 _MADE = 20_000
 #: Phrases per range of a stream, about, and cut points drawn for each range.
@@ -154,28 +156,65 @@ def sieve(texts: DataFrame, sent: list[Broadcast], least: int) -> np.ndarray:
     phrase that stands ``least`` times or more, in all languages together."""
     length = len(sent) + 1
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         known = [bits.value for bits in sent]
-        held: list[np.ndarray] = []
-        size = 0
+        for _, slice_ in _slices(batches):
+            *_, (_, found) = slice_.levels(known, length)
+            yield found
 
-        def counted() -> pa.RecordBatch:
-            hashes, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
+    return often_bits(texts, hashes, least)
 
-        for _, slice_ in _slices(batches):
-            *_, (_, hashes) = slice_.levels(known, length)
-            held.append(hashes)
-            size += len(hashes)
-            if size >= _HASHES:
-                yield counted()
-                held, size = [], 0
-        if held:
-            yield counted()
 
-    counts = texts.mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
-    frequent = counts.filter(F.col("n") >= least).select("hash")
-    return _bitmap(frequent)
+def often_bits(
+    texts: DataFrame, hashes: Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]], least: int
+) -> np.ndarray:
+    """The bitmap of the ``hashes`` made from ``texts`` that stand ``least`` times or more.
+
+    What travels is four bytes of each hash, dealt by its first bits; a task sends one
+    ``least`` times at most for all that it holds at once.
+    """
+
+    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
+        codes = np.concatenate(held)
+        held.clear()
+        codes.sort()
+        few = np.ones(len(codes), bool)
+        few[least:] = codes[least:] != codes[:-least]
+        codes = codes[few]
+        firsts = np.arange(1 << _DEAL_BITS, dtype=np.uint64) << np.uint64(64 - _DEAL_BITS)
+        cuts = np.r_[np.searchsorted(codes, firsts), len(codes)]
+        rest = (codes >> np.uint64(32 - _DEAL_BITS)).astype(np.uint32)
+        parts = [rest[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        deals = pa.array(np.arange(len(parts), dtype=np.int32))
+        return pa.RecordBatch.from_arrays([deals, pa.array(parts, pa.binary())], ["deal", "codes"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for found in hashes(batches):
+            held.append(found)
+            size += len(found)
+            if size >= _HASHES:
+                yield dealt(held)
+                size = 0
+        if size:
+            yield dealt(held)
+
+    def frequent(group: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(part, np.uint32) for part in group["codes"].to_pylist()]
+        codes = np.sort(np.concatenate(parts))
+        last = codes[least - 1 :]
+        often = last[last == codes[: len(last)]]
+        bits = np.zeros(1 << (FILTER_BITS - _DEAL_BITS), bool)
+        bits[often >> np.uint32(32 - FILTER_BITS + _DEAL_BITS)] = True
+        packed = pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())
+        return pa.table({"deal": group["deal"][:1], "bits": packed})
+
+    found = texts.mapInArrow(run, "deal int, codes binary").groupBy("deal").applyInArrow(frequent, "deal int, bits binary")
+    result = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
+    for row in found.toLocalIterator():
+        start = row.deal * len(row.bits)
+        result[start : start + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    return result
 
 
 def _bitmap(frequent: DataFrame) -> np.ndarray:
@@ -365,10 +404,11 @@ def mine_collocations(
     """
     texts, sent = _texts(docs, text, lang), []
     try:
-        for _ in range(longest):
-            sent.append(docs.sparkSession.sparkContext.broadcast(sieve(texts, sent, least)))
-        counts = count_phrases(texts, sent).filter((F.col("n") >= least) | F.col("phrase").isNull())
-        counts = store(counts, "phrase-counts")
+        with bounded_batches(docs.sparkSession):
+            for _ in range(longest):
+                sent.append(docs.sparkSession.sparkContext.broadcast(sieve(texts, sent, least)))
+            counts = count_phrases(texts, sent).filter((F.col("n") >= least) | F.col("phrase").isNull())
+            counts = store(counts, "phrase-counts")
     finally:
         # Workers hold every bitmap until they are told to let it go.
         for bits in sent:

@@ -122,6 +122,40 @@ def test_bitmap_has_every_frequent_phrase(spark):
     assert collocations.passes(other, bits).sum() < 30
 
 
+def test_a_sieve_sends_few_bytes_a_hash(monkeypatch):
+    """What the hashes of a sieve take on their way, and what it finds."""
+    batches, groups = [], {}
+
+    class Texts:
+        def mapInArrow(self, run, schema):
+            batches.extend(run(iter([texts])))
+            return self
+
+        def groupBy(self, *keys):
+            for batch in batches:
+                for row in batch.to_pylist():
+                    groups.setdefault(row["deal"], []).append(row)
+            return self
+
+        def applyInArrow(self, frequent, schema):
+            self.found = [frequent(collocations.pa.Table.from_pylist(rows)) for rows in groups.values()]
+            return self
+
+        def toLocalIterator(self):
+            return (SimpleNamespace(**row) for table in self.found for row in table.to_pylist())
+
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=100)) for _ in range(2000)] + ["often " * 9, "seldom " * 8]
+    texts = collocations.pa.RecordBatch.from_pydict({"lang": ["x"] * len(texts), "text": texts})
+    bits = collocations.sieve(Texts(), [], 9)
+    assert sum(batch.nbytes for batch in batches) < 5 * 200_000
+    slices = [slice_ for _, slice_ in collocations._slices(iter([texts]))]
+    hashes, n = np.unique(np.concatenate([s.words for s in slices]), return_counts=True)
+    assert collocations.passes(hashes[n >= 9], bits).all()
+    assert collocations.passes(hashes[n < 9], bits).mean() < 0.01
+
+
 def test_long_texts_are_cut_at_borders(monkeypatch):
     monkeypatch.setattr(collocations, "_SLICE", 10)
     text = b"one two three four\nfive\nsix seven\n\neight nine ten eleven"
