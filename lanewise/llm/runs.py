@@ -20,8 +20,8 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import store
-from .collocations import FILTER_BITS, _bitmap, _joined, passes
-from .common import binary_values
+from .collocations import _bitmap, _joined, often_bits, passes
+from .common import binary_values, bounded_batches
 from .flat import SPACE, Flat
 
 LONGEST = 4
@@ -30,8 +30,6 @@ _END = np.uint64(0x6C8E9CF570932BD5)
 _BYTES = 1 << 19
 #: Hashes that a task holds before it sends them on.
 _HASHES = 2_000_000
-#: Hashes are dealt by their first bits; of each the next 32 are compared.
-_DEAL_BITS = 10
 
 
 class Runs:
@@ -128,44 +126,14 @@ def sieve(texts: DataFrame, sent: list[Broadcast], least: int) -> np.ndarray:
     every run that stands ``least`` times or more."""
     length = len(sent) + 1
 
-    def dealt(held: list[np.ndarray]) -> pa.RecordBatch:
-        codes, n = np.unique(np.concatenate(held), return_counts=True)
-        codes = np.repeat(codes, np.minimum(n, least))
-        cuts = np.searchsorted(codes >> np.uint64(64 - _DEAL_BITS), np.arange((1 << _DEAL_BITS) + 1, dtype=np.uint64))
-        rest = (codes >> np.uint64(32 - _DEAL_BITS)).astype(np.uint32)
-        parts = [rest[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        deals = pa.array(np.arange(len(parts), dtype=np.int32))
-        return pa.RecordBatch.from_arrays([deals, pa.array(parts, pa.binary())], ["deal", "codes"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = [bits.value for bits in sent], [], 0
+    def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        known = [bits.value for bits in sent]
         for batch in batches:
             for runs in _runs(batch.column(0)):
                 *_, (_, codes, _, _) = runs.levels(known, length)
-                held.append(codes)
-                size += len(codes)
-                if size >= _HASHES:
-                    yield dealt(held)
-                    held, size = [], 0
-        if held:
-            yield dealt(held)
-
-    def frequent(group: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(part, np.uint32) for part in group["codes"].to_pylist()]
-        codes = np.sort(np.concatenate(parts))
-        last = codes[least - 1 :]
-        often = last[last == codes[: len(last)]]
-        bits = np.zeros(1 << (FILTER_BITS - _DEAL_BITS), bool)
-        bits[often >> np.uint32(32 - FILTER_BITS + _DEAL_BITS)] = True
-        packed = pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())
-        return pa.table({"deal": group["deal"][:1], "bits": packed})
-
-    found = texts.mapInArrow(run, "deal int, codes binary").groupBy("deal").applyInArrow(frequent, "deal int, bits binary")
-    result = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
-    for row in found.toLocalIterator():
-        start = row.deal * len(row.bits)
-        result[start : start + len(row.bits)] = np.frombuffer(row.bits, np.uint8)
-    return result
+                yield codes
+
+    return often_bits(texts, hashes, least)
 
 
 def count_runs(texts: DataFrame, sent: list[Broadcast], least: int) -> DataFrame:
@@ -176,13 +144,13 @@ def count_runs(texts: DataFrame, sent: list[Broadcast], least: int) -> DataFrame
         known, held, size = [bits.value for bits in sent], {}, 0
 
         def rows() -> Iterator[pa.RecordBatch]:
-            for length, parts in held.items():
+            while held:
+                length, parts = held.popitem()
                 codes, heads, tails = map(np.concatenate, zip(*parts, strict=True))
                 codes, first, n = np.unique(codes, return_index=True, return_counts=True)
                 columns = [np.full(len(codes), length, np.int32), codes, heads[first], tails[first], n]
                 columns = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c) for c in columns]
                 yield pa.RecordBatch.from_arrays(columns, ["length", "code", "head", "tail", "n"])
-            held.clear()
 
         for batch in batches:
             for runs in _runs(batch.column(0)):
@@ -304,9 +272,10 @@ def fit_runs(
     sc, sent = texts.sparkSession.sparkContext, []
     try:
         sent.append(sc.broadcast(_bitmap(words.select(F.col("code").alias("hash")))))
-        while len(sent) < LONGEST:
-            sent.append(sc.broadcast(sieve(texts, sent, least)))
-        runs = store(count_runs(texts, sent, least), "run-counts")
+        with bounded_batches(texts.sparkSession):
+            while len(sent) < LONGEST:
+                sent.append(sc.broadcast(sieve(texts, sent, least)))
+            runs = store(count_runs(texts, sent, least), "run-counts")
         # The last bitmap is of no use to longer runs.
         bits = [one.value for one in sent[:-1]]
     finally:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import settle, store
-from .common import binary_values, plain_words
+from .common import binary_values, bounded_batches, plain_words
 from .runs import Held, HeldRuns, Runs, RunTree, fit_runs, rest_bits, token_codes
 
 DEPTH = 3
@@ -289,7 +289,8 @@ def fit_model(
     a bounded tree instead.  Every known word gives ``discount`` of its count to the words
     never seen.  Without texts nothing is known, and every token is the unseen word.
     """
-    counts = store(word_counts(texts, text), "suffix-words")
+    with bounded_batches(texts.sparkSession):
+        counts = store(word_counts(texts, text), "suffix-words")
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     if shares is None:
         tree = fit_runs(texts.select(text), counts, tokens, discount, least, divergence)
@@ -401,7 +402,12 @@ def score_texts(
             yield pa.StructArray.from_arrays(arrays, ["n_tokens", "known", "base", "score", "rare", "runs"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), scored(F.col(text)).alias("s"))
-    rows = store(rows.select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "suffix-scores")
+    try:
+        with bounded_batches(docs.sparkSession):
+            rows = store(rows.select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "suffix-scores")
+    finally:
+        # Workers hold the values until they are told to let them go.
+        sent.unpersist()
     rare = rows.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.times")
     times, n = F.col("times"), F.col("n")
     added = (
