@@ -25,11 +25,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..operators.skew import broadcast_if, fits_in_memory
 from ..session import store
-from .common import binary_values
+from .common import binary_values, bounded_batches
 from .components import components
 from .flat import Flat
 
@@ -223,12 +224,12 @@ def _rows(text: Column, width: int, bands: Bands) -> Column:
     return made(text)
 
 
-def _subset_rows(sets: DataFrame, live: np.ndarray | None = None) -> DataFrame:
-    """subset (long) and whole, a row per subset; with ``live`` only those whose bit is set.
+def _subset_rows(sets: DataFrame, kept: Broadcast | None = None) -> DataFrame:
+    """subset (long) and whole, a row per subset; with a bitmap ``kept`` only those whose
+    bit is set.
 
-    Without ``live`` whole is left out: there the rows are only counted.
+    Without ``kept`` whole is left out: there the rows are only counted.
     """
-    kept = None if live is None else sets.sparkSession.sparkContext.broadcast(live)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -248,7 +249,7 @@ def _subset_rows(sets: DataFrame, live: np.ndarray | None = None) -> DataFrame:
                     [pa.array(names[keep].view("<i8")), wholes], ["subset", "whole"]
                 )
 
-    kind = "subset long" if live is None else "subset long, whole binary"
+    kind = "subset long" if kept is None else "subset long, whole binary"
     return sets.select("whole", "subsets").mapInArrow(run, kind)
 
 
@@ -302,7 +303,10 @@ class _Verifier:
         sets = sets.join(needed, "whole", "semi")
         if not ids.filter("rows > 1 or __id is null").isEmpty():
             sets = sets.dropDuplicates(["whole"])
-        return store(sets, "join-sets") if keep else sets
+        if not keep:
+            return sets
+        with bounded_batches(self.docs.sparkSession):
+            return store(sets, "join-sets")
 
     def linked(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose sets are similar enough."""
@@ -338,7 +342,8 @@ class _Verifier:
         sets = self.sets(near.select(F.col("a").alias("whole")).union(near.select("b")))
         whole = broadcast_if(near, fits_in_memory(near)).join(sets.toDF("a", "set_a"), "a")
         whole = whole.join(sets.toDF("b", "set_b"), "b")
-        return store(whole.filter(alike("set_a", "set_b")).select("a", "b"), "join-links")
+        with bounded_batches(self.docs.sparkSession):
+            return store(whole.filter(alike("set_a", "set_b")).select("a", "b"), "join-links")
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -469,10 +474,17 @@ def set_links(docs: DataFrame, rows: DataFrame, bands: Bands, width: int, list_r
     same = rows.select("whole", "row").join(broadcast_if(copies, fits_in_memory(copies)), F.col("whole") == F.col("__whole"))
     extra = store(same.filter("row <> first").select("row"), "join-extra")
     sets = rows.filter("length(subsets) > 0").join(broadcast_if(extra, fits_in_memory(extra)), "row", "anti")
-    counted = _subset_rows(sets).groupBy("subset").agg(F.count(F.lit(1)).alias("size"))
-    live = store(counted.filter("size > 1"), "join-live")
-    members = _subset_rows(sets, _live_bits(live)).join(live, "subset")
-    members = store(members.select("subset", "whole"), "join-members")
+    spark = docs.sparkSession
+    with bounded_batches(spark):
+        counted = _subset_rows(sets).groupBy("subset").agg(F.count(F.lit(1)).alias("size"))
+        live = store(counted.filter("size > 1"), "join-live")
+        kept = spark.sparkContext.broadcast(_live_bits(live))
+        try:
+            members = _subset_rows(sets, kept).join(live, "subset")
+            members = store(members.select("subset", "whole"), "join-members")
+        finally:
+            # Workers hold the bitmap until they are told to let it go.
+            kept.unpersist()
 
     links = tried = None
     named = store(sets.select("whole", "n", F.col("whole").alias("comp")), "join-named")
@@ -506,8 +518,9 @@ def set_links(docs: DataFrame, rows: DataFrame, bands: Bands, width: int, list_r
         # At most two subsets for each segment of a set.
         flagged = store(many.groupBy("whole").agg(F.collect_list("subset").alias("common")), "join-flagged")
         small = broadcast_if(flagged, fits_in_memory(flagged))
-        entries = _entries(verifier.sets(flagged.select("whole"), keep=False).join(small, "whole"), bands)
-        entries = store(entries, "join-entries")
+        with bounded_batches(spark):
+            entries = _entries(verifier.sets(flagged.select("whole"), keep=False).join(small, "whole"), bands)
+            entries = store(entries, "join-entries")
         met = _met(entries)
         taken = store(_allocated(entries, met, hot), "join-allocation")
         spent = ["whole", "scheme", "segment"]
@@ -553,7 +566,8 @@ def jaccard_groups(
     bands = Bands(percent)
     made = _rows(F.col(f"`{text}`"), width, bands)
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), made.alias("s"), F.monotonically_increasing_id().alias("row"))
-    rows = store(rows.select("doc_id", "row", "s.*"), "join-rows")
+    with bounded_batches(docs.sparkSession):
+        rows = store(rows.select("doc_id", "row", "s.*"), "join-rows")
     links = set_links(docs, rows, bands, width, list_rows, doc_id, text)
     roots = components(links)
     full = rows.filter("n > 0").select("doc_id", "n", "whole")
