@@ -226,3 +226,16 @@ def test_a_backlog_takes_a_bounded_number_of_batches(spark, folder):
     sent, got = spark.read.text(f"{folder}/in"), spark.read.text(f"{folder}/out")
     assert sent.exceptAll(got).isEmpty() and got.exceptAll(sent).isEmpty()
     assert streams.folder_bytes(spark, f"{folder}/out") < sent.select(F.sum(F.length("value"))).first()[0] / 3
+
+
+def test_a_run_that_was_cut_short_is_no_result(spark, folder, monkeypatch):
+    """A stream that its time limit stopped has read some messages only: that is said."""
+    from lanewise.plans import streams
+
+    lines = spark.createDataFrame([(f'{{"id": "{i}"}}',) for i in range(20)], "value string")
+    lines.repartition(4).write.text(f"{folder}/in")
+    monkeypatch.setattr(streams, "messages_folder", lambda *_: f"{folder}/in")
+    assert [tuple(r) for r in streams._bounded(spark, "own").collect()] == [(20, True)]
+    monkeypatch.setattr(streams, "run_for", lambda query, seconds: run_for(query, seconds) and False)
+    with pytest.raises(TimeoutError, match="messages"):
+        streams._bounded(spark, "own")
