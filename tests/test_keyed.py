@@ -154,3 +154,73 @@ def test_latest_per_key_in_parts(spark):
         spark.conf.unset(ROWS_PER_SPLIT) if before is None else spark.conf.set(ROWS_PER_SPLIT, before)
     assert got == {**{f"k{i}": 160 + i for i in range(40)}, "hot": 299, None: 2} and best.count() == 42
     assert "REPARTITION_BY_NUM" in plan
+
+
+def test_a_table_in_parts_is_read_without_moving_rows(spark, folder, no_broadcast):
+    """Base and deltas in the same buckets, written in several steps; the folder counts from
+    the last step on, and what the steps shuffle is let go."""
+    df = spark.range(400).select(
+        F.concat(F.lit("k"), F.col("id") % 150).alias("id"), F.col("id").cast("int").alias("v"), F.lit(0).alias("at")
+    )
+    df = df.unionByName(frame(spark, (None, 1, 1)))
+    table = KeyedTable(spark, folder, SCHEMA, parts=5)
+    with pytest.raises(ValueError):
+        table.upsert(df)
+    table.load(df, ["v"])
+    want = {f"k{i}": max(v for v in range(400) if v % 150 == i) for i in range(150)}
+    assert {r.id: r.v for r in table.read().collect()} == want and table.read().count() == 150
+    more = frame(spark, *[(f"k{i}", v, 1) for i in (0, 7, 149, 200) for v in (1, 3, 2)], (None, 9, 9))
+    assert table.upsert(more, ["v"], writer="w", epoch=0)
+    assert not table.upsert(more, ["v"], writer="w", epoch=0)
+    table.upsert(frame(spark, ("k7", -5, 2)))
+    want |= {"k0": 3, "k7": -5, "k149": 3, "k200": 3}
+    read = table.read()
+    assert {r.id: r.v for r in read.collect()} == want and read.count() == len(want)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan
+    assert {r.at for r in table.read(StructType().add("at", "integer")).collect()} == {0, 1, 2}
+    # Whoever reads with another number of parts sees the same rows.
+    other = KeyedTable(spark, folder, SCHEMA, parts=3)
+    other.upsert(frame(spark, ("k1", 77, 3)))
+    want["k1"] = 77
+    assert {r.id: r.v for r in other.read().collect()} == want
+    other.compact(remove_old=True)
+    assert {r.id: r.v for r in table.read().collect()} == want and table.read().count() == len(want)
+    assert not table.upsert(more, ["v"], writer="w", epoch=0)
+
+
+def test_shuffled_files_of_a_write_are_let_go(spark, folder):
+    """A write in parts keeps no shuffle once its job has ended."""
+    import glob
+
+    seen = lambda: {f for d in local for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    blocks = spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+    local, before = list(blocks), None
+    before = seen()
+    KeyedTable(spark, folder, SCHEMA, parts=4).load(
+        spark.range(5000).selectExpr("cast(id as string) id", "cast(id as int) v", "0 at"), ["v"]
+    )
+    assert seen() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_a_step_that_fails_leaves_no_table(spark, folder, no_broadcast, monkeypatch):
+    """Of a write in several steps none is seen before the last."""
+    from lanewise.sources import keyed
+
+    df = spark.range(300).selectExpr("cast(id as string) id", "cast(id as int) v", "0 at")
+    real, calls = keyed._latest_in_parts, []
+
+    def failing(*args):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("full")
+        return real(*args)
+
+    monkeypatch.setattr(keyed, "_latest_in_parts", failing)
+    table = KeyedTable(spark, folder, SCHEMA, parts=6)
+    with pytest.raises(OSError):
+        table.load(df)
+    assert not table.exists()
+    monkeypatch.setattr(keyed, "_latest_in_parts", real)
+    assert table.load(df).read().count() == 300
