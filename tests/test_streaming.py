@@ -239,3 +239,43 @@ def test_a_run_that_was_cut_short_is_no_result(spark, folder, monkeypatch):
     monkeypatch.setattr(streams, "run_for", lambda query, seconds: run_for(query, seconds) and False)
     with pytest.raises(TimeoutError, match="messages"):
         streams._bounded(spark, "own")
+
+
+def _flight_rows(spark, n):
+    return spark.range(n).select(
+        F.concat(F.lit("f"), "id").alias("id"),
+        *[F.lit("x" if f.dataType.typeName() == "string" else 1).cast(f.dataType).alias(f.name) for f in FLIGHTS.fields[1:]],
+    )
+
+
+def test_kept_rows_come_in_bounded_batches(spark, folder, monkeypatch):
+    """The upsert works off its messages in several micro-batches, and the later still wins."""
+    from lanewise.plans import streams
+
+    rows = _flight_rows(spark, 600)
+    publish_files(rows, f"{folder}/in/part=1", 100, "gzip")
+    publish_files(rows.filter("id < 'f3'").withColumn("depdelay", F.lit(50.0)), f"{folder}/in/part=2", 100, "gzip")
+    tables, start = [], streams.start_keyed_sink
+    monkeypatch.setattr(streams, "_repeated_folder", lambda *_: f"{folder}/in")
+    monkeypatch.setattr(streams, "flights", lambda *_: rows)
+    monkeypatch.setattr(streams, "BATCH_BYTES", 100)
+    monkeypatch.setattr(streams, "start_keyed_sink", lambda r, t, *a, **o: tables.append(t) or start(r, t, *a, **o))
+    got = streams._upserted(spark, "own")
+    assert len(tables[0]._folders()[1]) > 2
+    assert got.count() == 600 and got.filter("(id < 'f3') = (depdelay = 50.0)").count() == 600
+
+
+def test_damaged_messages_are_scored_in_bounded_batches(spark, folder, monkeypatch):
+    from lanewise.plans import streams
+
+    class Asked(Exception):
+        pass
+
+    def asked(spark, path, **options):
+        raise Asked(options)
+
+    publish_files(_flight_rows(spark, 50), folder)
+    monkeypatch.setattr(streams, "once", lambda *_: folder)
+    monkeypatch.setattr(streams, "file_messages", asked)
+    with pytest.raises(Asked, match=f"'max_bytes_per_trigger': {4 * streams.BATCH_BYTES}"):
+        streams._damaged(spark, "own")
