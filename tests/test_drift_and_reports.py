@@ -154,3 +154,28 @@ def test_a_report_takes_many_keys_at_once(spark, folder):
     got = read_report(spark, f"{folder}/out", ["src"], {"minutes": "late"}, schema).collect()
     # Of the 200 keys sent again 100 are later; 200 keys are new.
     assert {r.src: (r.rows, float(r.minutes)) for r in got} == {"old": (400, 400.0), "new": (300, 600.0)}
+
+
+def test_a_report_writes_its_keys_a_few_times_and_lets_shuffles_go(spark, folder, monkeypatch):
+    """Every micro-batch writes the rows of its keys anew: a backlog takes few of them, and what
+    they shuffle is gone when they end."""
+    import glob
+
+    from lanewise.plans import streams
+
+    rows = spark.range(3000).selectExpr("cast(id as string) id", "concat('s', id % 3) src", "1.0D depdelay")
+    lines = rows.selectExpr("to_json(struct(*)) AS value").repartition(30)
+    lines.write.text(f"{folder}/in/part=1", compression="gzip")
+    ended, start = [], streams.start_report
+    monkeypatch.setattr(streams, "_repeated_folder", lambda *_: f"{folder}/in")
+    monkeypatch.setattr(streams, "flights", lambda *_: rows)
+    monkeypatch.setattr(streams, "BATCH_BYTES", 1)
+    monkeypatch.setattr(streams, "start_report", lambda *a: ended.append(start(*a)) or ended[0])
+    dirs = list(spark._jsc.sc().env().blockManager().diskBlockManager().localDirsString())
+    seen = lambda: {f for d in dirs for f in glob.glob(f"{d}/**/shuffle_*.data", recursive=True)}
+    before = seen()
+    report = streams._kept_report(spark, "own")
+    assert seen() <= before
+    assert {(r.src, r.rows, r.minutes) for r in report.collect()} == {(f"s{i}", 1000, 1000.0) for i in range(3)}
+    batches = [p for p in ended[0].recentProgress if p["numInputRows"]]
+    assert 3 <= len(batches) <= streams.REPORT_BATCHES + 2 and sum(p["numInputRows"] for p in batches) == 3000
